@@ -283,12 +283,13 @@ def waterfall_points(df: DataFrame, features: list[str], keys: list[str]) -> Dat
         ),
     )
     names = F.array(*map(F.lit, features))
-    placed = df.select(*keys, "base", F.posexplode(F.sort_array(items, asc=False)).alias("place", "item"), F.sort_array(items, asc=False).alias("all"))
+    ordered = df.select(*keys, "base", F.sort_array(items, asc=False).alias("all"))
+    placed = ordered.select("*", F.posexplode("all").alias("position", "item"))
     running = F.aggregate(
-        F.slice("all", F.lit(1), F.col("place") + 1), F.col("base"), lambda acc, x: acc + x["attribution"]
+        F.slice("all", F.lit(1), F.col("position") + 1), F.col("base"), lambda acc, x: acc + x["attribution"]
     )
     return placed.select(
-        *keys, "place", F.get(names, F.col("item.index")).alias("feature"), F.col("item.value").alias("value"),
+        *keys, "position", F.get(names, F.col("item.index")).alias("feature"), F.col("item.value").alias("value"),
         F.col("item.attribution").alias("attribution"), "base", running.alias("score_after"),
     )
 

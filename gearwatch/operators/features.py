@@ -219,19 +219,142 @@ def _alpha_groups(alphas: list[float]) -> list[list[float]]:
 
 
 def create_ema_features(
-    df: DataFrame, options: LogOptions, sensors: list[str] | None = None, timeline: Timeline | None = None
+    df: DataFrame,
+    options: LogOptions,
+    sensors: list[str] | None = None,
+    timeline: Timeline | None = None,
+    filled: bool = False,
 ) -> DataFrame:
     """``{sensor}_ema_{a}``: y0 = x0, y = a*x + (1-a)*y_prev, per machine.
 
-    The recurrence is unrolled into scaled running sums inside row blocks; a block
-    needs only the end of the block before it, since older readings weigh nothing.
-    Linear in the rows and all in SQL expressions. Sensors hold no gaps here: gaps are
-    filled before features are made, and an unfilled sensor is empty for the machine.
+    Over a gap of g rows the old average weighs (1-a)^g against a for the new reading, and
+    rows without a reading keep the average. ``filled`` says that gaps were filled before;
+    otherwise one aggregate finds the sensors that have some.
     """
     chosen = sensor_columns(df, options) if sensors is None else sensors
     t = timeline or Timeline.measure(df, options)
     columns = df.columns
-    name_of = lambda c, a: f"{c}_ema_{a}"
+    gappy = [] if filled else _gappy_sensors(df, options, chosen)
+    whole = [c for c in chosen if c not in gappy]
+    if whole:
+        df = _ema_of_whole(df, options, whole, t)
+    if gappy:
+        df = _ema_over_gaps(df, options, gappy, t)
+    return df.select(*map(named, columns), *[named(_ema_name(c, a)) for c in chosen for a in options.alphas])
+
+
+def _ema_name(sensor: str, alpha: float) -> str:
+    return f"{sensor}_ema_{alpha}"
+
+
+def _gappy_sensors(df: DataFrame, options: LogOptions, chosen: list[str]) -> list[str]:
+    """Sensors with both readings and gaps on some machine."""
+    known = df.groupBy(named(options.machine)).agg(
+        F.count("*").alias("_n"), *[F.count(named(c)).alias(f"_k{i}") for i, c in enumerate(chosen)]
+    )
+    some = lambda i: (F.col(f"_k{i}") > 0) & (F.col(f"_k{i}") < F.col("_n"))
+    found = known.agg(*[F.bool_or(some(i)).alias(f"g{i}") for i in range(len(chosen))]).first()
+    return [c for i, c in enumerate(chosen) if found[f"g{i}"]]
+
+
+def _ema_over_gaps(df: DataFrame, options: LogOptions, chosen: list[str], t: Timeline) -> DataFrame:
+    """Fold over the last readings that still weigh something, found by reading number."""
+    columns = df.columns
+    df = t.attach(df)
+    up_to = up_to_current(t.forward())
+    rn = F.col("_rn")
+    df = df.select(
+        "*",
+        F.row_number().over(t.forward()).cast("long").alias("_rn"),
+        *[F.count(named(c)).over(up_to).alias(f"_j{i}") for i, c in enumerate(chosen)],
+    )
+    depth = max([_lookback(a) for a in options.alphas if a < 1], default=1)
+    recent = []
+    for i, c in enumerate(chosen):
+        frame = Window.partitionBy(*t.keys).orderBy(f"_j{i}").rangeBetween(-(depth - 1), 0)
+        reading = F.struct(rn.alias("at"), named(c).cast("double").alias("x"))
+        recent.append(F.collect_list(F.when(named(c).isNotNull(), reading)).over(frame).alias(f"_r{i}"))
+    df = df.select("*", *recent)
+    if t.split:
+        df = _carry_recent(df, t, len(chosen), depth)
+    out = []
+    for i, c in enumerate(chosen):
+        seen = F.col(f"_r{i}")
+        start = F.get(seen, F.lit(0))
+        for a in options.alphas:
+            y = F.aggregate(seen, start, _next_reading(a))["x"]
+            out.append(y.alias(_ema_name(c, a)))
+    return df.select(*map(named, columns), *out)
+
+
+def _next_reading(alpha: float):
+    def step(y: Column, s: Column) -> Column:
+        old = F.pow(F.lit(1.0 - alpha), s["at"] - y["at"])
+        x = F.when(s["at"] == y["at"], s["x"]).otherwise((old * y["x"] + F.lit(alpha) * s["x"]) / (old + F.lit(alpha)))
+        return F.struct(s["at"].alias("at"), x.alias("x"))
+
+    return step
+
+
+def _carry_recent(df: DataFrame, t: Timeline, sensors: int, depth: int) -> DataFrame:
+    """Put the last readings of earlier segments before those of the segment."""
+    places = range(sensors)
+    per_segment = df.groupBy(named(t.options.machine).alias("_m"), F.col("_seg").alias("_s")).agg(
+        F.max("_rn").alias("_n"),
+        *[F.max(f"_j{i}").alias(f"_n{i}") for i in places],
+        *[F.max_by(f"_r{i}", "_rn").alias(f"_e{i}") for i in places],
+    )
+    offset = F.coalesce(F.sum("_n").over(before_current(t.earlier())), F.lit(0))
+    per_segment = per_segment.withColumn("_offset", offset.cast("long"))
+
+    def moved(readings: str) -> Column:
+        by = F.col("_offset")
+        return F.transform(readings, lambda r: F.struct((r["at"] + by).alias("at"), r["x"].alias("x")))
+
+    per_segment = per_segment.select(
+        "_m", "_s", "_offset", *[f"_n{i}" for i in places], *[moved(f"_e{i}").alias(f"_e{i}") for i in places]
+    )
+    # Each line takes the end of the line before it, and is placed by the readings up to
+    # there; a range over that place then holds the last readings, however they are spread.
+    placed = per_segment.select(
+        "_m", "_s", "_offset",
+        *[F.lag(f"_e{i}").over(t.earlier()).alias(f"_e{i}") for i in places],
+        *[
+            F.coalesce(F.sum(f"_n{i}").over(before_current(t.earlier())), F.lit(0)).cast("long").alias(f"_k{i}")
+            for i in places
+        ],
+    )
+    table = placed.select(
+        "_m", "_s", "_offset",
+        *[
+            _last_of(
+                F.flatten(F.collect_list(f"_e{i}").over(
+                    Window.partitionBy("_m").orderBy(f"_k{i}").rangeBetween(-(depth - 1), 0)
+                )),
+                depth,
+            ).alias(f"_b{i}")
+            for i in places
+        ],
+    )
+    joined = df.join(
+        table, named(t.options.machine).eqNullSafe(table["_m"]) & (F.col("_seg") == table["_s"]), "left"
+    )
+    replaced = {f"_r{i}": _last_of(F.concat(F.col(f"_b{i}"), moved(f"_r{i}")), depth) for i in places}
+    return joined.select(*[replaced[c].alias(c) if c in replaced else named(c) for c in df.columns])
+
+
+def _last_of(items: Column, n: int) -> Column:
+    return F.slice(items, F.greatest(F.size(items) - n, F.lit(0)) + 1, n)
+
+
+def _ema_of_whole(df: DataFrame, options: LogOptions, chosen: list[str], t: Timeline) -> DataFrame:
+    """Averages of sensors without gaps (a sensor may be empty for a whole machine).
+
+    The recurrence is unrolled into scaled running sums inside row blocks; a block
+    needs only the end of the block before it, since older readings weigh nothing.
+    Linear in the rows and all in SQL expressions.
+    """
+    columns = df.columns
     df = t.attach(df)
     df = df.select("*", (F.row_number().over(t.forward()) - 1).alias("_rn"))
     smooth = [a for a in options.alphas if a < 1]
@@ -272,7 +395,7 @@ def create_ema_features(
                 y = named(c).cast("double")
             else:
                 y = named(f"_l{i}_{a}") + F.pow(F.lit(1.0 - a), F.col("_rn") + 1) * named(f"_y{i}_{a}")
-            out.append(y.alias(name_of(c, a)))
+            out.append(y.alias(_ema_name(c, a)))
     return df.select(*map(named, columns), *out)
 
 
@@ -315,12 +438,17 @@ def feature_pipeline(
     options: LogOptions,
     sensors: list[str] | None = None,
     timeline: Timeline | None = None,
+    filled: bool = False,
 ) -> DataFrame:
-    """Lags, rolling windows, exponential averages and the target, in this order."""
+    """Lags, rolling windows, exponential averages and the target, in this order.
+
+    ``filled`` says that the sensors have no gaps, as after cleaning.
+    """
     chosen = sensor_columns(df, options) if sensors is None else sensors
     if not chosen:
         raise ValueError("no sensor columns found for feature engineering")
     t = timeline or Timeline.measure(df, options)
-    for step in (create_lag_features, create_rolling_features, create_ema_features):
-        df = step(df, options, chosen, t)
+    df = create_lag_features(df, options, chosen, t)
+    df = create_rolling_features(df, options, chosen, t)
+    df = create_ema_features(df, options, chosen, t, filled)
     return create_target(df, options, t)

@@ -163,10 +163,10 @@ def _summary(p: Column) -> Column:
     )
 
 
-def explanation_checks(df: DataFrame, top_n: int, probability: str = "probability") -> DataFrame:
-    """Rows that break a rule of explanations, with the rule; empty when all is well."""
+def broken_rules(top_n: int, probability: str = "probability") -> Column:
+    """Rules of explanations a row breaks; empty when all is well."""
     sizes = F.transform("top_features", lambda f: F.abs(f["shap_value"]))
-    broken = F.array_compact(
+    return F.array_compact(
         F.array(
             F.when(~named(probability).between(0, 1), "probability outside 0..1"),
             F.when(F.size("positive_factors") + F.size("negative_factors") == 0, "no factor"),
@@ -174,7 +174,12 @@ def explanation_checks(df: DataFrame, top_n: int, probability: str = "probabilit
             F.when(sizes != F.reverse(F.array_sort(sizes)), "top features out of order"),
         )
     )
-    return df.withColumn("broken", broken).filter(F.size("broken") > 0)
+
+
+def explanation_checks(df: DataFrame, top_n: int, probability: str = "probability") -> DataFrame:
+    """Rows checked and rows that break a rule."""
+    broken = F.size(broken_rules(top_n, probability)) > 0
+    return df.agg(F.count("*").alias("checked"), F.count_if(broken).alias("broken"))
 
 
 def report_lines(scored: DataFrame, explained_top: DataFrame, ids: list[str], with_labels: bool = True) -> DataFrame:

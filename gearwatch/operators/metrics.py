@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gearwatch.functions.columns import named
+from gearwatch.session import written
 
 # Metric names callers may rank by, and the column each stands for.
 METRIC_COLUMNS = {
@@ -19,7 +20,9 @@ METRIC_COLUMNS = {
     "roc_auc": "roc_auc",
     "roc-auc": "roc_auc",
 }
-AUC_BUCKETS = 256
+# Distinct scores per bucket of the AUC, and the most buckets.
+AUC_BUCKET_SCORES = 500_000
+AUC_BUCKETS = 10_000
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", predicted: str = "prediction") -> DataFrame:
@@ -53,21 +56,24 @@ def classification_metrics(confusion: DataFrame) -> DataFrame:
 def roc_auc(df: DataFrame, label: str = "label", score: str = "probability") -> DataFrame:
     """Exact, tie-aware area under the ROC curve; 0 when a class is absent.
 
-    Rows are first grouped by score. Scores are then cut at quantiles into buckets, the
-    negatives below a score are counted inside its bucket, and bucket totals (a table of
-    some hundred rows) supply the rest, so no sort runs in a single task.
+    Rows are first grouped by score. Many distinct scores are cut at quantiles into
+    buckets, the negatives below a score are counted inside its bucket, and bucket totals
+    (at most AUC_BUCKETS rows) supply the rest, so no sort of all scores runs in one task.
     """
     scores = (
         df.filter(named(score).isNotNull())
         .groupBy(named(score).cast("double").alias("s"))
         .agg(F.count_if(named(label) == 1).alias("pos"), F.count_if(named(label) != 1).alias("neg"))
     )
-    ranks = [i / AUC_BUCKETS for i in range(1, AUC_BUCKETS)]
-    cuts = sorted(set(scores.approxQuantile("s", ranks, 0.001)))
-    splits = [float("-inf"), *cuts, float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="s", outputCol="bucket").transform(scores) if cuts else (
-        scores.withColumn("bucket", F.lit(0.0))
-    )
+    scores = written(scores, "scores")
+    buckets = min(AUC_BUCKETS, scores.count() // AUC_BUCKET_SCORES + 1)
+    if buckets == 1:
+        bucketed = scores.withColumn("bucket", F.lit(0.0))
+    else:
+        ranks = [i / buckets for i in range(1, buckets)]
+        cuts = sorted(set(scores.approxQuantile("s", ranks, 0.25 / buckets)))
+        splits = [float("-inf"), *cuts, float("inf")]
+        bucketed = Bucketizer(splits=splits, inputCol="s", outputCol="bucket").transform(scores)
     inside = Window.partitionBy("bucket").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     totals = bucketed.groupBy("bucket").agg(F.sum("neg").alias("neg"))
     lower = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -73,7 +73,8 @@ def reading_for(feature: str) -> Column:
 
 def request_features(df: DataFrame, features: list[str]) -> DataFrame:
     """All model features made from the current readings; existing columns stay."""
-    return df.select("*", *[reading_for(f).alias(f) for f in features if f not in df.columns])
+    absent = [f for f in features if f not in df.columns]
+    return df.select("*", *[reading_for(f).alias(f) for f in absent])
 
 
 def fired_rules() -> Column:
@@ -99,14 +100,22 @@ def state_labels() -> Column:
 def rule_factors(probability: Column) -> Column:
     """Reasons without attributions: fired rules, else state labels when failure is likely."""
     fired = fired_rules()
-    likely = F.when(probability > 0.5, state_labels()).otherwise(F.array().cast("array<string>"))
-    return F.slice(F.when(F.size(fired) > 0, fired).otherwise(likely), 1, 3)
+    return F.slice(F.when(F.size(fired) > 0, fired).otherwise(likely_states(probability)), 1, 3)
+
+
+def likely_states(probability: Column) -> Column:
+    """State labels of a likely failure, else nothing."""
+    return F.when(probability > 0.5, state_labels()).otherwise(F.array().cast("array<string>"))
 
 
 def score_requests(
     valid: DataFrame, model: FailureModel, explain: bool = True, top_n: int = 5
 ) -> DataFrame:
-    """Adds failure_probability, risk_level, top_risk_factors and shap_explanations."""
+    """Adds failure_probability, risk_level, top_risk_factors and shap_explanations.
+
+    Model features the frame lacks are made from the current readings; a frame that brings
+    features from its history is scored on those.
+    """
     kept = valid.columns
     scored = model.predict(request_features(valid, model.features))
     scored = scored.withColumn("failure_probability", F.col("probability"))
@@ -115,12 +124,13 @@ def score_requests(
             with_attributions(scored, model), model.features, top_n=top_n, inclusive_bands=True
         )
         reasons = F.slice(F.transform("positive_factors", lambda f: f["explanation"]), 1, 3)
-        likely = F.when(F.col("probability") > 0.5, state_labels()).otherwise(F.array().cast("array<string>"))
+        if set(READINGS) <= set(kept):
+            reasons = F.when(F.size(reasons) > 0, reasons).otherwise(likely_states(F.col("probability")))
         return explained.select(
             *[named(c) for c in kept],
             "failure_probability",
             "risk_level",
-            F.when(F.size(reasons) > 0, reasons).otherwise(likely).alias("top_risk_factors"),
+            reasons.alias("top_risk_factors"),
             F.slice("top_features", 1, 5).alias("shap_explanations"),
         )
     return scored.select(

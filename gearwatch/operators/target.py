@@ -89,10 +89,12 @@ def create_target(
 
 
 def target_by_join(df: DataFrame, options: LogOptions) -> DataFrame:
-    """The label by an interval semi join: a second way to the same result, for checks.
+    """Rows with a failure within (t, t + horizon], by an interval semi join.
 
-    Both sides are cut into horizon-wide cells and a failure is sent to the two cells it
-    can label, so the join is an equi join and no machine lands in one task.
+    A second way to the label, for checks. Time is cut into horizon-wide cells. Of the
+    failures in a row's own cell only the last one matters, of those in the next cell only
+    the first, so failures shrink to one row per machine and cell and the join is an equi
+    join that compares each reading once.
     """
     column = failure_column(df, options)
     df = normalise_failure(df, options)
@@ -100,15 +102,23 @@ def target_by_join(df: DataFrame, options: LogOptions) -> DataFrame:
     keyed = t.attach(df).withColumn("_cell", F.floor(F.col(US) / options.horizon_us))
     failures = (
         keyed.filter(named(column))
-        .select(named(options.machine).alias("_fm"), F.col(US).alias("_ft"), F.col("_cell").alias("_fc"))
-        .distinct()
-        .select("_fm", "_ft", F.explode(F.array(F.col("_fc"), F.col("_fc") - 1)).alias("_fc"))
+        .groupBy(named(options.machine).alias("_fm"), F.col("_cell").alias("_c"))
+        .agg(F.min(US).alias("_first"), F.max(US).alias("_last"))
+    )
+    nothing = F.lit(None).cast("long")
+    sides = F.array(
+        F.struct(F.col("_c").alias("cell"), F.col("_last").alias("last"), nothing.alias("first")),
+        F.struct((F.col("_c") - 1).alias("cell"), nothing.alias("last"), F.col("_first").alias("first")),
+    )
+    failures = (
+        failures.select("_fm", F.inline(sides))
+        .groupBy("_fm", "cell")
+        .agg(F.max("last").alias("_last"), F.min("first").alias("_first"))
     )
     within = (
         named(options.machine).eqNullSafe(F.col("_fm"))
-        & (F.col("_cell") == F.col("_fc"))
-        & (F.col("_ft") > F.col(US))
-        & (F.col("_ft") - F.col(US) <= options.horizon_us)
+        & (F.col("_cell") == F.col("cell"))
+        & ((F.col("_last") > F.col(US)) | (F.col("_first") - F.col(US) <= options.horizon_us))
     )
     return keyed.join(failures, within, "left_semi").drop(US, "_cell")
 

@@ -62,7 +62,7 @@ def run_pipeline(
     if output:
         save_csv(cleaned, f"{output}/cleaned/version={version}")
     # The feature table feeds the threshold, two sets and the checks: written once.
-    table = written(feature_pipeline(cleaned, options, chosen, timeline), "features")
+    table = written(feature_pipeline(cleaned, options, chosen, timeline, filled=True), "features")
     train, test, train_path, test_path = split_pipeline(
         table, options, f"{output}/datasets" if output else None, version, format
     )

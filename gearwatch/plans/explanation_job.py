@@ -96,8 +96,7 @@ def main() -> None:
     version = folder.rsplit("models_", 1)[1]
     result = explain(test, model, LogOptions(), f"{folder}/attributions", version)
     save(result, f"{folder}/explanations")
-    broken = explanation_checks(result.high_risk, 5).count()
-    print(f"explanations that break a rule: {broken}")
+    explanation_checks(result.high_risk, TOP_ROWS).show()
     result.report.orderBy("line_no").select(F.col("line")).show(200, truncate=False)
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from gearwatch.sources.files import exists, folders
 
+# Spark writes milliseconds unless told otherwise; logs have microseconds.
+CSV_OPTIONS = {"header": True, "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 FORMATS = {"parquet": ("parquet",), "csv": ("csv",), "both": ("parquet", "csv")}
 
 
@@ -31,7 +33,7 @@ def save_datasets(
             if kind == "parquet":
                 writer.parquet(f"{home}/split={name}")
             else:
-                writer.option("header", True).csv(f"{home}/split={name}")
+                writer.options(**CSV_OPTIONS).csv(f"{home}/split={name}")
         paths.append((f"{home}/split=train", f"{home}/split=test"))
     return paths[0]
 
@@ -54,12 +56,17 @@ def load_dataset(spark: SparkSession, base: str, split: str = "test", path: str
 
 def save_csv(df: DataFrame, path: str) -> None:
     """Frame of any size as CSV parts with headers."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+
+
+def load_csv(spark: SparkSession, path: str, schema) -> DataFrame:
+    """CSV written by this module, with the given schema."""
+    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
 
 
 def save_ranking(df: DataFrame, path: str, by: str, *ties: str) -> None:
     """Small table as one CSV file, largest ``by`` first."""
-    df.orderBy(F.desc(by), *ties).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    df.orderBy(F.desc(by), *ties).coalesce(1).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def save_json(df: DataFrame, path: str) -> None:

@@ -118,3 +118,15 @@ def fill(g, c, method="time"):
         else:
             out.append(math.nan)
     return out
+
+
+def ema_with_gaps(g, c, a):
+    out, y, gap = [], None, 0
+    for x in g[c]:
+        gap += 1
+        if not math.isnan(x):
+            old = (1 - a) ** gap
+            y = x if y is None else (old * y + a * x) / (old + a)
+            gap = 0
+        out.append(math.nan if y is None else y)
+    return out

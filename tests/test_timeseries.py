@@ -93,6 +93,16 @@ def test_rolling_ignores_nulls(spark, frame, shape):
             )
 
 
+@pytest.mark.parametrize("shape", ["whole", "cut"])
+def test_ema_over_gaps(spark, frame, shape):
+    o = replace(SHAPES[shape], alphas=(0.3, 0.7, 1.0))
+    got = back(features.create_ema_features(to_spark(spark, frame), o))
+    want = brute.ordered(frame)
+    for c in ("a", "b"):
+        for a in o.alphas:
+            same(got[f"{c}_ema_{a}"], brute.per_machine(want, lambda g: brute.ema_with_gaps(g, c, a)))
+
+
 @pytest.mark.parametrize("hours", [1, 6])
 def test_target_two_ways(spark, frame, hours):
     o = replace(BASE, horizon_hours=hours)
