@@ -84,6 +84,15 @@ def without_nan(df: DataFrame) -> DataFrame:
     )
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a column that is computed once per row.
+
+    The optimiser copies a projected expression into every filter that uses it, and lambda
+    bodies see it per element. The output of a generator is never copied.
+    """
+    return df.select(*[named(c) for c in df.columns if c != name], F.explode(F.array(value)).alias(name))
+
+
 def fixed(number: Column, places: int = 6) -> Column:
     """Rounded for comparison; the nudge keeps exact halves from flipping either way."""
     return F.round(number + F.lit(3e-9), places)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gearwatch.functions.columns import named
+from gearwatch.functions.columns import named, once
 from gearwatch.operators.metrics import risk_band
 
 # Sensors and operations a feature name may hold, first hit wins.
@@ -137,7 +137,7 @@ def with_explanations(
         )
 
     p = named(probability)
-    df = df.withColumn("top_features", F.transform(top, factor))
+    df = once(df, "top_features", F.transform(top, factor))
     df = df.withColumn("risk_level", risk_band(p, inclusive_bands))
     df = df.withColumn("positive_factors", F.filter("top_features", lambda f: f["shap_value"] > 0))
     df = df.withColumn("negative_factors", F.filter("top_features", lambda f: f["shap_value"] <= 0))

@@ -12,7 +12,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gearwatch.functions.columns import named, sanitised
+from gearwatch.functions.columns import named, once, sanitised
 from gearwatch.operators.profile import class_weights
 from gearwatch.options import SEED
 from gearwatch.sources.files import exists, folders
@@ -109,7 +109,7 @@ def missing_features(df: DataFrame, features: list[str]) -> list[str]:
 
 
 def with_values(df: DataFrame, features: list[str], name: str = "values") -> DataFrame:
-    return df.withColumn(name, F.array(*aligned(df, features)))
+    return once(df, name, F.array(*aligned(df, features)))
 
 
 def with_vector(df: DataFrame, features: list[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gearwatch.functions.columns import named
+from gearwatch.functions.columns import named, once
 from gearwatch.operators.attribution import with_attributions
 from gearwatch.operators.insights import with_explanations
 from gearwatch.operators.metrics import risk_band
@@ -19,7 +19,7 @@ READINGS = ("temperature", "pressure", "vibration")
 READING_LIMIT = 100_000.0
 
 # Text fields, so that a bad number does not hide which field was bad.
-REQUEST = T.StructType([T.StructField(c, T.StringType()) for c in ("machine_id", *READINGS)])
+REQUEST = T.StructType([T.StructField(c, T.StringType()) for c in ("machine_id", *READINGS, "_broken")])
 
 # Bounds and labels of the simple reasons.
 HOT, TIGHT, SHAKY = 80.0, 1.5, 0.015
@@ -31,12 +31,12 @@ def parse_requests(df: DataFrame, body: str = "value") -> DataFrame:
     All fields must be there, the id a text, readings numbers or numeric texts of at most
     100000 in size.
     """
-    raw = F.from_json(named(body), REQUEST, {"mode": "PERMISSIVE"})
-    kinds = F.from_json(named(body), T.MapType(T.StringType(), T.StringType()))
-    df = df.withColumn("_raw", raw).withColumn("_is_object", kinds.isNotNull())
+    raw = F.from_json(named(body), REQUEST, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
+    df = once(df, "_raw", raw)
+    is_object = F.col("_raw").isNotNull() & F.col("_raw._broken").isNull() & F.ltrim(named(body)).startswith("{")
     number = {c: F.trim(F.col("_raw")[c]).try_cast("double") for c in READINGS}
     problems = [
-        F.when(~F.col("_is_object"), "not a JSON object"),
+        F.when(~F.coalesce(is_object, F.lit(False)), "not a JSON object"),
         *[F.when(F.col("_raw")[c].isNull(), F.lit(f"{c} is missing")) for c in ("machine_id", *READINGS)],
         *[F.when(number[c].isNull(), F.lit(f"{c} is not numeric")) for c in READINGS],
         *[F.when(F.isnan(number[c]) | (F.abs(number[c]) > READING_LIMIT), F.lit(f"{c} is out of range")) for c in READINGS],
@@ -46,7 +46,7 @@ def parse_requests(df: DataFrame, body: str = "value") -> DataFrame:
         F.col("_raw.machine_id").alias("machine_id"),
         *[number[c].alias(c) for c in READINGS],
         F.coalesce(*problems).alias("reason"),
-    ).drop("_raw", "_is_object")
+    ).drop("_raw")
 
 
 def valid_requests(parsed: DataFrame) -> DataFrame:

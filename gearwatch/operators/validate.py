@@ -92,7 +92,7 @@ def feature_prefix_mismatches(df: DataFrame, options: LogOptions, make, cut_us:
     early = instant(df, options.time) <= F.lit(cut_us)
     whole = make(df).filter(early)
     prefix = make(df.filter(early))
-    return whole.exceptAll(prefix.select(*whole.columns)).select(*keys)
+    return whole.exceptAll(prefix.select(*map(named, whole.columns))).select(*keys)
 
 
 def validate_pipeline(

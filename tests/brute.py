@@ -8,7 +8,7 @@ import pandas as pd
 HOUR = 3600 * 10**6
 
 
-def random_log(seed, rows=400, machines=3, ties=True, gaps=0.15, hot=None):
+def random_log(seed, rows=250, machines=3, ties=True, gaps=0.15, hot=None):
     """Readings of a few machines; ``hot`` is the share machine M0 holds."""
     rng = np.random.default_rng(seed)
     step = 600 if ties else 1

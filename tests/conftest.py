@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
     from gearwatch.session import local_session
 
     folder = str(tmp_path_factory.mktemp("checkpoints"))
-    session = local_session("gearwatch-tests", partitions=4, checkpoint_dir=folder)
+    session = local_session("gearwatch-tests", partitions=3, checkpoint_dir=folder)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gearwatch.functions.columns import fixed
+from gearwatch.functions.columns import fixed, once
 from gearwatch.operators import insights, metrics, scoring
 from workload.registry import query
 from workload.views import LOG_SQL, REQUESTS_SQL, SCORED_SQL, events_log, r6, requests, rounded, scored_events, table
@@ -278,7 +278,7 @@ PROXY = ["temperature", "pressure_lag_1", "vibration_rolling_mean_1h", "rpm_ema_
 def _attributed(spark, d):
     """Stand-in attributions from the readings themselves, so that SQL can follow."""
     v, k = F.col("value"), F.col("k")
-    return events_log(spark, d).select(
+    rows = events_log(spark, d).select(
         F.col("seq").alias("row_id"),
         F.least(v / F.lit(200.0), F.lit(1.0)).alias("probability"),
         F.col("failure").cast("int").alias("label"),
@@ -286,6 +286,7 @@ def _attributed(spark, d):
         F.array(v - 50, (k - 50) * 0.5, (v - k) * 0.25, F.lit(20.0) - v).alias("attributions"),
         F.lit(0.0).alias("base"),
     )
+    return once(rows, "attributions", F.col("attributions"))
 
 
 _ATTRIBUTED_SQL = f"""{LOG_SQL}, wide AS (SELECT seq AS row_id, value, k, failure, least(value / 200.0::DOUBLE, 1.0::DOUBLE) AS p FROM log),

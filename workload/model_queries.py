@@ -5,8 +5,6 @@ SQL cannot fit these models, so the queries have no SQL twin; the tests prove th
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import functions as F
 
 from gearwatch.functions.columns import fixed
@@ -17,12 +15,24 @@ from gearwatch.operators.models import FailureModel
 from gearwatch.operators.search import search
 from gearwatch.operators.split import time_based_split
 from gearwatch.plans.explanation_job import explain
-from gearwatch.plans.training_job import model_table, prepare_features, train_all_models
+from gearwatch.plans.training_job import prepare_features, train_all_models
 from gearwatch.session import fresh_path, written
 from gearwatch.sources import artifacts
 from gearwatch.streaming.scorer import score_stream
+from workload.log_queries import (
+    _RANK,
+    EMA_COLUMNS,
+    EMA_NAMES,
+    EMA_SQL,
+    LAG_COLUMNS,
+    LAG_NAMES,
+    ROLL_COLUMNS,
+    ROLL_NAMES,
+    TARGET_SQL,
+    WINDOWS,
+)
 from workload.registry import query
-from workload.views import EVENTS, events_log, requests, table
+from workload.views import EVENTS, LOG_SQL, SENSORS, events_log, requests, rounded, table
 
 # Small ensembles: what is shown is the operator, not the best score.
 FOREST = {"numTrees": 10, "maxDepth": 5}
@@ -57,10 +67,20 @@ def fitted(spark, d, kind: str) -> FailureModel:
     return _fitted[key]
 
 
-@query("prj_model_features")
+MODEL_NAMES = SENSORS + LAG_NAMES + ROLL_NAMES + EMA_NAMES
+MODEL_SQL = f"""WITH RECURSIVE {LOG_SQL}, edge AS ({_RANK}), {EMA_SQL}, {TARGET_SQL},
+  made AS (SELECT us, seq, machine_id, failure_within_24h, value, k, {LAG_COLUMNS}, {ROLL_COLUMNS}
+    FROM labelled WINDOW {WINDOWS}),
+  whole AS (SELECT made.*, {EMA_COLUMNS} FROM made JOIN ema USING (seq, machine_id))
+  SELECT seq, machine_id, CAST(failure_within_24h AS DOUBLE) AS label,
+    {", ".join(f"coalesce({n.replace('.', '_')}, 0) AS {n.replace('.', '_')}" for n in MODEL_NAMES)}
+  FROM whole WHERE us < (SELECT us FROM edge)"""
+
+
+@query("prj_model_features", MODEL_SQL)
 def _(spark, d):
-    data = prepared(spark, d)[2]
-    return model_table(data.df.withColumnRenamed("label", EVENTS.target), data.features, EVENTS)
+    """What the models learn from: the training side, nulls as 0."""
+    return rounded(prepared(spark, d)[2].df, ["seq", "machine_id", "label"], MODEL_NAMES)
 
 
 def _model_queries(kind):
@@ -198,9 +218,6 @@ def _(spark, d):
     return explain(prepared(spark, d)[1], fitted(spark, d, "boosted"), EVENTS).report
 
 
-REQUEST_LOG = replace(EVENTS, target="label")
-
-
 def request_model(spark, d) -> FailureModel:
     """Boosted model on features named as the request fields are."""
     key = (spark.sparkContext.applicationId, d, "request")
