@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from gearwatch.functions.columns import named
@@ -91,14 +91,14 @@ def interpolate_missing_values(
     def reading(c: str) -> Column:
         return F.when(named(c).isNotNull(), F.struct(at.alias("at"), named(c).cast("double").alias("x")))
 
-    # Nearest reading at or before, at or after, and the last one at the same instant.
-    nearest = []
-    for i, c in enumerate(chosen):
-        nearest.append(F.last(reading(c), ignorenulls=True).over(up_to_current(t.forward())).alias(f"_p{i}"))
-        nearest.append(F.last(reading(c), ignorenulls=True).over(up_to_current(t.backward())).alias(f"_q{i}"))
-    df = df.select("*", *nearest)
-    if t.split:
-        df = _carry_readings(df, t, chosen, method)
+
+    def nearest(df: DataFrame, side: str, order: WindowSpec) -> DataFrame:
+        found = [F.last(reading(c), ignorenulls=True).over(up_to_current(order)) for c in chosen]
+        return df.select("*", *[f.alias(f"{side}{i}") for i, f in enumerate(found)])
+
+    # The nearest reading at or before, the last one at the same instant, the nearest at or
+    # after. In this order the first two share an exchange and a sort.
+    df = nearest(df, "_p", t.forward())
     if method == "time":
         peers = (
             Window.partitionBy(*t.keys, F.col(US))
@@ -108,6 +108,9 @@ def interpolate_missing_values(
         df = df.select(
             "*", *[F.last(named(c), ignorenulls=True).over(peers).alias(f"_s{i}") for i, c in enumerate(chosen)]
         )
+    df = nearest(df, "_q", t.backward())
+    if t.split:
+        df = _carry_readings(df, t, chosen, method)
 
     filled = {}
     for i, c in enumerate(chosen):
@@ -139,16 +142,13 @@ def _carry_readings(df: DataFrame, t: Timeline, chosen: list[str], method: str)
         return F.when(s.isNotNull(), F.struct((s["at"] + F.col("_offset")).alias("at"), s["x"].alias("x")))
 
     # One step for the offsets, one for the readings, both on the per-segment table.
-    per_segment = df.groupBy(named(t.options.machine).alias("_m"), F.col("_seg").alias("_s")).agg(*summary)
-    per_segment = per_segment.withColumn("_offset", offset)
+    per_segment = t.per_segment(df, summary).withColumn("_offset", offset)
     passed = [F.col("_offset")]
     for i in range(n):
         passed.append(F.last(shifted(f"_l{i}"), True).over(before_current(t.earlier())).alias(f"_cp{i}"))
         passed.append(F.last(shifted(f"_f{i}"), True).over(before_current(t.later())).alias(f"_cq{i}"))
     table = per_segment.select("_m", "_s", *passed)
-    joined = df.join(
-        table, named(t.options.machine).eqNullSafe(table["_m"]) & (F.col("_seg") == table["_s"]), "left"
-    ).drop("_m", "_s")
+    joined = t.join_segments(df, table)
     keep = [c for c in df.columns if c not in {"_at", *[f"_p{i}" for i in range(n)], *[f"_q{i}" for i in range(n)]}]
     return joined.select(
         *[named(c) for c in keep],

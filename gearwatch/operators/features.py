@@ -16,13 +16,19 @@ from gearwatch.functions import moments as M
 from gearwatch.functions.columns import instant, named
 from gearwatch.operators.schema import sensor_columns
 from gearwatch.operators.target import create_target
-from gearwatch.operators.timeline import HOT_LIMIT, US, Timeline, before_current, up_to_current
+from gearwatch.operators.timeline import (
+    HOT_LIMIT,
+    KEY,
+    TIE_SLOTS,
+    US,
+    Timeline,
+    before_current,
+    up_to_current,
+)
 from gearwatch.options import LogOptions
 
 # Weights below this share of an average are dropped; far under double precision.
 NEGLIGIBLE = 1e-18
-# Ties one instant may hold in the frame key; sparse logs hold fewer by measurement.
-TIE_SLOTS = 4096
 
 
 def create_lag_features(
@@ -73,10 +79,9 @@ def create_rolling_features(
     """
     chosen = sensor_columns(df, options) if sensors is None else sensors
     t = timeline or Timeline.measure(df, options)
-    years_fit = (t.span[1] - t.span[0]) < (1 << 62) // TIE_SLOTS
-    if t.dense or t.split or not years_fit:
-        return _rolling_by_panes(df, options, chosen)
-    return _rolling_by_frames(df, options, chosen, t)
+    if t.sparse:
+        return _rolling_by_frames(df, options, chosen, t)
+    return _rolling_by_panes(df, options, chosen)
 
 
 def _rolling_names(sensor: str, window: str) -> tuple[str, str]:
@@ -85,13 +90,9 @@ def _rolling_names(sensor: str, window: str) -> tuple[str, str]:
 
 def _rolling_by_frames(df: DataFrame, options: LogOptions, chosen: list[str], t: Timeline) -> DataFrame:
     columns = df.columns
-    df = t.attach(df)
-    w = t.forward()
-    by_instant = Window.partitionBy(*t.keys).orderBy(F.col(US))
-    # One LONG that orders rows by instant, then by place among the ties.
-    tie = F.row_number().over(w) - F.rank().over(by_instant)
-    df = df.select("*", ((F.col(US) - F.lit(t.span[0])) * TIE_SLOTS + tie).alias("_key"))
-    ordered = Window.partitionBy(*t.keys).orderBy("_key")
+    if not t.keyed:
+        df, t = t.with_key(df)
+    ordered = Window.partitionBy(*t.keys).orderBy(KEY)
     out = []
     for c in chosen:
         for name, width in options.windows_us:
@@ -299,10 +300,13 @@ def _next_reading(alpha: float):
 def _carry_recent(df: DataFrame, t: Timeline, sensors: int, depth: int) -> DataFrame:
     """Put the last readings of earlier segments before those of the segment."""
     places = range(sensors)
-    per_segment = df.groupBy(named(t.options.machine).alias("_m"), F.col("_seg").alias("_s")).agg(
-        F.max("_rn").alias("_n"),
-        *[F.max(f"_j{i}").alias(f"_n{i}") for i in places],
-        *[F.max_by(f"_r{i}", "_rn").alias(f"_e{i}") for i in places],
+    per_segment = t.per_segment(
+        df,
+        [
+            F.max("_rn").alias("_n"),
+            *[F.max(f"_j{i}").alias(f"_n{i}") for i in places],
+            *[F.max_by(f"_r{i}", "_rn").alias(f"_e{i}") for i in places],
+        ],
     )
     offset = F.coalesce(F.sum("_n").over(before_current(t.earlier())), F.lit(0))
     per_segment = per_segment.withColumn("_offset", offset.cast("long"))
@@ -336,9 +340,7 @@ def _carry_recent(df: DataFrame, t: Timeline, sensors: int, depth: int) -> DataF
             for i in places
         ],
     )
-    joined = df.join(
-        table, named(t.options.machine).eqNullSafe(table["_m"]) & (F.col("_seg") == table["_s"]), "left"
-    )
+    joined = t.join_segments(df, table)
     replaced = {f"_r{i}": _last_of(F.concat(F.col(f"_b{i}"), moved(f"_r{i}")), depth) for i in places}
     return joined.select(*[replaced[c].alias(c) if c in replaced else named(c) for c in df.columns])
 
@@ -356,7 +358,11 @@ def _ema_of_whole(df: DataFrame, options: LogOptions, chosen: list[str], t: Time
     """
     columns = df.columns
     df = t.attach(df)
-    df = df.select("*", (F.row_number().over(t.forward()) - 1).alias("_rn"))
+    first = [
+        F.first(named(c)).over(up_to_current(t.forward())).cast("double").alias(f"_x{i}")
+        for i, c in enumerate(chosen)
+    ]
+    df = df.select("*", (F.row_number().over(t.forward()) - 1).alias("_rn"), *first)
     smooth = [a for a in options.alphas if a < 1]
     made = []
     for g, group in enumerate(_alpha_groups(smooth)):
@@ -401,11 +407,6 @@ def _ema_of_whole(df: DataFrame, options: LogOptions, chosen: list[str], t: Time
 
 def _ema_start(df: DataFrame, t: Timeline, chosen: list[str], smooth: list[float]) -> DataFrame:
     """Average before the first row of the group: the first reading, or the handed-on average."""
-    first = [
-        F.first(named(c)).over(up_to_current(t.forward())).cast("double").alias(f"_x{i}")
-        for i, c in enumerate(chosen)
-    ]
-    df = df.select("*", *first)
     if not t.split:
         return df.select(
             "*", *[F.col(f"_x{i}").alias(f"_y{i}_{a}") for i in range(len(chosen)) for a in smooth]
@@ -448,7 +449,9 @@ def feature_pipeline(
     if not chosen:
         raise ValueError("no sensor columns found for feature engineering")
     t = timeline or Timeline.measure(df, options)
+    if t.sparse:
+        df, t = t.with_key(df)
     df = create_lag_features(df, options, chosen, t)
     df = create_rolling_features(df, options, chosen, t)
     df = create_ema_features(df, options, chosen, t, filled)
-    return create_target(df, options, t)
+    return create_target(df, options, t).drop(KEY)

@@ -12,7 +12,7 @@ same as on the uncut machine.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -22,6 +22,12 @@ from gearwatch.options import LogOptions
 
 US = "_us"
 SEG = "_seg"
+MACHINE = "_machine"
+KEY = "_key"
+# Places for ties of one instant in the row key; sparse logs hold fewer by measurement.
+TIE_SLOTS = 4096
+# Machine key of rows without a machine, so that segment joins are plain equi joins.
+NO_MACHINE = "\u0000"
 # A machine is cut only beyond total/HOT_LIMIT rows, so at most this many are ever listed.
 HOT_LIMIT = 50_000
 # Rows without an instant sort after all segments of their machine.
@@ -36,6 +42,7 @@ class Timeline:
     max_dense: int
     span: tuple[int, int]
     hot: DataFrame | None
+    keyed: bool = False
 
     @classmethod
     def measure(cls, df: DataFrame, options: LogOptions, axis: str | None = None) -> "Timeline":
@@ -70,13 +77,14 @@ class Timeline:
         return self.hot is not None
 
     @property
-    def dense(self) -> bool:
-        return self.max_dense > self.options.dense_rows
+    def keys(self) -> list[Column]:
+        return [F.col(MACHINE), F.col(SEG)] if self.split else [named(self.options.machine)]
 
     @property
-    def keys(self) -> list[Column]:
-        m = named(self.options.machine)
-        return [m, F.col(SEG)] if self.split else [m]
+    def sparse(self) -> bool:
+        """Few rows per window, no machine to cut, and instants that fit the row key."""
+        fits = self.span[1] - self.span[0] < (1 << 62) // TIE_SLOTS
+        return fits and not self.split and self.max_dense <= min(self.options.dense_rows, TIE_SLOTS // 2)
 
     def attach(self, df: DataFrame) -> DataFrame:
         """Add the instant and, where machines are cut, the segment number."""
@@ -88,11 +96,28 @@ class Timeline:
         seg = F.coalesce(
             F.floor((F.col(US) - F.col("_lo")) / F.col("_width")), F.lit(LAST_SEGMENT)
         ).cast("long")
-        return joined.withColumn(
-            SEG, F.when(F.col("_width").isNull(), F.lit(0).cast("long")).otherwise(seg)
+        return joined.withColumns(
+            {
+                SEG: F.when(F.col("_width").isNull(), F.lit(0).cast("long")).otherwise(seg),
+                MACHINE: F.coalesce(named(self.options.machine).cast("string"), F.lit(NO_MACHINE)),
+            }
         ).drop("_hot", "_lo", "_width")
 
+    def with_key(self, df: DataFrame) -> tuple[DataFrame, "Timeline"]:
+        """Adds one LONG that orders the rows of a machine by instant, then among ties.
+
+        A chain of operators on a keyed log shares one sort by this key. For sparse logs.
+        """
+        columns = df.columns
+        df = self.attach(df)
+        by_instant = Window.partitionBy(*self.keys).orderBy(F.col(US).asc())
+        tie = F.row_number().over(self.forward()) - F.rank().over(by_instant)
+        key = (F.col(US) - F.lit(self.span[0])) * TIE_SLOTS + tie
+        return df.select(*map(named, columns), key.alias(KEY)), replace(self, keyed=True)
+
     def order(self) -> list[Column]:
+        if self.keyed:
+            return [F.col(KEY)]
         return [F.col(US), *[named(c) for c in self.options.order]]
 
     def forward(self) -> WindowSpec:
@@ -111,13 +136,15 @@ class Timeline:
         summary table, built with ``earlier()`` / ``later()`` windows. That table has
         one row per segment, not per reading.
         """
-        per_segment = df.groupBy(named(self.options.machine).alias("_m"), F.col(SEG).alias("_s")).agg(*summary)
-        table = per_segment.select("_m", "_s", *passed)
-        return df.join(
-            table,
-            named(self.options.machine).eqNullSafe(table["_m"]) & (F.col(SEG) == table["_s"]),
-            "left",
-        ).drop("_m", "_s")
+        return self.join_segments(df, self.per_segment(df, summary).select("_m", "_s", *passed))
+
+    def per_segment(self, df: DataFrame, summary: list[Column]) -> DataFrame:
+        return df.groupBy(F.col(MACHINE).alias("_m"), F.col(SEG).alias("_s")).agg(*summary)
+
+    def join_segments(self, df: DataFrame, table: DataFrame) -> DataFrame:
+        """Rows with the line of their segment; rows stay where the windows put them."""
+        same = (F.col(MACHINE) == F.col("_m")) & (F.col(SEG) == F.col("_s"))
+        return df.join(table, same, "left").drop("_m", "_s")
 
     @staticmethod
     def earlier() -> WindowSpec:
