@@ -1,7 +1,9 @@
 """Time-series features: lags, rolling windows, exponential averages, the pipeline.
 
 All features look back only. Every operator takes an optional ``Timeline``; pass
-one measured timeline through a chain so the log is measured once.
+one measured timeline through a chain so the log is measured once. ``source`` is the
+log a chain began with: tables that segments or panes pass on are made from it, so an
+operator late in a chain does not run the earlier ones a second time.
 """
 
 from __future__ import annotations
@@ -32,17 +34,21 @@ NEGLIGIBLE = 1e-18
 
 
 def create_lag_features(
-    df: DataFrame, options: LogOptions, sensors: list[str] | None = None, timeline: Timeline | None = None
+    df: DataFrame,
+    options: LogOptions,
+    sensors: list[str] | None = None,
+    timeline: Timeline | None = None,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """``{sensor}_lag_{k}``: the reading k rows earlier on the same machine."""
     chosen = sensor_columns(df, options) if sensors is None else sensors
     t = timeline or Timeline.measure(df, options)
     columns = df.columns
-    df = t.attach(df)
     w = t.forward()
     pairs = [(c, k, f"{c}_lag_{k}") for c in chosen for k in options.lags]
+    lags = [F.lag(named(c), k).over(w).alias(name) for c, k, name in pairs]
     if not t.split:
-        return df.select(*map(named, columns), *[F.lag(named(c), k).over(w).alias(name) for c, k, name in pairs])
+        return t.attach(df).select(*map(named, columns), *lags)
 
     # Segments hand on their last rows, newest first.
     depth = max(options.lags)
@@ -52,15 +58,18 @@ def create_lag_features(
             *[(F.lag(named(c), back).over(w) if back else named(c)).alias(f"x{i}") for i, c in enumerate(chosen)]
         )
 
-    df = df.select(
-        "*",
-        F.row_number().over(w).alias("_rn"),
-        F.array(*[row(back) for back in range(depth)]).alias("_tail"),
-        *[F.lag(named(c), k).over(w).alias(name) for c, k, name in pairs],
-    )
+    def inside_segments(d: DataFrame) -> DataFrame:
+        tail = F.array(*[row(back) for back in range(depth)]).alias("_tail")
+        return t.attach(d).select("*", F.row_number().over(w).alias("_rn"), tail, *lags)
+
     tail = F.max_by(F.slice("_tail", F.lit(1), F.least(F.col("_rn"), F.lit(depth))), F.col("_rn"))
     tails = F.collect_list("_tail").over(before_current(t.earlier(), depth))
-    df = t.carry(df, [tail.alias("_tail")], [F.flatten(F.reverse(tails)).alias("_before")])
+    df = t.carry(
+        inside_segments(df).drop("_tail"),
+        [tail.alias("_tail")],
+        [F.flatten(F.reverse(tails)).alias("_before")],
+        inside_segments(df if source is None else source),
+    )
     position = {c: i for i, c in enumerate(chosen)}
     inside = lambda c, k, name: F.when(F.col("_rn") > k, named(name)).otherwise(
         F.get(F.col("_before"), F.lit(k) - F.col("_rn"))[f"x{position[c]}"]
@@ -69,7 +78,11 @@ def create_lag_features(
 
 
 def create_rolling_features(
-    df: DataFrame, options: LogOptions, sensors: list[str] | None = None, timeline: Timeline | None = None
+    df: DataFrame,
+    options: LogOptions,
+    sensors: list[str] | None = None,
+    timeline: Timeline | None = None,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """``{sensor}_rolling_mean_{w}`` and ``_std_{w}`` over the time window (t-w, t].
 
@@ -81,7 +94,7 @@ def create_rolling_features(
     t = timeline or Timeline.measure(df, options)
     if t.sparse:
         return _rolling_by_frames(df, options, chosen, t)
-    return _rolling_by_panes(df, options, chosen)
+    return _rolling_by_panes(df, options, chosen, df if source is None else source)
 
 
 def _rolling_names(sensor: str, window: str) -> tuple[str, str]:
@@ -119,7 +132,7 @@ def pane_widths(df: DataFrame, options: LogOptions) -> tuple[int, list[tuple]]:
     return pane, narrow
 
 
-def _rolling_by_panes(df: DataFrame, options: LogOptions, chosen: list[str]) -> DataFrame:
+def _rolling_by_panes(df: DataFrame, options: LogOptions, chosen: list[str], source: DataFrame) -> DataFrame:
     """Window = tail of the pane it starts in + whole panes + head of its own pane.
 
     Panes are time cells whose width divides every window, so readings moved forward
@@ -130,16 +143,19 @@ def _rolling_by_panes(df: DataFrame, options: LogOptions, chosen: list[str]) ->
     """
     m = named(options.machine)
     columns = df.columns
-    pane, narrow = pane_widths(df, options)
-    us = F.col(US)
-    df = df.withColumn(US, instant(df, options.time))
-    if narrow:
-        kind = df.schema[options.machine].dataType.simpleString()
-        table = F.broadcast(df.sparkSession.createDataFrame(narrow, f"_hot {kind}, _w long"))
-        df = df.join(table, m.eqNullSafe(table["_hot"]), "left").drop("_hot")
-        df = df.withColumn("_w", F.coalesce(F.col("_w"), F.lit(pane).cast("long")))
-    else:
-        df = df.withColumn("_w", F.lit(pane).cast("long"))
+    pane, narrow = pane_widths(source, options)
+    us = F.col("_at")
+
+    def with_width(d: DataFrame) -> DataFrame:
+        d = d.withColumn("_at", instant(d, options.time))
+        if not narrow:
+            return d.withColumn("_w", F.lit(pane).cast("long"))
+        kind = d.schema[options.machine].dataType.simpleString()
+        table = F.broadcast(d.sparkSession.createDataFrame(narrow, f"_hot {kind}, _w long"))
+        d = d.join(table, m.eqNullSafe(table["_hot"]), "left").drop("_hot")
+        return d.withColumn("_w", F.coalesce(F.col("_w"), F.lit(pane).cast("long")))
+
+    df, source = with_width(df), with_width(source)
     starts = lambda at: F.floor(at / F.col("_w")) * F.col("_w")
 
     copies = F.array(
@@ -150,7 +166,7 @@ def _rolling_by_panes(df: DataFrame, options: LogOptions, chosen: list[str]) ->
         ],
     )
     carried = set(chosen) | {options.machine}
-    events = df.select(*map(named, columns), US, "_w", F.explode(copies).alias("_c")).select(
+    events = df.select(*map(named, columns), "_w", F.explode(copies).alias("_c")).select(
         *[
             named(c) if c in carried else F.when(F.col("_c.kind") == 0, named(c)).alias(c)
             for c in columns
@@ -174,7 +190,7 @@ def _rolling_by_panes(df: DataFrame, options: LogOptions, chosen: list[str]) ->
     )
     own = own.select("*", *[M.moments(named(c), heads_over).alias(f"_h{j}") for j, c in enumerate(chosen)])
 
-    panes = df.groupBy(m.alias("_m"), starts(us).alias("_p")).agg(
+    panes = source.groupBy(m.alias("_m"), starts(us).alias("_p")).agg(
         *[M.moments(named(c)).alias(f"_x{j}") for j, c in enumerate(chosen)]
     )
     between = []
@@ -225,6 +241,7 @@ def create_ema_features(
     sensors: list[str] | None = None,
     timeline: Timeline | None = None,
     filled: bool = False,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """``{sensor}_ema_{a}``: y0 = x0, y = a*x + (1-a)*y_prev, per machine.
 
@@ -235,12 +252,13 @@ def create_ema_features(
     chosen = sensor_columns(df, options) if sensors is None else sensors
     t = timeline or Timeline.measure(df, options)
     columns = df.columns
-    gappy = [] if filled else _gappy_sensors(df, options, chosen)
+    source = df if source is None else source
+    gappy = [] if filled else _gappy_sensors(source, options, chosen)
     whole = [c for c in chosen if c not in gappy]
     if whole:
-        df = _ema_of_whole(df, options, whole, t)
+        df = _ema_of_whole(df, options, whole, t, source)
     if gappy:
-        df = _ema_over_gaps(df, options, gappy, t)
+        df = _ema_over_gaps(df, options, gappy, t, source)
     return df.select(*map(named, columns), *[named(_ema_name(c, a)) for c in chosen for a in options.alphas])
 
 
@@ -258,26 +276,31 @@ def _gappy_sensors(df: DataFrame, options: LogOptions, chosen: list[str]) -> lis
     return [c for i, c in enumerate(chosen) if found[f"g{i}"]]
 
 
-def _ema_over_gaps(df: DataFrame, options: LogOptions, chosen: list[str], t: Timeline) -> DataFrame:
+def _ema_over_gaps(
+    df: DataFrame, options: LogOptions, chosen: list[str], t: Timeline, source: DataFrame
+) -> DataFrame:
     """Fold over the last readings that still weigh something, found by reading number."""
     columns = df.columns
-    df = t.attach(df)
     up_to = up_to_current(t.forward())
     rn = F.col("_rn")
-    df = df.select(
-        "*",
-        F.row_number().over(t.forward()).cast("long").alias("_rn"),
-        *[F.count(named(c)).over(up_to).alias(f"_j{i}") for i, c in enumerate(chosen)],
-    )
     depth = max([_lookback(a) for a in options.alphas if a < 1], default=1)
     recent = []
     for i, c in enumerate(chosen):
         frame = Window.partitionBy(*t.keys).orderBy(f"_j{i}").rangeBetween(-(depth - 1), 0)
         reading = F.struct(rn.alias("at"), named(c).cast("double").alias("x"))
         recent.append(F.collect_list(F.when(named(c).isNotNull(), reading)).over(frame).alias(f"_r{i}"))
-    df = df.select("*", *recent)
+
+    def inside(d: DataFrame) -> DataFrame:
+        d = t.attach(d).select(
+            "*",
+            F.row_number().over(t.forward()).cast("long").alias("_rn"),
+            *[F.count(named(c)).over(up_to).alias(f"_j{i}") for i, c in enumerate(chosen)],
+        )
+        return d.select("*", *recent)
+
+    df = inside(df)
     if t.split:
-        df = _carry_recent(df, t, len(chosen), depth)
+        df = _carry_recent(df, t, len(chosen), depth, inside(source))
     out = []
     for i, c in enumerate(chosen):
         seen = F.col(f"_r{i}")
@@ -297,11 +320,11 @@ def _next_reading(alpha: float):
     return step
 
 
-def _carry_recent(df: DataFrame, t: Timeline, sensors: int, depth: int) -> DataFrame:
+def _carry_recent(df: DataFrame, t: Timeline, sensors: int, depth: int, source: DataFrame) -> DataFrame:
     """Put the last readings of earlier segments before those of the segment."""
     places = range(sensors)
     per_segment = t.per_segment(
-        df,
+        source,
         [
             F.max("_rn").alias("_n"),
             *[F.max(f"_j{i}").alias(f"_n{i}") for i in places],
@@ -349,7 +372,9 @@ def _last_of(items: Column, n: int) -> Column:
     return F.slice(items, F.greatest(F.size(items) - n, F.lit(0)) + 1, n)
 
 
-def _ema_of_whole(df: DataFrame, options: LogOptions, chosen: list[str], t: Timeline) -> DataFrame:
+def _ema_of_whole(
+    df: DataFrame, options: LogOptions, chosen: list[str], t: Timeline, source: DataFrame
+) -> DataFrame:
     """Averages of sensors without gaps (a sensor may be empty for a whole machine).
 
     The recurrence is unrolled into scaled running sums inside row blocks; a block
@@ -357,15 +382,30 @@ def _ema_of_whole(df: DataFrame, options: LogOptions, chosen: list[str], t: Time
     Linear in the rows and all in SQL expressions.
     """
     columns = df.columns
+    smooth = [a for a in options.alphas if a < 1]
+    inside = _ema_inside(df, chosen, smooth, t)
+    handing_on = _ema_inside(source, chosen, smooth, t) if t.split else inside
+    df = _ema_start(inside, t, chosen, smooth, handing_on)
+    out = []
+    for i, c in enumerate(chosen):
+        for a in options.alphas:
+            if a >= 1:
+                y = named(c).cast("double")
+            else:
+                y = named(f"_l{i}_{a}") + F.pow(F.lit(1.0 - a), F.col("_rn") + 1) * named(f"_y{i}_{a}")
+            out.append(y.alias(_ema_name(c, a)))
+    return df.select(*map(named, columns), *out)
+
+
+def _ema_inside(df: DataFrame, chosen: list[str], smooth: list[float], t: Timeline) -> DataFrame:
+    """Averages inside the window group as if nothing came before, first reading, row number."""
     df = t.attach(df)
     first = [
         F.first(named(c)).over(up_to_current(t.forward())).cast("double").alias(f"_x{i}")
         for i, c in enumerate(chosen)
     ]
     df = df.select("*", (F.row_number().over(t.forward()) - 1).alias("_rn"), *first)
-    smooth = [a for a in options.alphas if a < 1]
-    made = []
-    for g, group in enumerate(_alpha_groups(smooth)):
+    for group in _alpha_groups(smooth):
         block = _lookback(group[0])
         blk, j = F.col("_blk"), F.col("_j")
         df = df.withColumn("_blk", F.floor(F.col("_rn") / block)).withColumn("_j", F.col("_rn") % block)
@@ -390,22 +430,15 @@ def _ema_of_whole(df: DataFrame, options: LogOptions, chosen: list[str], t: Time
                         f"_l{i}_{a}"
                     )
                 )
-                made.append((i, a))
-        df = df.select("*", *ends).drop("_blk", "_j", *[f"`_e{i}_{a}`" for i in range(len(chosen)) for a in group])
-
-    df = _ema_start(df, t, chosen, smooth)
-    out = []
-    for i, c in enumerate(chosen):
-        for a in options.alphas:
-            if a >= 1:
-                y = named(c).cast("double")
-            else:
-                y = named(f"_l{i}_{a}") + F.pow(F.lit(1.0 - a), F.col("_rn") + 1) * named(f"_y{i}_{a}")
-            out.append(y.alias(_ema_name(c, a)))
-    return df.select(*map(named, columns), *out)
+        df = df.select("*", *ends)
+        gone = {"_blk", "_j", *[f"_e{i}_{a}" for i in range(len(chosen)) for a in group]}
+        df = df.select(*[named(c) for c in df.columns if c not in gone])
+    return df
 
 
-def _ema_start(df: DataFrame, t: Timeline, chosen: list[str], smooth: list[float]) -> DataFrame:
+def _ema_start(
+    df: DataFrame, t: Timeline, chosen: list[str], smooth: list[float], source: DataFrame
+) -> DataFrame:
     """Average before the first row of the group: the first reading, or the handed-on average."""
     if not t.split:
         return df.select(
@@ -423,7 +456,8 @@ def _ema_start(df: DataFrame, t: Timeline, chosen: list[str], smooth: list[float
         ).over(before_current(t.earlier(), _lookback(a)))
         start = F.get(seen, F.lit(0))["x"]
         passed.append(F.aggregate(seen, start, _over_segment(a)).alias(f"_c{i}_{a}"))
-    df = t.carry(df, summary, passed)
+    # The summary brings its own first readings; the rows keep theirs.
+    df = t.carry(df, summary, passed, source)
     return df.select(
         "*", *[F.coalesce(named(f"_c{i}_{a}"), F.col(f"_x{i}")).alias(f"_y{i}_{a}") for i, a in cells]
     )
@@ -450,8 +484,20 @@ def feature_pipeline(
         raise ValueError("no sensor columns found for feature engineering")
     t = timeline or Timeline.measure(df, options)
     if t.sparse:
+        # One exchange by machine and one sort by the row key serve all steps.
         df, t = t.with_key(df)
-    df = create_lag_features(df, options, chosen, t)
-    df = create_rolling_features(df, options, chosen, t)
-    df = create_ema_features(df, options, chosen, t, filled)
-    return create_target(df, options, t).drop(KEY)
+        df = create_lag_features(df, options, chosen, t)
+        df = create_rolling_features(df, options, chosen, t)
+        df = create_ema_features(df, options, chosen, t, filled)
+        return create_target(df, options, t).drop(KEY)
+    # Steps on segments share their exchange, so the one on panes comes last.
+    source, columns = df, [c for c in df.columns if c != options.target]
+    df = t.attach(df)
+    df = create_lag_features(df, options, chosen, t, source)
+    df = create_ema_features(df, options, chosen, t, filled, source)
+    df = create_target(df, options, t, source=source)
+    df = create_rolling_features(df, options, chosen, t, source)
+    made = [f"{c}_lag_{k}" for c in chosen for k in options.lags]
+    made += [name for c in chosen for w, _ in options.windows for name in _rolling_names(c, w)]
+    made += [_ema_name(c, a) for c in chosen for a in options.alphas]
+    return df.select(*map(named, columns + made), named(options.target))

@@ -43,13 +43,17 @@ def normalise_failure(df: DataFrame, options: LogOptions) -> DataFrame:
 
 
 def create_target(
-    df: DataFrame, options: LogOptions, timeline: Timeline | None = None, observed: str | None = None
+    df: DataFrame,
+    options: LogOptions,
+    timeline: Timeline | None = None,
+    observed: str | None = None,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Label 1 where the machine fails within (t, t + horizon].
 
     A machine with a single row takes its own failure flag. Without any failure column
     all labels are 0. ``observed`` names an extra column that tells whether the log
-    covers the horizon of the row.
+    covers the horizon of the row. ``source`` is the log a chain of operators began with.
     """
     column = failure_column(df, options)
     if column is None:
@@ -78,6 +82,7 @@ def create_target(
                 F.sum("_n").over(machine).alias("_all"),
                 F.max("_hi").over(machine).alias("_all_end"),
             ],
+            None if source is None else t.attach(normalise_failure(source, options)),
         )
         next_failure, rows, end = F.coalesce(next_failure, F.col("_later_fail")), F.col("_all"), F.col("_all_end")
     soon = F.coalesce(next_failure - F.col(US) <= F.lit(options.horizon_us), F.lit(False))

@@ -87,7 +87,9 @@ class Timeline:
         return fits and not self.split and self.max_dense <= min(self.options.dense_rows, TIE_SLOTS // 2)
 
     def attach(self, df: DataFrame) -> DataFrame:
-        """Add the instant and, where machines are cut, the segment number."""
+        """Add the instant and, where machines are cut, the segment; once is enough for a chain."""
+        if US in df.columns and (SEG in df.columns or not self.split):
+            return df
         df = df.withColumn(US, instant(df, self.axis or self.options.time))
         if not self.split:
             return df
@@ -129,14 +131,18 @@ class Timeline:
     def by_instant_desc(self) -> WindowSpec:
         return Window.partitionBy(*self.keys).orderBy(F.col(US).desc())
 
-    def carry(self, df: DataFrame, summary: list[Column], passed: list[Column]) -> DataFrame:
+    def carry(
+        self, df: DataFrame, summary: list[Column], passed: list[Column], source: DataFrame | None = None
+    ) -> DataFrame:
         """Give each row what the other segments of its machine pass on.
 
         ``summary`` are aggregates per segment; ``passed`` are columns over the
         summary table, built with ``earlier()`` / ``later()`` windows. That table has
-        one row per segment, not per reading.
+        one row per segment, not per reading. ``source`` has the same rows as ``df`` with
+        a shorter plan, so that chains of operators do not recompute each other.
         """
-        return self.join_segments(df, self.per_segment(df, summary).select("_m", "_s", *passed))
+        table = self.per_segment(df if source is None else source, summary)
+        return self.join_segments(df, table.select("_m", "_s", *passed))
 
     def per_segment(self, df: DataFrame, summary: list[Column]) -> DataFrame:
         return df.groupBy(F.col(MACHINE).alias("_m"), F.col(SEG).alias("_s")).agg(*summary)
