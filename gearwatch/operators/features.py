@@ -21,6 +21,7 @@ from gearwatch.operators.target import create_target
 from gearwatch.operators.timeline import (
     HOT_LIMIT,
     KEY,
+    NO_MACHINE,
     TIE_SLOTS,
     US,
     Timeline,
@@ -147,7 +148,8 @@ def _rolling_by_panes(df: DataFrame, options: LogOptions, chosen: list[str], sou
     us = F.col("_at")
 
     def with_width(d: DataFrame) -> DataFrame:
-        d = d.withColumn("_at", instant(d, options.time))
+        key = F.coalesce(m.cast("string"), F.lit(NO_MACHINE))
+        d = d.withColumns({"_at": instant(d, options.time), "_pm": key})
         if not narrow:
             return d.withColumn("_w", F.lit(pane).cast("long"))
         kind = d.schema[options.machine].dataType.simpleString()
@@ -165,8 +167,9 @@ def _rolling_by_panes(df: DataFrame, options: LogOptions, chosen: list[str], sou
             for i, (_, w) in enumerate(options.windows_us)
         ],
     )
-    carried = set(chosen) | {options.machine}
-    events = df.select(*map(named, columns), "_w", F.explode(copies).alias("_c")).select(
+    carried = set(chosen)
+    events = df.select(*map(named, columns), "_pm", "_w", F.explode(copies).alias("_c")).select(
+        "_pm",
         *[
             named(c) if c in carried else F.when(F.col("_c.kind") == 0, named(c)).alias(c)
             for c in columns
@@ -177,7 +180,7 @@ def _rolling_by_panes(df: DataFrame, options: LogOptions, chosen: list[str], sou
     )
     # Readings still inside the window: they leave it after this row.
     leaving = up_to_current(
-        Window.partitionBy(m, "_pane").orderBy(F.col("_at").desc(), F.col("_kind").asc())
+        Window.partitionBy("_pm", "_pane").orderBy(F.col("_at").desc(), F.col("_kind").asc())
     )
     tails = [
         M.moments(F.when(F.col("_kind") == i + 1, named(c)), leaving).alias(f"_t{i}_{j}")
@@ -186,11 +189,11 @@ def _rolling_by_panes(df: DataFrame, options: LogOptions, chosen: list[str], sou
     ]
     own = events.select("*", *tails).filter(F.col("_kind") == 0)
     heads_over = up_to_current(
-        Window.partitionBy(m, "_pane").orderBy("_at", *[named(c) for c in options.order])
+        Window.partitionBy("_pm", "_pane").orderBy("_at", *[named(c) for c in options.order])
     )
     own = own.select("*", *[M.moments(named(c), heads_over).alias(f"_h{j}") for j, c in enumerate(chosen)])
 
-    panes = source.groupBy(m.alias("_m"), starts(us).alias("_p")).agg(
+    panes = source.groupBy(F.col("_pm").alias("_m"), starts(us).alias("_p")).agg(
         *[M.moments(named(c)).alias(f"_x{j}") for j, c in enumerate(chosen)]
     )
     between = []
@@ -199,7 +202,7 @@ def _rolling_by_panes(df: DataFrame, options: LogOptions, chosen: list[str], sou
         for j in range(len(chosen)):
             between.append(M.merge_all(F.collect_list(F.col(f"_x{j}")).over(frame)).alias(f"_b{i}_{j}"))
     panes = panes.select("_m", "_p", *between)
-    joined = own.join(panes, m.eqNullSafe(panes["_m"]) & (F.col("_pane") == panes["_p"]), "left")
+    joined = own.join(panes, (F.col("_pm") == F.col("_m")) & (F.col("_pane") == F.col("_p")), "left")
 
     wholes = joined.select(
         *map(named, columns),
