@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 
 def moments(value: Column, over=None) -> Column:
     """``struct(n, mean, m2)`` of the non-null values, as an aggregate or over a window."""
-    parts = (F.count(value), F.avg(value), F.var_pop(value))
+    parts = (F.count(value), F.sum(value), F.var_pop(value))
     if over is not None:
         parts = tuple(p.over(over) for p in parts)
-    n, mean, variance = parts
+    n, total, variance = parts
     return F.struct(
         n.cast("double").alias("n"),
-        F.coalesce(mean, F.lit(0.0)).alias("mean"),
+        F.when(n > 0, total / n).otherwise(F.lit(0.0)).alias("mean"),
         F.coalesce(variance * n, F.lit(0.0)).alias("m2"),
     )
 

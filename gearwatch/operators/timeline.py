@@ -30,6 +30,8 @@ TIE_SLOTS = 4096
 NO_MACHINE = "\u0000"
 # A machine is cut only beyond total/HOT_LIMIT rows, so at most this many are ever listed.
 HOT_LIMIT = 50_000
+# Windows per cell of the first count.
+WINDOWS_PER_CELL = 64
 # Rows without an instant sort after all segments of their machine.
 LAST_SEGMENT = 1 << 62
 
@@ -51,10 +53,9 @@ class Timeline:
         us = instant(df, axis or options.time)
         widest = max(w for _, w in options.windows_us)
         rows = df.select(m.alias("m"), us.alias("us"))
-        cells = rows.groupBy("m", F.floor(F.col("us") / F.lit(widest)).alias("cell")).agg(
-            F.count("*").alias("n"), F.min("us").alias("lo"), F.max("us").alias("hi")
-        )
-        machines = cells.groupBy("m").agg(
+        # Cells of many windows first: they combine well on the map side even when a window
+        # holds a row or two, and few rows in a wide cell prove few in each window.
+        machines = _by_cell(rows, widest * WINDOWS_PER_CELL).groupBy("m").agg(
             F.sum("n").alias("n"),
             F.max("n").alias("dense"),
             F.min("lo").alias("lo"),
@@ -67,10 +68,13 @@ class Timeline:
         if top["total"] is None:
             return cls(options, axis, 0, 0, (0, 0), None)
         limit = max(options.group_rows, top["total"] // HOT_LIMIT)
+        dense = top["dense"]
+        if axis is None and dense > options.dense_rows:
+            dense = _by_cell(rows, widest).agg(F.max("n")).first()[0]
         hot = None
         if top["n"] > limit:
             hot = _cut(rows, machines.filter(F.col("n") > limit), limit)
-        return cls(options, axis, top["n"], top["dense"], (top["lo"] or 0, top["hi"] or 0), hot)
+        return cls(options, axis, top["n"], dense, (top["lo"] or 0, top["hi"] or 0), hot)
 
     @property
     def split(self) -> bool:
@@ -170,6 +174,12 @@ def up_to_current(spec: WindowSpec) -> WindowSpec:
     return spec.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
+def _by_cell(rows: DataFrame, width: int) -> DataFrame:
+    return rows.groupBy("m", F.floor(F.col("us") / F.lit(width)).alias("cell")).agg(
+        F.count("*").alias("n"), F.min("us").alias("lo"), F.max("us").alias("hi")
+    )
+
+
 def _cut(rows: DataFrame, hot: DataFrame, limit: int) -> DataFrame:
     """Segment width per hot machine, narrowed until the fullest segment fits.
 

@@ -39,13 +39,16 @@ def read_csv_log(
         raise FileNotFoundError(f"data file not found: {path}")
     raw = spark.read.option("header", True).csv(path)
     names = raw.columns
-    df = with_row_index(raw, options.order[0])
+    # A log that brings its own order columns needs no row index.
+    own_order = set(options.order) <= set(names)
+    df = raw if own_order else with_row_index(raw, options.order[0])
+    index = [] if own_order else [options.order[0]]
     df = df.select(
-        options.order[0],
+        *index,
         *[F.when(~F.trim(named(c)).isin(*MISSING_TEXTS), named(c)).alias(c) for c in names],
     )
     kinds = {f.name: f.dataType for f in schema.fields} if schema else _inferred(df, names, options)
-    df = df.select(options.order[0], *[_typed(named(c), kinds.get(c, T.StringType())).alias(c) for c in names])
+    df = df.select(*index, *[_typed(named(c), kinds.get(c, T.StringType())).alias(c) for c in names])
     return without_nan(complete_log(df, options, time_formats))
 
 

@@ -167,7 +167,7 @@ def _(spark, d):
 
 
 @query(
-    "pip_data",
+    "job_data",
     f"""WITH log AS (SELECT epoch_us(ts) AS us FROM events WHERE NOT (event_type = 'view' AND value < 5)),
     edge AS ({_RANK}), {_SIDES} {_report_sql('sides')}""",
 )
