@@ -83,19 +83,23 @@ def create_rolling_features(
     options: LogOptions,
     sensors: list[str] | None = None,
     timeline: Timeline | None = None,
-    source: DataFrame | None = None,
 ) -> DataFrame:
     """``{sensor}_rolling_mean_{w}`` and ``_std_{w}`` over the time window (t-w, t].
 
     Rows of the same instant that come later in row order are not in the window.
-    Sparse logs use range frames. A range frame costs its row count for each row, so
-    logs with many rows per window go through panes, whose cost per row is fixed.
+    Sparse machines use range frames. A range frame costs its row count for each row, so
+    machines with many rows per window go through panes, whose cost per row is fixed.
     """
     chosen = sensor_columns(df, options) if sensors is None else sensors
     t = timeline or Timeline.measure(df, options)
     if t.sparse:
         return _rolling_by_frames(df, options, chosen, t)
-    return _rolling_by_panes(df, options, chosen, df if source is None else source)
+    if t.crowded is None or not t.fits or options.dense_rows > TIE_SLOTS // 2:
+        return _rolling_by_panes(df, options, chosen)
+    crowded, calm, timeline_of_calm = t.apart(df)
+    return _rolling_by_panes(crowded, options, chosen).unionByName(
+        _rolling_by_frames(calm, options, chosen, timeline_of_calm)
+    )
 
 
 def _rolling_names(sensor: str, window: str) -> tuple[str, str]:
@@ -133,7 +137,7 @@ def pane_widths(df: DataFrame, options: LogOptions) -> tuple[int, list[tuple]]:
     return pane, narrow
 
 
-def _rolling_by_panes(df: DataFrame, options: LogOptions, chosen: list[str], source: DataFrame) -> DataFrame:
+def _rolling_by_panes(df: DataFrame, options: LogOptions, chosen: list[str]) -> DataFrame:
     """Window = tail of the pane it starts in + whole panes + head of its own pane.
 
     Panes are time cells whose width divides every window, so readings moved forward
@@ -144,20 +148,18 @@ def _rolling_by_panes(df: DataFrame, options: LogOptions, chosen: list[str], sou
     """
     m = named(options.machine)
     columns = df.columns
-    pane, narrow = pane_widths(source, options)
+    pane, narrow = pane_widths(df, options)
     us = F.col("_at")
 
-    def with_width(d: DataFrame) -> DataFrame:
-        key = F.coalesce(m.cast("string"), F.lit(NO_MACHINE))
-        d = d.withColumns({"_at": instant(d, options.time), "_pm": key})
-        if not narrow:
-            return d.withColumn("_w", F.lit(pane).cast("long"))
-        kind = d.schema[options.machine].dataType.simpleString()
-        table = F.broadcast(d.sparkSession.createDataFrame(narrow, f"_hot {kind}, _w long"))
-        d = d.join(table, m.eqNullSafe(table["_hot"]), "left").drop("_hot")
-        return d.withColumn("_w", F.coalesce(F.col("_w"), F.lit(pane).cast("long")))
-
-    df, source = with_width(df), with_width(source)
+    key = F.coalesce(m.cast("string"), F.lit(NO_MACHINE))
+    df = df.withColumns({"_at": instant(df, options.time), "_pm": key})
+    if narrow:
+        kind = df.schema[options.machine].dataType.simpleString()
+        table = F.broadcast(df.sparkSession.createDataFrame(narrow, f"_hot {kind}, _w long"))
+        df = df.join(table, m.eqNullSafe(table["_hot"]), "left").drop("_hot")
+        df = df.withColumn("_w", F.coalesce(F.col("_w"), F.lit(pane).cast("long")))
+    else:
+        df = df.withColumn("_w", F.lit(pane).cast("long"))
     starts = lambda at: F.floor(at / F.col("_w")) * F.col("_w")
 
     copies = F.array(
@@ -193,7 +195,7 @@ def _rolling_by_panes(df: DataFrame, options: LogOptions, chosen: list[str], sou
     )
     own = own.select("*", *[M.moments(named(c), heads_over).alias(f"_h{j}") for j, c in enumerate(chosen)])
 
-    panes = source.groupBy(F.col("_pm").alias("_m"), starts(us).alias("_p")).agg(
+    panes = df.groupBy(F.col("_pm").alias("_m"), starts(us).alias("_p")).agg(
         *[M.moments(named(c)).alias(f"_x{j}") for j, c in enumerate(chosen)]
     )
     between = []
@@ -493,13 +495,12 @@ def feature_pipeline(
         df = create_rolling_features(df, options, chosen, t)
         df = create_ema_features(df, options, chosen, t, filled)
         return create_target(df, options, t).drop(KEY)
-    # Steps on segments share their exchange, so the one on panes comes last.
+    # The step on panes has an exchange of its own, the steps on segments share one.
     source, columns = df, [c for c in df.columns if c != options.target]
-    df = t.attach(df)
+    df = t.attach(create_rolling_features(df, options, chosen, t))
     df = create_lag_features(df, options, chosen, t, source)
     df = create_ema_features(df, options, chosen, t, filled, source)
     df = create_target(df, options, t, source=source)
-    df = create_rolling_features(df, options, chosen, t, source)
     made = [f"{c}_lag_{k}" for c in chosen for k in options.lags]
     made += [name for c in chosen for w, _ in options.windows for name in _rolling_names(c, w)]
     made += [_ema_name(c, a) for c in chosen for a in options.alphas]

@@ -44,6 +44,8 @@ class Timeline:
     max_dense: int
     span: tuple[int, int]
     hot: DataFrame | None
+    # Machines that are cut or have many rows in a window; None when that is (nearly) all.
+    crowded: list | None = None
     keyed: bool = False
 
     @classmethod
@@ -63,18 +65,24 @@ class Timeline:
         )
         top = machines.agg(
             F.sum("n").alias("total"), F.max("n").alias("n"), F.max("dense").alias("dense"),
-            F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+            F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count("*").alias("machines"),
         ).first()
         if top["total"] is None:
             return cls(options, axis, 0, 0, (0, 0), None)
         limit = max(options.group_rows, top["total"] // HOT_LIMIT)
-        dense = top["dense"]
+        dense, crowded = top["dense"], set()
         if axis is None and dense > options.dense_rows:
-            dense = _by_cell(rows, widest).agg(F.max("n")).first()[0]
+            cells = _by_cell(rows, widest).groupBy("m").agg(F.max("n").alias("n"))
+            dense = cells.agg(F.max("n")).first()[0]
+            full = cells.filter(F.col("n") > options.dense_rows).select("m").limit(HOT_LIMIT + 1).collect()
+            crowded = {r["m"] for r in full}
         hot = None
         if top["n"] > limit:
             hot = _cut(rows, machines.filter(F.col("n") > limit), limit)
-        return cls(options, axis, top["n"], dense, (top["lo"] or 0, top["hi"] or 0), hot)
+            crowded |= {r["_hot"] for r in hot.collect()}
+        listed = len(crowded) <= HOT_LIMIT and len(crowded) < top["machines"]
+        span = (top["lo"] or 0, top["hi"] or 0)
+        return cls(options, axis, top["n"], dense, span, hot, list(crowded) if listed else None)
 
     @property
     def split(self) -> bool:
@@ -87,8 +95,20 @@ class Timeline:
     @property
     def sparse(self) -> bool:
         """Few rows per window, no machine to cut, and instants that fit the row key."""
-        fits = self.span[1] - self.span[0] < (1 << 62) // TIE_SLOTS
-        return fits and not self.split and self.max_dense <= min(self.options.dense_rows, TIE_SLOTS // 2)
+        return self.fits and not self.split and self.max_dense <= min(self.options.dense_rows, TIE_SLOTS // 2)
+
+    @property
+    def fits(self) -> bool:
+        return self.span[1] - self.span[0] < (1 << 62) // TIE_SLOTS
+
+    def apart(self, df: DataFrame) -> tuple[DataFrame, DataFrame, "Timeline"]:
+        """Rows of crowded machines, rows of the others, and the timeline of the others."""
+        kind = df.schema[self.options.machine].dataType.simpleString()
+        listed = df.sparkSession.createDataFrame([(m,) for m in self.crowded], f"_crowded {kind}")
+        listed = F.broadcast(listed)  # at most HOT_LIMIT rows
+        same = named(self.options.machine).eqNullSafe(listed["_crowded"])
+        calm = replace(self, hot=None, max_dense=min(self.max_dense, self.options.dense_rows), crowded=None)
+        return df.join(listed, same, "left_semi"), df.join(listed, same, "left_anti"), calm
 
     def attach(self, df: DataFrame) -> DataFrame:
         """Add the instant and, where machines are cut, the segment; once is enough for a chain."""
