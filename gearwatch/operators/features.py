@@ -23,7 +23,6 @@ from gearwatch.operators.timeline import (
     KEY,
     NO_MACHINE,
     TIE_SLOTS,
-    US,
     Timeline,
     before_current,
     up_to_current,
