@@ -1,6 +1,6 @@
 """Training, attributions, explanations and scoring with fitted models.
 
-SQL cannot fit these models, so the queries have no SQL twin; the tests prove them.
+SQL cannot fit these models, so most queries have no SQL twin; the tests prove them.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from workload.log_queries import (
     WINDOWS,
 )
 from workload.registry import query
-from workload.views import EVENTS, LOG_SQL, SENSORS, events_log, requests, rounded, table
+from workload.views import EVENTS, LOG_SQL, REQUESTS_SQL, SENSORS, events_log, requests, rounded, table
 
 # Small ensembles: what is shown is the operator, not the best score.
 FOREST = {"numTrees": 10, "maxDepth": 5}
@@ -250,13 +250,17 @@ def _(spark, d):
     return scored.drop("value")
 
 
-@query("sco_stream_rejects")
+@query(
+    "sco_stream_rejects",
+    f"WITH {REQUESTS_SQL} SELECT reason, count(*) AS row_count FROM requests WHERE reason IS NOT NULL GROUP BY 1",
+)
 def _(spark, d):
+    """Rejects of the stream by reason."""
     folder = fresh_path(spark, "stream")
     requests(spark, d).select(F.col("body").alias("value")).write.text(f"{folder}/in")
     stream = spark.readStream.text(f"{folder}/in")
     _, rejected = score_stream(stream, request_model(spark, d), f"{folder}/out", f"{folder}/state", explain=False)
-    return rejected
+    return rejected.groupBy("reason").agg(F.count("*").alias("row_count"))
 
 
 @query("sco_history")
