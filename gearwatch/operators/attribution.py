@@ -175,13 +175,15 @@ def explain_batch(x: np.ndarray, leaves: list[Leaves]) -> np.ndarray:
 
 
 def attribution_column(spark: SparkSession, values: Column, leaves: list[Leaves]) -> Column:
-    shipped = spark.sparkContext.broadcast(leaves)
+    # Arrays only: executors need no class of this package to read a broadcast.
+    shipped = spark.sparkContext.broadcast([(g.value, g.feature, g.low, g.high, g.share) for g in leaves])
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def attributions(batch: pd.Series) -> pd.Series:
         if len(batch) == 0:
             return pd.Series([], dtype=object)
-        return pd.Series(list(explain_batch(np.stack(batch.to_numpy()), shipped.value)))
+        groups = [Leaves(*arrays) for arrays in shipped.value]
+        return pd.Series(list(explain_batch(np.stack(batch.to_numpy()), groups)))
 
     return attributions(values)
 

@@ -85,3 +85,31 @@ def test_against_sql(spark, sf_dir, name):
         con.execute(f"CREATE VIEW {os.path.basename(path)[:-8]} AS SELECT * FROM '{path}'")
     text = compare(spark, con, name, entry.queries()[name], entry.oracle_sql()[name], sf_dir)[1]
     assert text.startswith("ok") and "DIFFER" not in text, text
+
+
+ELSEWHERE = """
+import importlib.util
+from pyspark.sql import SparkSession
+spec = importlib.util.spec_from_file_location("entry", "{entry}")
+entry = importlib.util.module_from_spec(spec)
+spec.loader.exec_module(entry)
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+spark.conf.set("spark.sql.shuffle.partitions", "2")
+print("valid", entry.queries()["exp_additivity_boosted"](spark, "{sf}").first()["is_valid"])
+"""
+
+
+def test_executors_need_no_package(sf_dir, tmp_path):
+    """A plain session started elsewhere: its Python workers cannot import the package."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    entry = Path(__file__).resolve().parent.parent / "__spark_entry__.py"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", ELSEWHERE.format(entry=entry, sf=sf_dir)],
+        cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300,
+    )
+    assert "valid True" in done.stdout, done.stderr[-2000:]
