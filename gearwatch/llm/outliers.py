@@ -264,7 +264,7 @@ est{k} AS (SELECT key, {", ".join(MODEL)} FROM (SELECT *, {factors} FROM (
     return f"""WITH split AS (
   SELECT doc_id, lang, source, coalesce(text, '') AS text,
          regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines,
+         [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\\x20\\x09-\\x0D]')] AS lines,
          row_number() OVER () AS r
   FROM documents),
 windows AS (

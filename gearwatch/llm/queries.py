@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gearwatch.llm import outliers, simhash
+from gearwatch.llm import contamination, merging, outliers, simhash, wordpieces
+
+#: Context length the token counts are compared with.
+TOKEN_LIMIT = 1024
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,8 +29,38 @@ def op3_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.quality_verdicts(_table(spark, sf_dir, "documents")).drop("distance")
 
 
+def _vocabulary(name: str) -> str:
+    """Place of a public tokenizer file; only the driver reads it."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    definition = merging.load(_vocabulary("byte_bpe_50k.json"))
+    counted = merging.token_counts(_table(spark, sf_dir, "documents"), definition)
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    definition = wordpieces.load(_vocabulary("word_bpe_49k.json"))
+    found = wordpieces.encoded(_table(spark, sf_dir, "documents"), definition)
+    return found.select("doc_id", "n_tokens", F.col("ids").alias("ids_sha256"), F.col("decoded").alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
     "op3_outliers": op3_outliers,
+    "op7_token_counts": op7_token_counts,
+    "op9_decontamination": op9_decontamination,
+    "op10_bpe": op10_bpe,
 }
-ORACLES: dict[str, str] = {"op3_outliers": outliers.SQL}
+ORACLES: dict[str, str] = {"op3_outliers": outliers.SQL, "op9_decontamination": contamination.SQL}
