@@ -29,7 +29,7 @@ def op3_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.quality_verdicts(_table(spark, sf_dir, "documents")).drop("distance")
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     """Place of a public tokenizer file; only the driver reads it."""
     import public_tokenizers
 
@@ -37,7 +37,7 @@ def _vocabulary(name: str) -> str:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    definition = merging.load(_vocabulary("byte_bpe_50k.json"))
+    definition = merging.load(vocabulary("byte_bpe_50k.json"))
     counted = merging.token_counts(_table(spark, sf_dir, "documents"), definition)
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
@@ -51,7 +51,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    definition = wordpieces.load(_vocabulary("word_bpe_49k.json"))
+    definition = wordpieces.load(vocabulary("word_bpe_49k.json"))
     found = wordpieces.encoded(_table(spark, sf_dir, "documents"), definition)
     return found.select("doc_id", "n_tokens", F.col("ids").alias("ids_sha256"), F.col("decoded").alias("decoded_sha256"))
 
