@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gearwatch.llm import contamination, merging, outliers, simhash, wordpieces
+from gearwatch.llm import contamination, merging, outliers, repeats, simhash, wordpieces
 
 #: Context length the token counts are compared with.
 TOKEN_LIMIT = 1024
@@ -29,6 +29,10 @@ def op3_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.quality_verdicts(_table(spark, sf_dir, "documents")).drop("distance")
 
 
+def op5_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(_table(spark, sf_dir, "documents"), texts=False)
+
+
 def vocabulary(name: str) -> str:
     """Place of a public tokenizer file; only the driver reads it."""
     import public_tokenizers
@@ -59,6 +63,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
     "op3_outliers": op3_outliers,
+    "op5_suffix_trees": op5_suffix_trees,
     "op7_token_counts": op7_token_counts,
     "op9_decontamination": op9_decontamination,
     "op10_bpe": op10_bpe,
