@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gearwatch.llm import contamination, merging, outliers, repeats, simhash, wordpieces
+from gearwatch.llm import (
+    contamination,
+    merging,
+    outliers,
+    perspectives,
+    repeats,
+    sharding,
+    simhash,
+    toxicity,
+    wordpieces,
+    wrappers,
+)
 
 #: Context length the token counts are compared with.
 TOKEN_LIMIT = 1024
@@ -19,6 +30,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(_table(spark, sf_dir, "documents").select("doc_id"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     hexed = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
@@ -29,10 +44,18 @@ def op3_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.quality_verdicts(_table(spark, sf_dir, "documents")).drop("distance")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(_table(spark, sf_dir, "documents"), texts=False)
 
 
+def op6_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_text(_table(spark, sf_dir, "pages"))
+
+
 def vocabulary(name: str) -> str:
     """Place of a public tokenizer file; only the driver reads it."""
     import public_tokenizers
@@ -46,6 +69,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op8_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives.perspectives(_table(spark, sf_dir, "conversations"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -61,11 +88,19 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_sharding": op1_sharding,
     "op2_simhash": op2_simhash,
     "op3_outliers": op3_outliers,
+    "op4_toxicity": op4_toxicity,
     "op5_suffix_trees": op5_suffix_trees,
+    "op6_wrappers": op6_wrappers,
     "op7_token_counts": op7_token_counts,
+    "op8_perspectives": op8_perspectives,
     "op9_decontamination": op9_decontamination,
     "op10_bpe": op10_bpe,
 }
-ORACLES: dict[str, str] = {"op3_outliers": outliers.SQL, "op9_decontamination": contamination.SQL}
+ORACLES: dict[str, str] = {
+    "op3_outliers": outliers.SQL,
+    "op8_perspectives": perspectives.SQL,
+    "op9_decontamination": contamination.SQL,
+}
