@@ -1,9 +1,9 @@
 """Toxicity by subword bags: averaged n-gram embeddings under a linear softmax.
 
 A word is the bag of its character n-grams, hashed to buckets; its vector is their average, so a
-misspelling nobody saw shares most of its vector with the word that was seen. A passage is the
-average of a few words' vectors, a linear softmax gives its class, and a text is as toxic as its
-worst passage. Embeddings and softmax are trained jointly in numpy on a bounded sample.
+misspelling nobody saw shares most of its vector with the word that was seen. A text is judged by
+its few worst words, whose vectors are averaged under a linear softmax, so a long text does not
+drown an insult. Embeddings and softmax are trained jointly in numpy on a bounded sample.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,16 +24,21 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Labelled texts of each class to learn from, at most. The texts are read whole.
-TOXIC_TEXTS, CLEAN_TEXTS = 1500, 3000
-BUCKETS, DIMS, SIZES, PASSAGE = 1 << 16, 12, (3, 4, 5), 3
-EPOCHS, BATCH, RATE, SEED = 10, 16, 0.3, 11
+TOXIC_TEXTS, CLEAN_TEXTS = 4000, 8000
+BUCKETS, DIMS, SIZES = 1 << 16, 12, (3, 4, 5, 6)
+#: Worst words that make a passage; passages of a clean text that are learned from.
+PASSAGE, NEXT_WORST = 4, 3
+#: Texts of the usual mixture that are added to the evidence on each bucket.
+DOUBT = 20
+EPOCHS, BATCH, RATE, SEED = 10, 64, 0.1, 11
 #: Words whose value a Python worker remembers.
 REMEMBERED = 200_000
 THRESHOLD = 0.7
 #: Rows whose checksum leaves this remainder of this divisor are never learned from.
 DIVISOR, HELD_OUT = 3, 1
 
-WORD = re.compile(r"[^\W_]+")
+#: Runs of letters and digits with a letter in them; numbers say nothing.
+WORD = re.compile(r"[^\W_]*[^\W\d_][^\W_]*")
 
 
 def held_out(id_col: str) -> Column:
@@ -56,10 +62,13 @@ class Sample:
     def __init__(self, texts: list[str]):
         numbers: dict[str, int] = {}
         self.texts = [np.array([numbers.setdefault(w, len(numbers)) for w in text_words(t)], dtype=np.int64) for t in texts]
-        bags = [grams(w) for w in numbers]
-        self.sizes = np.array([len(b) for b in bags], dtype=np.int64)
+        sizes, flat = array("q"), array("q")
+        for word in numbers:
+            bag = grams(word)
+            sizes.append(len(bag))
+            flat.extend(bag)
+        self.sizes, self.flat = np.array(sizes, dtype=np.int64), np.array(flat, dtype=np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
-        self.flat = np.array([g for b in bags for g in b], dtype=np.int64)
 
     def rows(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Buckets of the words, and for each bucket which of the words it is of."""
@@ -69,67 +78,70 @@ class Sample:
         return self.flat[self.starts[words][owner] + within], owner
 
 
-def passage_means(values: np.ndarray) -> np.ndarray:
-    """Average of each run of ``PASSAGE`` words; a shorter text is one passage."""
-    if len(values) <= PASSAGE:
-        return np.array([values.mean()]) if len(values) else np.zeros(1)
-    sums = np.concatenate(([0.0], np.cumsum(values)))
-    return (sums[PASSAGE:] - sums[:-PASSAGE]) / PASSAGE
+def worst_words(values: np.ndarray, sets: int = 1) -> np.ndarray:
+    """Places of the most toxic words, in sets of ``PASSAGE``: the worst ones, the next ones, ..."""
+    wanted = min(len(values), PASSAGE * sets)
+    if wanted < len(values):
+        worst = np.argpartition(-values, wanted - 1)[:wanted]
+    else:
+        worst = np.arange(wanted)
+    return worst[np.lexsort((worst, -values[worst]))]
 
 
 def start_values(sample: Sample, labels: np.ndarray) -> np.ndarray:
-    """Log-odds of the texts that hold each bucket, where training starts."""
-    held = np.ones((2, BUCKETS))
+    """Log-odds of the texts that hold each bucket against those of any text, where training starts.
+
+    ``DOUBT`` texts of the usual mixture are added to each bucket, so that rare ones say little.
+    """
+    share = labels.mean()
+    held = np.array([DOUBT * (1 - share), DOUBT * share])[:, None] * np.ones(BUCKETS)
     for words, label in zip(sample.texts, labels):
         if len(words):
             held[label, np.unique(sample.rows(np.unique(words))[0])] += 1
-    return np.log(held[1] / (labels.sum() + 2)) - np.log(held[0] / ((1 - labels).sum() + 2))
+    return np.log(held[1] / held[0]) - np.log(share / (1 - share))
+
+
+def worst_passages(sample: Sample, projected: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(words, label) of the passages each text is judged by: the worst, and for clean texts the next ones too."""
+    values = np.add.reduceat(projected[sample.flat], sample.starts) / sample.sizes
+    picked, owners = [], []
+    for text, label in zip(sample.texts, labels):
+        sets = min(len(text) // PASSAGE, 1 if label else NEXT_WORST)
+        if sets:
+            picked.append(text[worst_words(values[text], sets)].reshape(sets, PASSAGE))
+            owners.append(np.full(sets, label))
+    return np.concatenate(picked), np.concatenate(owners)
 
 
 def train(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, float]:
     """Value of each bucket and the offset: the difference of the two logits, projected.
 
-    Each step takes a few texts, finds their worst passages under the present model, and moves
-    the embeddings of those passages and the softmax weights down the gradient of the log loss
-    (Adagrad). With one class missing there is nothing to learn and all values are 0.
+    Each epoch finds the worst passages of all texts under the present model; each step then
+    moves the embeddings of some of them and the softmax weights down the gradient of the log
+    loss (Adagrad). With one class missing there is nothing to learn and all values are 0.
     """
-    if not len(labels) or labels.min() == labels.max():
+    sample = Sample(texts)
+    if not len(sample.flat) or labels.min() == labels.max():
         return np.zeros(BUCKETS), -3.0
     random = np.random.default_rng(SEED)
-    sample = Sample(texts)
     weights = random.normal(0, 0.1, (DIMS, 2)) + np.array([-1.0, 1.0]) / np.sqrt(2 * DIMS)
     across = weights[:, 1] - weights[:, 0]
     table = random.normal(0, 0.01, (BUCKETS, DIMS)) + start_values(sample, labels)[:, None] * across / (across @ across)
     offsets = np.array([1.5, -1.5])
     moved_table, moved_weights, moved_offsets = np.full(BUCKETS, 0.1), 0.1, 0.1
-    balance = np.array([1.0, (1 - labels).sum() / labels.sum()])
     for _ in range(EPOCHS):
-        order = random.permutation(len(labels))
+        passages, wanted = worst_passages(sample, table @ (weights[:, 1] - weights[:, 0]), labels)
+        balance = np.where(wanted == 1, (wanted == 0).sum() / max(1, NEXT_WORST * (wanted == 1).sum()), 1 / NEXT_WORST)
+        order = random.permutation(len(wanted))
         for at in range(0, len(order), BATCH):
-            chosen = order[at : at + BATCH]
+            some = order[at : at + BATCH]
             across = weights[:, 1] - weights[:, 0]
-            projected = table @ across
-            picked, slopes, shares = [], [], []
-            for t in chosen:
-                words = sample.texts[t]
-                if not len(words):
-                    continue
-                alike, back = np.unique(words, return_inverse=True)
-                rows, owner = sample.rows(alike)
-                values = np.bincount(owner, weights=projected[rows], minlength=len(alike)) / sample.sizes[alike]
-                means = passage_means(values[back])
-                worst = int(np.argmax(means))
-                p = 1 / (1 + np.exp(-(means[worst] + offsets[1] - offsets[0])))
-                passage = words[worst : worst + PASSAGE]
-                picked.append(passage)
-                slopes.append((p - labels[t]) * balance[labels[t]])
-                shares.append(np.full(len(passage), 1 / len(passage)))
-            if not picked:
-                continue
-            words = np.concatenate(picked)
-            pull = np.repeat(slopes, [len(p) for p in picked]) * np.concatenate(shares)
+            words = passages[some].ravel()
             rows, owner = sample.rows(words)
-            pull = (pull / sample.sizes[words])[owner]
+            bags = np.bincount(owner, weights=table[rows] @ across, minlength=len(words)) / sample.sizes[words]
+            logits = bags.reshape(-1, PASSAGE).mean(axis=1) + offsets[1] - offsets[0]
+            slopes = (1 / (1 + np.exp(-np.clip(logits, -50, 50))) - wanted[some]) * balance[some]
+            pull = (np.repeat(slopes, PASSAGE) / PASSAGE / sample.sizes[words])[owner]
             towards = pull @ table[rows]
             unique, back = np.unique(rows, return_inverse=True)
             step = np.bincount(back, weights=pull)
@@ -137,7 +149,7 @@ def train(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, float]:
             table[unique] -= RATE * (step / np.sqrt(moved_table[unique]))[:, None] * across
             moved_weights += float(towards @ towards)
             weights += RATE * np.outer(towards, [1.0, -1.0]) / np.sqrt(moved_weights)
-            slope = float(np.sum(slopes))
+            slope = float(slopes.sum())
             moved_offsets += slope**2
             offsets += RATE * np.array([slope, -slope]) / np.sqrt(moved_offsets)
     return table @ (weights[:, 1] - weights[:, 0]), float(offsets[1] - offsets[0])
@@ -154,7 +166,7 @@ class Scorer:
     def score(self, text: str) -> float:
         words = text_words(text)
         values = np.fromiter(map(self.word, words), dtype=float, count=len(words))
-        logit = float(passage_means(values).max()) + self.offset
+        logit = (float(values[worst_words(values)].mean()) if words else 0.0) + self.offset
         return 1 / (1 + float(np.exp(-min(max(logit, -50.0), 50.0))))
 
 
