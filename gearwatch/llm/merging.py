@@ -13,30 +13,36 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gearwatch.llm.wordpieces import byte_symbols, split_added
+from gearwatch.llm.wordpieces import byte_symbols, piece_finder, plain_patterns, split_added
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Pre-tokens remembered per Python worker, and pre-tokens merged at once.
 REMEMBERED, AT_ONCE = 300_000, 20_000
 #: Where a byte-level vocabulary cuts texts (fixed by its kind).
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?[\p{L}]+| ?[\p{N}]+| ?[^\s\p{L}\p{N}]+|[\s]+(?![^\s])|[\s]+"""
 NO_RANK = np.iinfo(np.int64).max
 
 
-def merge_table(definition: dict) -> dict[str, np.ndarray]:
-    """Arrays: id of each byte, sorted pair keys, and their ranks and merged ids."""
-    ids = definition["model"]["vocab"]
-    merges = [m if isinstance(m, list) else m.split(" ") for m in definition["model"]["merges"]]
+def definition_of(path: str) -> dict:
+    """What counting needs of a tokenizer file: added tokens, the pattern made plain, and arrays.
+
+    The arrays are the id of each byte, sorted pair keys, and their ranks and merged ids.
+    """
+    with open(path, encoding="utf-8") as file:
+        read = json.load(file)
+    ids = read["model"]["vocab"]
+    merges = [m if isinstance(m, list) else m.split(" ") for m in read["model"]["merges"]]
     keys = np.array([ids[a] << 32 | ids[b] for a, b in merges], dtype=np.int64)
     made = np.array([ids[a + b] for a, b in merges], dtype=np.int64)
     order = np.argsort(keys, kind="stable")
     return {
+        "added": [a["content"] for a in read["added_tokens"]],
+        "patterns": plain_patterns(PATTERN),
         "bytes": np.array([ids[s] for s in byte_symbols()], dtype=np.int64),
         "keys": keys[order],
         "ranks": order.astype(np.int64),
@@ -81,9 +87,9 @@ def count_symbols(sequences: list[bytes], table: dict[str, np.ndarray]) -> np.nd
 class Counter:
     """Counts tokens of whole texts, remembering pre-tokens."""
 
-    def __init__(self, table: dict[str, np.ndarray], added: list[str]):
-        self.table, self.cut = table, split_added(added)
-        self.pieces = regex.compile(PATTERN.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
+    def __init__(self, definition: dict):
+        self.table, self.cut = definition, split_added(definition["added"])
+        self.pieces = piece_finder(definition["patterns"])
         self.known: dict[str, int] = {}
 
     def learn(self, new: list[str]) -> None:
@@ -91,21 +97,6 @@ class Counter:
             some = new[i : i + AT_ONCE]
             self.known.update(zip(some, count_symbols([s.encode() for s in some], self.table).tolist()))
 
-    def count(self, text: str) -> int:
-        total = 0
-        for i, segment in enumerate(self.cut(text)):
-            if i % 2:
-                total += 1
-                continue
-            pieces = self.pieces(segment)
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            missing = set(pieces).difference(self.known)
-            if missing:
-                self.learn(list(missing))
-            total += sum(map(self.known.__getitem__, pieces))
-        return total
-
     def counts(self, texts: list[str], together: int = 64) -> list[int]:
         """Counts of many texts; what several texts bring anew is merged in one go."""
         out: list[int] = []
@@ -121,23 +112,18 @@ class Counter:
         return out
 
 
-def load(path: str) -> dict:
-    with open(path, encoding="utf-8") as file:
-        return json.load(file)
-
-
 def token_counts(docs: DataFrame, definition: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, n_tokens) per row of ``docs``.
 
     Counts are those of the tokenizer file's own library without begin or end tokens; an added
     token in a text is one token. Null text is empty: 0 and 0. Texts are counted whole; repeated
-    rows each get a row, other columns are ignored. The merge table (2 MB) is broadcast.
+    rows each get a row, other columns are ignored. ``definition`` comes from
+    ``definition_of`` on the driver and is broadcast (2 MB).
     """
-    added = [a["content"] for a in definition["added_tokens"]]
-    shipped = docs.sparkSession.sparkContext.broadcast((merge_table(definition), added))
+    shipped = docs.sparkSession.sparkContext.broadcast(definition)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counter = Counter(*shipped.value)
+        counter = Counter(shipped.value)
         for batch in batches:
             texts = batch.pop("_text").tolist()
             yield batch.assign(n_tokens=np.array(counter.counts(texts), dtype="int64"))

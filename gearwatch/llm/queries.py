@@ -64,7 +64,7 @@ def vocabulary(name: str) -> str:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    definition = merging.load(vocabulary("byte_bpe_50k.json"))
+    definition = merging.definition_of(vocabulary("byte_bpe_50k.json"))
     counted = merging.token_counts(_table(spark, sf_dir, "documents"), definition)
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
@@ -82,7 +82,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    definition = wordpieces.load(vocabulary("word_bpe_49k.json"))
+    definition = wordpieces.definition_of(vocabulary("word_bpe_49k.json"))
     found = wordpieces.encoded(_table(spark, sf_dir, "documents"), definition)
     return found.select("doc_id", "n_tokens", F.col("ids").alias("ids_sha256"), F.col("decoded").alias("decoded_sha256"))
 

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import sys
 import unicodedata
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Words remembered per Python worker (about 300 bytes each).
-REMEMBERED = 200_000
+#: Words remembered per Python worker (about 400 bytes each).
+REMEMBERED = 300_000
 NEVER = sys.maxsize
 
 
@@ -43,53 +43,97 @@ def byte_symbols() -> list[str]:
     return shown
 
 
+ASTRAL = re.compile("[\U00010000-\U0010ffff]")
+
+
+def character_class(pattern: str) -> str:
+    """Characters below 0x10000 that match ``pattern``, as the inside of a class of the re module."""
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x10000)]))
+    runs = (m.group() for m in regex.finditer(f"{pattern}+", every))
+    return "".join(re.escape(r[0]) + (f"-{re.escape(r[-1])}" if len(r) > 1 else "") for r in runs)
+
+
+def plain_patterns(pattern: str) -> tuple[str, str]:
+    """A pattern with letter, number and space classes (inside brackets) twice.
+
+    For texts of characters below 0x10000 in the faster re module, and for any text in regex.
+    """
+    classes = ((r"\p{L}", r"\p{L}"), (r"\p{N}", r"\p{N}"), (r"\s", r"\p{White_Space}"))
+    narrow = wide = pattern
+    for name, of in classes:
+        narrow, wide = narrow.replace(name, character_class(of)), wide.replace(name, of)
+    return narrow, wide
+
+
+def piece_finder(patterns: tuple[str, str]) -> Callable[[str], list[str]]:
+    narrow, wide = re.compile(patterns[0]).findall, regex.compile(patterns[1]).findall
+    return lambda text: wide(text) if ASTRAL.search(text) else narrow(text)
+
+
 def split_added(added: list[str]) -> Callable[[str], list[str]]:
     """Cuts a text at added tokens; odd places of the result hold the tokens themselves."""
     if not added:
         return lambda text: [text]
-    found = regex.compile("(" + "|".join(regex.escape(a) for a in sorted(added, key=len, reverse=True)) + ")")
+    found = re.compile("(" + "|".join(re.escape(a) for a in sorted(added, key=len, reverse=True)) + ")")
     return found.split
 
 
+class Remembered(dict):
+    """Results of a function by its argument."""
+
+    def __init__(self, function: Callable):
+        self.function = function
+
+    def __missing__(self, key):
+        made = self[key] = self.function(key)
+        return made
+
+
+def definition_of(path: str) -> dict:
+    """What a tokenizer file says, its pattern made plain."""
+    with open(path, encoding="utf-8") as file:
+        read = json.load(file)
+    return {
+        "end": read["model"]["end_of_word_suffix"] or "",
+        "vocab": read["model"]["vocab"],
+        "merges": [tuple(m if isinstance(m, list) else m.split(" ")) for m in read["model"]["merges"]],
+        "added": {a["content"]: a["id"] for a in read["added_tokens"]},
+        "patterns": plain_patterns(read["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]),
+    }
+
+
 class WordBpe:
     """A tokenizer file of kind word-end BPE: NFC, spaces folded, lower case, then merges."""
 
     def __init__(self, definition: dict):
-        model = definition["model"]
-        self.end = model["end_of_word_suffix"] or ""
-        self.ids = model["vocab"]
-        self.ranks = {tuple(m if isinstance(m, list) else m.split(" ")): i for i, m in enumerate(model["merges"])}
-        self.added = {a["content"]: a["id"] for a in definition["added_tokens"]}
+        self.end, self.ids, self.added = definition["end"], definition["vocab"], definition["added"]
+        self.ranks = {m: i for i, m in enumerate(definition["merges"])}
         self.names = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.added.items()}
         self.cut = split_added(list(self.added))
-        self.shown = byte_symbols()
-        pattern = definition["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.pieces = regex.compile(pattern.replace(r"\s", r"\p{White_Space}")).findall
-        self.word = lru_cache(maxsize=REMEMBERED)(self._word)
+        self.shown = dict(enumerate(byte_symbols()))
+        self.pieces = piece_finder(definition["patterns"])
+        self.words = Remembered(self._word)
 
     def parts(self, piece: str) -> list[str]:
         """Vocabulary symbols of one word."""
-        word = "".join(self.shown[b] for b in piece.encode()) + self.end
+        word = piece.encode().decode("latin-1").translate(self.shown) + self.end
         last = len(word) - len(self.end)
         begins = [*range(last), len(word)]  # the last symbol carries the word end
-        ranks, none = self.ranks, NEVER
-
-        def rank(i: int) -> int:
-            if i + 2 >= len(begins):
-                return none
-            a, b, c = begins[i : i + 3]
-            return ranks.get((word[a:b], word[b:c]), none)
-
-        costs = [rank(i) for i in range(len(begins) - 1)]
+        rank = self.ranks.get
+        costs = [rank((word[i], word[i + 1 : i + 2]), NEVER) for i in range(last - 2)]
+        if last > 1:
+            costs.append(rank((word[last - 2], word[last - 1 :]), NEVER))
         while costs:
             least = min(costs)
-            if least == none:
+            if least == NEVER:
                 break
             i = costs.index(least)
-            del begins[i + 1], costs[i + 1]
-            costs[i] = rank(i)
+            del begins[i + 1], costs[i]
+            a, b = begins[i], begins[i + 1]
+            if i < len(costs):
+                costs[i] = rank((word[a:b], word[b : begins[i + 2]]), NEVER)
             if i:
-                costs[i - 1] = rank(i - 1)
+                costs[i - 1] = rank((word[begins[i - 1] : a], word[a:b]), NEVER)
         return [word[a:b] for a, b in zip(begins, begins[1:])]
 
     def _word(self, piece: str) -> tuple[bytes, str]:
@@ -98,7 +142,7 @@ class WordBpe:
         A symbol the vocabulary lacks is left out, as where no unknown token is defined.
         """
         known = [p for p in self.parts(piece) if p in self.ids]
-        return np.array([self.ids[p] for p in known], dtype="<u4").tobytes(), " ".join(known)
+        return b"".join(self.ids[p].to_bytes(4, "little") for p in known), " ".join(known)
 
     def normal(self, text: str) -> str:
         # Character by character: a sigma at the end of a word is no special case.
@@ -106,27 +150,21 @@ class WordBpe:
 
     def encode(self, text: str) -> tuple[bytes, str]:
         """(ids as bytes, decoded text) of a whole text."""
-        ids, shown = [], []
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        found: list[tuple[bytes, str]] = []
         for i, segment in enumerate(self.cut(text)):
             if i % 2:
-                ids.append(np.array([self.added[segment]], dtype="<u4").tobytes())
-                shown.append(segment)
+                found.append((self.added[segment].to_bytes(4, "little"), segment))
             else:
-                for a, b in map(self.word, self.pieces(self.normal(segment))):
-                    ids.append(a)
-                    shown.append(b)
-        return b"".join(ids), " ".join(s for s in shown if s)
+                found += map(self.words.__getitem__, self.pieces(self.normal(segment)))
+        return b"".join([ids for ids, _ in found]), " ".join([shown for _, shown in found if shown])
 
     def decode(self, ids: bytes) -> str:
         """Names of the ids joined by one space, which is what a file without a decoder asks for."""
         return " ".join(self.names[i] for i in np.frombuffer(ids, dtype="<u4").tolist())
 
 
-def load(path: str) -> dict:
-    with open(path, encoding="utf-8") as file:
-        return json.load(file)
-
-
 def encoded(docs: DataFrame, definition: dict, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), digest: bool = True) -> DataFrame:
     """(id, n_tokens, ids, decoded, *keep) per row of ``docs``.
 
@@ -134,7 +172,7 @@ def encoded(docs: DataFrame, definition: dict, id_col: str = "doc_id", text_col:
     unsigned 32-bit ids and of the decoded UTF-8 text; otherwise an array of ids and the text.
     ``decoded`` is decoded from the ids. Null text is empty: no tokens, empty decoded text.
     Texts are encoded whole. Repeated rows each get a row, other columns are ignored.
-    ``definition`` is the tokenizer file, read once on the driver and broadcast (a few MB).
+    ``definition`` comes from ``definition_of`` on the driver and is broadcast (a few MB).
     """
     shipped = docs.sparkSession.sparkContext.broadcast(definition)
 
