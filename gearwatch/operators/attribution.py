@@ -1,19 +1,21 @@
 """Exact Shapley attributions of tree ensembles, path-dependent, for every row.
 
-A model is flattened to its leaves. For one leaf, the features on its path either
-admit the row (o = 1) or not (o = 0), and a feature left out of a coalition passes
-the share of training weight z that went down the path. The value a leaf adds to a
-coalition is then v * prod(o or z), whose Shapley values need only the coefficients
-of prod(z + o t). With k features on a path there are 2^k admission patterns, so the
-contributions are tabled per leaf and rows look them up. Rows stay in Spark; one Arrow
-column of feature values goes into the helper and one of attributions comes out.
+A model is flattened to its leaves. For one leaf, the features on its path either admit the row
+(o = 1) or not (o = 0), and a feature left out of a coalition passes the share z of training
+weight that went down the path. The value a leaf adds to a coalition is then v * prod(o or z).
+The Shapley weights of coalition sizes are beta integrals, so the value of feature f is
+
+    v * (o_f - z_f) * integral over t from 0 to 1 of prod over g != f of (z_g (1 - t) + o_g t),
+
+a polynomial that a few Gauss points integrate exactly. For a path of k features that is about
+k * k / 2 multiplications per leaf and row, done as matrix products over blocks of leaves. Rows
+stay in Spark; one Arrow column of feature values goes into the helper and one comes out.
 """
 
 from __future__ import annotations
 
 import sys
 from dataclasses import dataclass
-from math import factorial
 
 import numpy as np
 import pandas as pd
@@ -30,10 +32,12 @@ from gearwatch.session import fresh_path
 # Executors get this helper with the task, not from an installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Deeper paths are computed row by row instead of tabled: a table has 2^k lines.
-TABLED_FEATURES = 8
-# Leaf data shipped to executors at once; larger ensembles go in groups of trees.
+# Leaf data shipped to executors at once; larger ensembles go in groups of leaves.
 BROADCAST_BYTES = 64 << 20
+# Trees fetched at once; rows, and feature places of rows and leaves, worked on at once.
+TREES_AT_ONCE, ROWS_AT_ONCE, CELLS_AT_ONCE = 8, 512, 1 << 20
+# Stands for a share of 0, which has no logarithm.
+TINY = 1e-300
 
 
 @dataclass
@@ -46,12 +50,6 @@ class Leaves:
     high: np.ndarray
     share: np.ndarray  # training weight share that follows the path
 
-    @property
-    def nbytes(self) -> int:
-        k = self.feature.shape[1]
-        table = (k << k) * 8 * len(self.value) if k <= TABLED_FEATURES else 0
-        return table + sum(a.nbytes for a in (self.value, self.feature, self.low, self.high, self.share))
-
 
 def ensemble_nodes(model: FailureModel) -> tuple[DataFrame, list[float], bool]:
     """Node table, tree weights, and whether leaf values are class-1 shares (a forest)."""
@@ -65,13 +63,9 @@ def ensemble_nodes(model: FailureModel) -> tuple[DataFrame, list[float], bool]:
     return nodes, weights, forest
 
 
-def leaf_groups(model: FailureModel) -> list[tuple[float, list[Leaves]]]:
-    """(base value, leaves) per group of trees; a group fits one broadcast.
-
-    The node table is part of the model, so its size does not depend on the data.
-    """
-    nodes, weights, forest = ensemble_nodes(model)
-    rows = nodes.select(
+def node_table(nodes: DataFrame) -> DataFrame:
+    """Columns of a saved ensemble that attributions need, one row per node."""
+    return nodes.select(
         "treeID",
         "id",
         "prediction",
@@ -81,16 +75,26 @@ def leaf_groups(model: FailureModel) -> list[tuple[float, list[Leaves]]]:
         "rightChild",
         F.col("split.featureIndex").alias("feature"),
         F.get(F.col("split.leftCategoriesOrThreshold"), F.lit(0)).alias("threshold"),
-    ).toPandas()
+    )
+
+
+def leaf_groups(rows: DataFrame, weights: list[float], forest: bool) -> list[tuple[float, list[Leaves]]]:
+    """(base value, leaves) per group of leaves; a group fits one broadcast.
+
+    Trees grow with the data when their depth is not limited. They come to the driver a few at
+    a time, where Spark keeps a fitted model anyway, and are cut into groups leaf by leaf.
+    """
     groups, pending, size = [], [], 0
-    for tree, part in rows.groupby("treeID", sort=True):
-        paths = _tree_paths(part, weights[tree], forest)
-        grown = size + sum(p[0].nbytes * 8 + (len(p[0]) << min(len(p[0]), TABLED_FEATURES)) * 8 for p in paths)
-        if pending and grown > BROADCAST_BYTES:
-            groups.append(_packed(pending))
-            pending, grown = [], grown - size
-        pending += paths
-        size = grown
+    for first in range(0, len(weights), TREES_AT_ONCE):
+        some = rows.filter(F.col("treeID").between(first, first + TREES_AT_ONCE - 1)).toPandas()
+        for tree, part in some.groupby("treeID", sort=True):
+            for path in _tree_paths(part, weights[tree], forest):
+                own = 8 + sum(a.nbytes for a in path[:4])
+                if pending and size + own > BROADCAST_BYTES:
+                    groups.append(_packed(pending))
+                    pending, size = [], 0
+                pending.append(path)
+                size += own
     groups.append(_packed(pending))
     return groups
 
@@ -136,41 +140,38 @@ def _packed(paths: list[tuple]) -> tuple[float, list[Leaves]]:
     return base, leaves
 
 
-def contributions(admitted: np.ndarray, share: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """Shapley values of v * prod(o or z) for the last axis of features."""
-    o, z = np.broadcast_arrays(admitted.astype(float), share)
-    k = o.shape[-1]
-    weight = [factorial(q) * factorial(k - q - 1) / factorial(k) for q in range(k)]
-    out = np.empty(o.shape)
-    for f in range(k):
-        others = [np.ones(o.shape[:-1])]
-        for g in range(k):
-            if g == f:
-                continue
-            kept = [c * z[..., g] for c in others] + [0.0]
-            moved = [0.0] + [c * o[..., g] for c in others]
-            others = [a + b for a, b in zip(kept, moved)]
-        total = sum(w * c for w, c in zip(weight, others))
-        out[..., f] = value * (o[..., f] - z[..., f]) * total
-    return out
-
-
 def explain_batch(x: np.ndarray, leaves: list[Leaves]) -> np.ndarray:
-    """Attributions of a batch, feature by feature."""
+    """Attributions of a batch: array operations over blocks of leaves and rows."""
     phi = np.zeros(x.shape)
-    rows = np.arange(len(x))
-    for group in leaves:
-        k = group.feature.shape[1]
-        if k <= TABLED_FEATURES:
-            patterns = (np.arange(1 << k)[:, None] >> np.arange(k)) & 1
-            tables = contributions(patterns[None], group.share[:, None, :], group.value[:, None])
-        for i in range(len(group.value)):
-            f = group.feature[i]
-            inside = (x[:, f] > group.low[i]) & (x[:, f] <= group.high[i])
-            if k <= TABLED_FEATURES:
-                phi[:, f] += tables[i][inside @ (1 << np.arange(k))]
-            else:
-                phi[np.ix_(rows, f)] += contributions(inside, group.share[i], group.value[i])
+    for start in range(0, len(x), ROWS_AT_ONCE):
+        rows = np.ascontiguousarray(x[start : start + ROWS_AT_ONCE].T)
+        for group in leaves:
+            k = group.feature.shape[1]
+            # (k + 1) // 2 points integrate polynomials of degree k - 1 exactly.
+            points, weights = np.polynomial.legendre.leggauss((k + 1) // 2)
+            t, weights = (points + 1) / 2, weights / 2
+            step = max(1, CELLS_AT_ONCE // (k * rows.shape[1]))
+            for at in range(0, len(group.value), step):
+                some = slice(at, at + step)
+                feature, share = group.feature[some], np.maximum(group.share[some], TINY)
+                o = (rows[feature] > group.low[some, :, None]) & (rows[feature] <= group.high[some, :, None])
+                absent = share[:, :, None] * (1 - t)  # factor of a feature the row is not admitted by
+                present = absent + t
+                logs = np.log(present) - np.log(absent)
+                product = np.matmul(logs.transpose(0, 2, 1), o.astype(float)) + np.log(absent).sum(axis=1)[:, :, None]
+                product = np.exp(product) * weights[:, None]
+                # The product without one factor, integrated: once for each way that factor can be.
+                gain = np.where(
+                    o,
+                    (1 - share)[:, :, None] * np.matmul(1 / present, product),
+                    -share[:, :, None] * np.matmul(1 / absent, product),
+                )
+                gain *= group.value[some, None, None]
+                flat = feature.ravel()
+                order = np.argsort(flat, kind="stable")
+                firsts = np.flatnonzero(np.append(True, np.diff(flat[order]) != 0))
+                added = np.add.reduceat(gain.reshape(len(flat), -1)[order], firsts, axis=0)
+                phi[start : start + ROWS_AT_ONCE, flat[order][firsts]] += added.T
     return phi
 
 
@@ -196,8 +197,12 @@ def with_attributions(df: DataFrame, model: FailureModel) -> DataFrame:
     """
     if model.kind == "baseline":
         raise ValueError("attributions need a tree model")
-    df = with_values(df, model.features)
-    groups = leaf_groups(model)
+    nodes, weights, forest = ensemble_nodes(model)
+    return with_leaf_attributions(with_values(df, model.features), leaf_groups(node_table(nodes), weights, forest))
+
+
+def with_leaf_attributions(df: DataFrame, groups: list[tuple[float, list[Leaves]]]) -> DataFrame:
+    """Adds ``attributions`` and ``base`` to rows with ``values``."""
     parts = []
     for i, (_, leaves) in enumerate(groups):
         df = df.withColumn(f"_a{i}", attribution_column(df.sparkSession, F.col("values"), leaves))
@@ -232,7 +237,8 @@ def attribution_importance(df: DataFrame, features: list[str]) -> DataFrame:
 
 def background_sample(df: DataFrame, keys: list[str], n: int = 100, seed: int = SEED) -> DataFrame:
     """n rows by a seeded hash of their keys: the same rows under any partitioning."""
-    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+    digest = F.md5(F.concat_ws("|", *[named(k).cast("string") for k in keys], F.lit(str(seed))))
+    return df.orderBy(digest, *map(named, keys)).limit(n)
 
 
 def additivity(df: DataFrame, model: FailureModel) -> DataFrame:
@@ -267,9 +273,23 @@ def additivity(df: DataFrame, model: FailureModel) -> DataFrame:
 
 
 def summary_points(df: DataFrame, features: list[str], keys: list[str], top: int = 20) -> DataFrame:
-    """Attribution and value per row for the ``top`` most important features."""
-    ranked = attribution_importance(df, features).limit(top)
-    return long_attributions(df, features, keys).join(F.broadcast(ranked), "feature")  # at most ``top`` rows
+    """Attribution and value per row for the ``top`` most important features.
+
+    ``df`` is read twice, to rank and to list, so it should be a written table.
+    """
+    ranked = attribution_importance(df, features).limit(top).collect()  # at most ``top`` rows
+    points = F.array(
+        *[
+            F.struct(
+                F.lit(r["feature"]).alias("feature"),
+                F.col("values")[features.index(r["feature"])].alias("value"),
+                F.col("attributions")[features.index(r["feature"])].alias("attribution"),
+                F.lit(r["importance"]).alias("importance"),
+            )
+            for r in ranked
+        ]
+    )
+    return df.select(*keys, F.inline(points))
 
 
 def waterfall_points(df: DataFrame, features: list[str], keys: list[str]) -> DataFrame:

@@ -129,11 +129,21 @@ def pane_widths(df: DataFrame, options: LogOptions) -> tuple[int, list[tuple]]:
     crowded = (
         counted.filter(F.col("count") > limit).groupBy("m").agg(F.max("count").alias("n")).collect()
     )  # at most HOT_LIMIT rows
+    # Halved until the fullest pane fits or the common divisor of the windows is odd.
     halvings = (pane & -pane).bit_length() - 1
-    narrow = [
-        (r["m"], pane >> min(halvings, math.ceil(math.log2(r["n"] / limit)))) for r in crowded
-    ]
-    return pane, narrow
+    kind = df.schema[options.machine].dataType.simpleString()
+    steps: dict = {}
+    while crowded:
+        grown = {r["m"]: min(halvings, steps.get(r["m"], 0) + math.ceil(math.log2(r["n"] / limit))) for r in crowded}
+        grown = {m: h for m, h in grown.items() if h > steps.get(m, 0)}
+        steps |= grown
+        if not grown:
+            break
+        listed = df.sparkSession.createDataFrame([(m, pane >> h) for m, h in grown.items()], f"_m {kind}, _w long")
+        again = rows.join(F.broadcast(listed), rows["m"].eqNullSafe(listed["_m"]))  # at most HOT_LIMIT rows
+        again = again.groupBy("m", F.call_function("div", F.col("us"), F.col("_w")).alias("p")).count()
+        crowded = again.filter(F.col("count") > limit).groupBy("m").agg(F.max("count").alias("n")).collect()
+    return pane, [(m, pane >> h) for m, h in steps.items()]
 
 
 def _rolling_by_panes(df: DataFrame, options: LogOptions, chosen: list[str]) -> DataFrame:
@@ -414,7 +424,7 @@ def _ema_inside(df: DataFrame, chosen: list[str], smooth: list[float], t: Timeli
         blk, j = F.col("_blk"), F.col("_j")
         df = df.withColumn("_blk", F.floor(F.col("_rn") / block)).withColumn("_j", F.col("_rn") % block)
         inside = up_to_current(
-            Window.partitionBy(*t.keys, blk).orderBy(*[c.asc() for c in t.order()])
+            Window.partitionBy(*t.keys, blk).orderBy(*t.ascending())
         )
         local = []
         for i, c in enumerate(chosen):
@@ -424,7 +434,7 @@ def _ema_inside(df: DataFrame, chosen: list[str], smooth: list[float], t: Timeli
                 local.append((F.pow(b, j) * total).alias(f"_e{i}_{a}"))
         df = df.select("*", *local)
         # The end of the latest full block before this row.
-        earlier = before_current(Window.partitionBy(*t.keys).orderBy(blk, *[c.asc() for c in t.order()]))
+        earlier = before_current(Window.partitionBy(*t.keys).orderBy(blk, *t.ascending()))
         ends = []
         for i, _ in enumerate(chosen):
             for a in group:

@@ -26,8 +26,11 @@ AUC_BUCKETS = 10_000
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", predicted: str = "prediction") -> DataFrame:
-    """One row tn, fp, fn, tp; cells of absent classes are 0."""
-    y, p = named(label) == 1, named(predicted) == 1
+    """One row tn, fp, fn, tp; cells of absent classes are 0.
+
+    A missing prediction claims no failure; rows without a label cannot be judged and are left out.
+    """
+    y, p = named(label) == 1, F.coalesce(named(predicted) == 1, F.lit(False))
     return df.agg(
         F.count_if(~y & ~p).alias("tn"),
         F.count_if(~y & p).alias("fp"),
@@ -54,19 +57,22 @@ def classification_metrics(confusion: DataFrame) -> DataFrame:
 
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "probability") -> DataFrame:
-    """Exact, tie-aware area under the ROC curve; 0 when a class is absent.
+    """Exact, tie-aware area under the ROC curve; 0 when a class is absent or a score missing.
 
     Rows are first grouped by score. Many distinct scores are cut at quantiles into
     buckets, the negatives below a score are counted inside its bucket, and bucket totals
     (at most AUC_BUCKETS rows) supply the rest, so no sort of all scores runs in one task.
     """
     scores = (
-        df.filter(named(score).isNotNull())
-        .groupBy(named(score).cast("double").alias("s"))
+        df.groupBy(named(score).cast("double").alias("s"))
         .agg(F.count_if(named(label) == 1).alias("pos"), F.count_if(named(label) != 1).alias("neg"))
     )
     scores = written(scores, "scores")
-    buckets = min(AUC_BUCKETS, scores.count() // AUC_BUCKET_SCORES + 1)
+    known = scores.agg(F.count("*").alias("n"), F.count_if(F.col("s").isNull()).alias("missing")).first()
+    scores = scores.filter(F.col("s").isNotNull())
+    if known["missing"]:
+        return scores.sparkSession.createDataFrame([(0.0,)], "roc_auc double")
+    buckets = min(AUC_BUCKETS, known["n"] // AUC_BUCKET_SCORES + 1)
     if buckets == 1:
         bucketed = scores.withColumn("bucket", F.lit(0.0))
     else:
@@ -80,9 +86,14 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "probability") ->
     totals = totals.select("bucket", F.coalesce(F.sum("neg").over(lower), F.lit(0)).alias("below"))
     ranked = bucketed.withColumn("inside", F.coalesce(F.sum("neg").over(inside), F.lit(0)))
     ranked = ranked.join(F.broadcast(totals), "bucket")  # at most AUC_BUCKETS rows
-    wins = F.col("pos") * (F.col("below") + F.col("inside") + F.col("neg") / F.lit(2.0))
+    wins = F.col("pos").cast("double") * (F.col("below") + F.col("inside") + F.col("neg") / F.lit(2.0))
     sums = ranked.agg(F.sum(wins).alias("wins"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-    return sums.select(_ratio(F.col("wins"), F.col("p") * F.col("n")).alias("roc_auc"))
+    return sums.select(area_of("wins", "p", "n").alias("roc_auc"))
+
+
+def area_of(wins: str, positives: str, negatives: str) -> Column:
+    """Share of won pairs. Pairs of a large log exceed a LONG, so they are counted in doubles."""
+    return _ratio(F.col(wins), F.col(positives).cast("double") * F.col(negatives).cast("double"))
 
 
 def per_class_report(df: DataFrame, label: str = "label", predicted: str = "prediction") -> DataFrame:
@@ -181,8 +192,3 @@ def compare_models(results: list[DataFrame], primary_metric: str = "recall") ->
     by = METRIC_COLUMNS.get(primary_metric.lower(), "recall")
     table = reduce(DataFrame.unionByName, results)
     return table.select("model", "recall", "precision", "f1", "roc_auc").orderBy(F.desc(by), "model")
-
-
-def top_risks(df: DataFrame, k: int, probability: str, *ties: str) -> DataFrame:
-    """The k rows with the highest probability."""
-    return df.orderBy(F.desc(probability), *ties).limit(k)

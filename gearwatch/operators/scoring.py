@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gearwatch.functions.columns import named, once
+from gearwatch.functions.columns import named, once, parse_number
 from gearwatch.operators.attribution import with_attributions
 from gearwatch.operators.insights import with_explanations
 from gearwatch.operators.metrics import risk_band
@@ -34,7 +34,7 @@ def parse_requests(df: DataFrame, body: str = "value") -> DataFrame:
     raw = F.from_json(named(body), REQUEST, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
     df = once(df, "_raw", raw)
     is_object = F.col("_raw").isNotNull() & F.col("_raw._broken").isNull() & F.ltrim(named(body)).startswith("{")
-    number = {c: F.trim(F.col("_raw")[c]).try_cast("double") for c in READINGS}
+    number = {c: parse_number(F.col("_raw")[c]) for c in READINGS}
     problems = [
         F.when(~F.coalesce(is_object, F.lit(False)), "not a JSON object"),
         *[F.when(F.col("_raw")[c].isNull(), F.lit(f"{c} is missing")) for c in ("machine_id", *READINGS)],
@@ -98,7 +98,7 @@ def state_labels() -> Column:
 
 
 def rule_factors(probability: Column) -> Column:
-    """Reasons without attributions: fired rules, else state labels when failure is likely."""
+    """Reasons when an explanation failed: fired rules, else state labels when failure is likely."""
     fired = fired_rules()
     return F.slice(F.when(F.size(fired) > 0, fired).otherwise(likely_states(probability)), 1, 3)
 
@@ -114,7 +114,8 @@ def score_requests(
     """Adds failure_probability, risk_level, top_risk_factors and shap_explanations.
 
     Model features the frame lacks are made from the current readings; a frame that brings
-    features from its history is scored on those.
+    features from its history is scored on those. Without explanations, asked not to make them or
+    unable to, the reasons are the state labels of a likely failure and nothing else.
     """
     kept = valid.columns
     scored = model.predict(request_features(valid, model.features))
@@ -137,5 +138,5 @@ def score_requests(
         *[named(c) for c in kept],
         "failure_probability",
         risk_band(F.col("probability"), inclusive=True).alias("risk_level"),
-        rule_factors(F.col("probability")).alias("top_risk_factors"),
+        likely_states(F.col("probability")).alias("top_risk_factors"),
     )

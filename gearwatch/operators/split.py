@@ -63,19 +63,24 @@ def _in_train(df: DataFrame, options: LogOptions, threshold: int | None) -> Colu
     return us.isNotNull() if threshold is None else us < F.lit(threshold)
 
 
+def _in_test(df: DataFrame, options: LogOptions, threshold: int | None) -> Column:
+    """Timed rows from the threshold on; rows without a time belong to neither side."""
+    us = instant(df, options.time)
+    return F.lit(False) if threshold is None else us >= F.lit(threshold)
+
+
 def with_split(df: DataFrame, options: LogOptions, threshold: int | None = None) -> DataFrame:
     """Adds ``split`` = train, test or null (rows without a time belong to neither)."""
     if threshold is None:
         threshold = time_threshold(df, options)
-    timed = instant(df, options.time).isNotNull()
-    side = F.when(_in_train(df, options, threshold), F.lit("train")).when(timed, F.lit("test"))
+    side = F.when(_in_train(df, options, threshold), F.lit("train")).when(_in_test(df, options, threshold), F.lit("test"))
     return df.withColumn("split", side)
 
 
 def time_based_split(df: DataFrame, options: LogOptions) -> tuple[DataFrame, DataFrame]:
     threshold = time_threshold(df, options)
     train = df.filter(_in_train(df, options, threshold))
-    test = df.filter(~_in_train(df, options, threshold))
+    test = df.filter(_in_test(df, options, threshold))
     return train, test
 
 

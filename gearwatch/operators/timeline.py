@@ -4,7 +4,7 @@ Most logs have many machines of modest size; a window partitioned by machine is
 then the right plan and nothing here costs anything. A log may also hold a third
 of its rows under one machine. Such machines are measured first (two small
 aggregates with map-side combine) and cut into time segments of about
-``group_rows`` rows. Operators work inside (machine, segment) and pass what the
+``group_rows`` rows, narrow where readings come in bursts. Operators work inside (machine, segment) and pass what the
 next segment must know through a small per-segment table, so results are the
 same as on the uncut machine.
 """
@@ -47,6 +47,10 @@ class Timeline:
     # Machines that are cut or have many rows in a window; None when that is (nearly) all.
     crowded: list | None = None
     keyed: bool = False
+    # Cells of hot machines that are cut further, level by level.
+    cuts: tuple[DataFrame, ...] = ()
+    # Small cells that belong to the segment of an earlier one.
+    joined: DataFrame | None = None
 
     @classmethod
     def measure(cls, df: DataFrame, options: LogOptions, axis: str | None = None) -> "Timeline":
@@ -76,13 +80,13 @@ class Timeline:
             dense = cells.agg(F.max("n")).first()[0]
             full = cells.filter(F.col("n") > options.dense_rows).select("m").limit(HOT_LIMIT + 1).collect()
             crowded = {r["m"] for r in full}
-        hot = None
+        hot, cuts, joined = None, (), None
         if top["n"] > limit:
-            hot = _cut(rows, machines.filter(F.col("n") > limit), limit)
+            hot, cuts, joined = _cut(rows, machines.filter(F.col("n") > limit), limit)
             crowded |= {r["_hot"] for r in hot.collect()}
         listed = len(crowded) <= HOT_LIMIT and len(crowded) < top["machines"]
         span = (top["lo"] or 0, top["hi"] or 0)
-        return cls(options, axis, top["n"], dense, span, hot, list(crowded) if listed else None)
+        return cls(options, axis, top["n"], dense, span, hot, list(crowded) if listed else None, cuts=cuts, joined=joined)
 
     @property
     def split(self) -> bool:
@@ -107,7 +111,7 @@ class Timeline:
         listed = df.sparkSession.createDataFrame([(m,) for m in self.crowded], f"_crowded {kind}")
         listed = F.broadcast(listed)  # at most HOT_LIMIT rows
         same = named(self.options.machine).eqNullSafe(listed["_crowded"])
-        calm = replace(self, hot=None, max_dense=min(self.max_dense, self.options.dense_rows), crowded=None)
+        calm = replace(self, hot=None, cuts=(), joined=None, max_dense=min(self.max_dense, self.options.dense_rows), crowded=None)
         return df.join(listed, same, "left_semi"), df.join(listed, same, "left_anti"), calm
 
     def attach(self, df: DataFrame) -> DataFrame:
@@ -118,16 +122,22 @@ class Timeline:
         if not self.split:
             return df
         hot = F.broadcast(self.hot)
-        joined = df.join(hot, named(self.options.machine).eqNullSafe(hot["_hot"]), "left")
-        seg = F.coalesce(
-            F.floor((F.col(US) - F.col("_lo")) / F.col("_width")), F.lit(LAST_SEGMENT)
-        ).cast("long")
-        return joined.withColumns(
-            {
-                SEG: F.when(F.col("_width").isNull(), F.lit(0).cast("long")).otherwise(seg),
-                MACHINE: F.coalesce(named(self.options.machine).cast("string"), F.lit(NO_MACHINE)),
-            }
-        ).drop("_hot", "_lo", "_width")
+        # A segment is named by where it starts; machines that are not cut have one segment, 0.
+        machine = named(self.options.machine)
+        joined = df.join(hot, machine.eqNullSafe(hot["_hot"]), "left")
+        start = F.coalesce(_cell_start(F.col(US), F.col("_lo"), F.col("_width")), F.lit(LAST_SEGMENT))
+        joined = joined.withColumn(SEG, F.when(F.col("_width").isNull(), F.lit(0).cast("long")).otherwise(start))
+        joined = joined.drop("_hot", "_lo", "_width")
+        for level in self.cuts:
+            same = machine.eqNullSafe(level["_cut"]) & (F.col(SEG) == level["_cell"])
+            joined = joined.join(F.broadcast(level), same, "left")
+            inner = _cell_start(F.col(US), F.col(SEG), F.col("_narrow"))
+            joined = joined.withColumn(SEG, F.coalesce(inner, F.col(SEG))).drop("_cut", "_cell", "_narrow")
+        if self.joined is not None:
+            same = machine.eqNullSafe(self.joined["_cut"]) & (F.col(SEG) == self.joined["_cell"])
+            joined = joined.join(F.broadcast(self.joined), same, "left")
+            joined = joined.withColumn(SEG, F.coalesce(F.col("_start"), F.col(SEG))).drop("_cut", "_cell", "_start")
+        return joined.withColumn(MACHINE, F.coalesce(machine.cast("string"), F.lit(NO_MACHINE)))
 
     def with_key(self, df: DataFrame) -> tuple[DataFrame, "Timeline"]:
         """Adds one LONG that orders the rows of a machine by instant, then among ties.
@@ -136,9 +146,11 @@ class Timeline:
         """
         columns = df.columns
         df = self.attach(df)
-        by_instant = Window.partitionBy(*self.keys).orderBy(F.col(US).asc())
+        by_instant = Window.partitionBy(*self.keys).orderBy(F.col(US).asc_nulls_last())
         tie = F.row_number().over(self.forward()) - F.rank().over(by_instant)
-        key = (F.col(US) - F.lit(self.span[0])) * TIE_SLOTS + tie
+        # Rows without an instant come after all others.
+        since = F.coalesce(F.col(US), F.lit(self.span[1] + 1)) - F.lit(self.span[0])
+        key = since * TIE_SLOTS + tie
         return df.select(*map(named, columns), key.alias(KEY)), replace(self, keyed=True)
 
     def order(self) -> list[Column]:
@@ -146,11 +158,20 @@ class Timeline:
             return [F.col(KEY)]
         return [F.col(US), *[named(c) for c in self.options.order]]
 
+    def ascending(self) -> list[Column]:
+        """Time order; rows without an instant come last, as they do in the last segment."""
+        first, *ties = self.order()
+        return [first.asc_nulls_last(), *[c.asc() for c in ties]]
+
+    def descending(self) -> list[Column]:
+        first, *ties = self.order()
+        return [first.desc_nulls_first(), *[c.desc() for c in ties]]
+
     def forward(self) -> WindowSpec:
-        return Window.partitionBy(*self.keys).orderBy(*[c.asc() for c in self.order()])
+        return Window.partitionBy(*self.keys).orderBy(*self.ascending())
 
     def backward(self) -> WindowSpec:
-        return Window.partitionBy(*self.keys).orderBy(*[c.desc() for c in self.order()])
+        return Window.partitionBy(*self.keys).orderBy(*self.descending())
 
     def by_instant_desc(self) -> WindowSpec:
         return Window.partitionBy(*self.keys).orderBy(F.col(US).desc())
@@ -200,40 +221,58 @@ def _by_cell(rows: DataFrame, width: int) -> DataFrame:
     )
 
 
-def _cut(rows: DataFrame, hot: DataFrame, limit: int) -> DataFrame:
-    """Segment width per hot machine, narrowed until the fullest segment fits.
+def _cell_start(us: Column, start: Column, width: Column) -> Column:
+    """Start of the cell of a width that holds ``us``, in whole numbers."""
+    return start + F.call_function("div", us - start, width) * width
+
 
-    Rows of one instant always stay together, so a width never goes below 1.
+def _cut(rows: DataFrame, hot: DataFrame, limit: int) -> tuple[DataFrame, tuple[DataFrame, ...], DataFrame | None]:
+    """Cells of hot machines, per level the cells that are cut further, and small cells to join up.
+
+    First cells of equal width that would each hold ``limit`` rows of an even log; a cell with
+    more than twice as many is cut again by its own row count, and so on. So a burst gets narrow
+    cells and the rest of the machine wide ones. Small neighbours then join up, so that any two
+    segments side by side exceed the limit: there are at most 2 * rows / limit + 1 per machine,
+    however unevenly rows are spread. Rows of one instant always stay together. Only counts
+    of cells reach the driver.
     """
     spark = rows.sparkSession
     found = hot.select("m", "lo", "hi", "n").collect()  # at most HOT_LIMIT rows
-    kind = rows.schema["m"].dataType
-    schema = f"_hot {kind.simpleString()}, _lo long, _width long"
-    widths = {
-        r["m"]: (r["lo"] or 0, max(1, math.ceil(((r["hi"] or 0) - (r["lo"] or 0) + 1) * limit / r["n"])))
+    kind = rows.schema["m"].dataType.simpleString()
+    first = [
+        (r["m"], r["lo"] or 0, max(1, math.ceil(((r["hi"] or 0) - (r["lo"] or 0) + 1) * limit / r["n"])))
         for r in found
-    }
-
-    def listing() -> DataFrame:
-        return spark.createDataFrame([(m, lo, w) for m, (lo, w) in widths.items()], schema)
-
-    for _ in range(12):
-        table = F.broadcast(listing())
-        counted = (
-            rows.join(table, rows["m"].eqNullSafe(table["_hot"]))
-            .groupBy("m", "_width", F.floor((F.col("us") - F.col("_lo")) / F.col("_width")).alias("s"))
-            .count()
-        )
-        full = (
-            counted.groupBy("m", "_width").agg(F.max("count").alias("n"))
-            .filter((F.col("n") > 2 * limit) & (F.col("_width") > 1))
-            .collect()
-        )
+    ]
+    listing = spark.createDataFrame(first, f"_hot {kind}, _lo long, _width long")
+    placed = rows.filter(F.col("us").isNotNull()).join(F.broadcast(listing), F.col("m").eqNullSafe(F.col("_hot")))
+    placed = placed.select("m", "us", _cell_start(F.col("us"), F.col("_lo"), F.col("_width")).alias("cell"), "_width")
+    levels: list[DataFrame] = []
+    leaves: dict = {}
+    while True:
+        counted = placed.groupBy("m", "cell", "_width").agg(F.count("*").alias("n")).collect()
+        full = [r for r in counted if r["n"] > 2 * limit and r["_width"] > 1]
+        for r in counted:
+            if r["n"] <= 2 * limit or r["_width"] == 1:
+                leaves.setdefault(r["m"], []).append((r["cell"], r["n"]))
         if not full:
-            break
-        for r in full:
-            lo, width = widths[r["m"]]
-            widths[r["m"]] = (lo, max(1, int(width * limit / r["n"])))
-    return listing()
-
-
+            return listing, tuple(levels), _joined_up(spark, leaves, limit, kind)
+        narrower = [(r["m"], r["cell"], max(1, math.ceil(r["_width"] * limit / r["n"]))) for r in full]
+        level = spark.createDataFrame(narrower, f"_cut {kind}, _cell long, _narrow long")
+        levels.append(level)
+        same = F.col("m").eqNullSafe(F.col("_cut")) & (F.col("cell") == F.col("_cell"))
+        inner = _cell_start(F.col("us"), F.col("cell"), F.col("_narrow")).alias("cell")
+        placed = placed.join(F.broadcast(level), same).select("m", "us", inner, F.col("_narrow").alias("_width"))
+
+
+def _joined_up(spark, leaves: dict, limit: int, kind: str) -> DataFrame | None:
+    """Where a cell's segment starts, for cells that follow others in their segment."""
+    moved = []
+    for machine, cells in leaves.items():
+        start, held = None, limit
+        for cell, n in sorted(cells):
+            if start is not None and held + n <= limit:
+                moved.append((machine, cell, start))
+                held += n
+            else:
+                start, held = cell, n
+    return spark.createDataFrame(moved, f"_cut {kind}, _cell long, _start long") if moved else None

@@ -104,26 +104,19 @@ def validate_pipeline(
     Time order and train/test overlap fail; suspicious names and unexplained labels warn.
     """
     spark = train.sparkSession
-    parts = []
+    checks, parts = [], []
 
     def add(check: str, found: DataFrame, machine, detail, warn: bool) -> None:
-        rows = found.select(
-            F.lit(check).alias("check_name"),
-            machine.cast("string").alias("machine_id"),
-            F.lit(warn).alias("passed"),
-            F.lit("warn" if warn else "error").alias("severity"),
-            detail.alias("detail"),
+        checks.append((check,))
+        parts.append(
+            found.select(
+                F.lit(check).alias("check_name"),
+                machine.cast("string").alias("machine_id"),
+                F.lit(warn).alias("passed"),
+                F.lit("warn" if warn else "error").alias("severity"),
+                detail.alias("detail"),
+            )
         )
-        # Findings are read twice: as rows, and to tell that there are none.
-        rows = written(rows, "findings")
-        clean = rows.agg(F.count("*").alias("n")).filter("n = 0").select(
-            F.lit(check).alias("check_name"),
-            F.lit(None).cast("string").alias("machine_id"),
-            F.lit(True).alias("passed"),
-            F.lit("ok").alias("severity"),
-            F.lit("").alias("detail"),
-        )
-        parts.extend([rows, clean])
 
     for side, df in (("train", train), ("test", test)):
         add(
@@ -150,7 +143,17 @@ def validate_pipeline(
             "labels", unexplained_labels(train, options), named(options.machine),
             F.lit("label without later failure in the horizon"), True,
         )
-    return reduce(DataFrame.unionByName, parts)
+    # Findings are read twice, as rows and to tell which checks have none: written once, together.
+    findings = written(reduce(DataFrame.unionByName, parts), "findings")
+    every = spark.createDataFrame(checks, "check_name string")
+    clean = every.join(findings, "check_name", "left_anti").select(
+        "check_name",
+        F.lit(None).cast("string").alias("machine_id"),
+        F.lit(True).alias("passed"),
+        F.lit("ok").alias("severity"),
+        F.lit("").alias("detail"),
+    )
+    return findings.unionByName(clean)
 
 
 def all_passed(findings: DataFrame) -> bool:

@@ -58,7 +58,8 @@ def run_pipeline(
     version = version or new_version()
     chosen = sensors or sensor_columns(log, options)
     timeline = Timeline.measure(log, options)
-    cleaned = clean_pipeline(log, options, chosen, timeline=timeline)
+    # The dump, every feature step and their segment tables read the cleaned log: written once.
+    cleaned = written(clean_pipeline(log, options, chosen, timeline=timeline), "cleaned")
     if output:
         save_csv(cleaned, f"{output}/cleaned/version={version}")
     # The feature table feeds the threshold, two sets and the checks: written once.

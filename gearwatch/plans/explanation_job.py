@@ -23,7 +23,7 @@ from gearwatch.operators.insights import explanation_checks, high_risk_rows, rep
 from gearwatch.operators.models import FailureModel, load_model
 from gearwatch.options import LogOptions
 from gearwatch.session import written
-from gearwatch.sources.artifacts import cached, load_dataset, save_json, save_ranking, save_text
+from gearwatch.sources.artifacts import cached, latest_version, load_dataset, save_json, save_ranking, save_text
 
 TOP_ROWS = 5
 TOP_FEATURES = 20
@@ -46,10 +46,16 @@ def explain(
     options: LogOptions,
     cache: str | None = None,
     version: str = "",
-    key: str = "test",
+    key: str = "",
     thresholds: dict | None = None,
 ) -> Explained:
-    """Attributions of all test rows, checked, ranked, and put in words for the riskiest."""
+    """Attributions of all test rows, checked, ranked, and put in words for the riskiest.
+
+    With a ``cache`` folder, ``key`` must name the rows (such as the dataset version), so that
+    other rows never meet these attributions.
+    """
+    if cache and not key:
+        raise ValueError("a cache needs a key that names the rows")
     ids = [options.machine, options.time, *options.order]
     ids = [c for c in ids if c in test.columns]
     labelled = options.target in test.columns
@@ -92,9 +98,10 @@ def main() -> None:
     args = parser.parse_args()
     spark = SparkSession.builder.appName("sensor explanations").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     model, folder = load_model(spark, args.model, base=args.models)
-    test = load_dataset(spark, args.datasets, "test")
+    dataset = latest_version(spark, args.datasets)
+    test = load_dataset(spark, args.datasets, "test", version=dataset)
     version = folder.rsplit("models_", 1)[1]
-    result = explain(test, model, LogOptions(), f"{folder}/attributions", version)
+    result = explain(test, model, LogOptions(), f"{folder}/attributions", version, key=f"{dataset}-test")
     save(result, f"{folder}/explanations")
     explanation_checks(result.high_risk, TOP_ROWS).show()
     result.report.orderBy("line_no").select(F.col("line")).show(200, truncate=False)

@@ -45,10 +45,12 @@ def latest_version(spark: SparkSession, base: str, kind: str = "parquet") -> str
     return max(versions)
 
 
-def load_dataset(spark: SparkSession, base: str, split: str = "test", path: str | None = None) -> DataFrame:
-    """The newest version of a split, or an explicit path."""
+def load_dataset(
+    spark: SparkSession, base: str, split: str = "test", path: str | None = None, version: str | None = None
+) -> DataFrame:
+    """The newest version of a split, a version by name, or an explicit path."""
     if path is None:
-        path = f"{base}/parquet/version={latest_version(spark, base)}/split={split}"
+        path = f"{base}/parquet/version={version or latest_version(spark, base)}/split={split}"
     if not exists(spark, path):
         raise FileNotFoundError(f"dataset not found: {path}")
     return spark.read.parquet(path)
@@ -87,7 +89,8 @@ def save_text(lines: DataFrame, path: str) -> None:
 def cached(spark: SparkSession, base: str | None, version: str, key: str, compute) -> DataFrame:
     """Result stored under version and key; computed and stored at the first call.
 
-    The version is part of the address, so a new model never meets old values.
+    The version and the key are part of the address: a new model, or other rows under a key
+    that names them, never meet old values.
     """
     if base is None:
         return compute()

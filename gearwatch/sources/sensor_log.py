@@ -37,7 +37,8 @@ def read_csv_log(
     """
     if not exists(spark, path):
         raise FileNotFoundError(f"data file not found: {path}")
-    raw = spark.read.option("header", True).csv(path)
+    # The standard dialect: a quote inside a quoted cell is doubled.
+    raw = spark.read.options(header=True, quote='"', escape='"').csv(path)
     names = raw.columns
     # A log that brings its own order columns needs no row index.
     own_order = set(options.order) <= set(names)
@@ -126,7 +127,10 @@ def with_time(df: DataFrame, options: LogOptions, time_formats: tuple[str, ...]
     if isinstance(kind, T.StringType):
         c = F.coalesce(F.try_to_timestamp(c), *[F.try_to_timestamp(c, F.lit(f)) for f in time_formats])
     elif isinstance(kind, T.NumericType):
-        c = F.timestamp_micros(F.floor(c / 1000))  # nanoseconds since the epoch
+        # Nanoseconds since the epoch; whole numbers stay whole, as a DOUBLE cannot hold them.
+        whole = isinstance(kind, T.IntegralType)
+        micros = F.call_function("div", c - F.pmod(c, F.lit(1000)), F.lit(1000)) if whole else F.floor(c / 1000)
+        c = F.timestamp_micros(micros)
     return df.withColumn(name, c.try_cast("timestamp"))
 
 

@@ -33,7 +33,7 @@ FEATURES = ["temperature", "pressure_lag_1", "vibration_rolling_mean_1h"]
 
 @pytest.fixture(scope="module")
 def explained(spark):
-    rows = [(1, 0.85, [82.444, 1.9, 0.02], [0.5, -0.7, 0.0]), (2, 0.1, [20.0, 1.0, 0.0], [-0.1, 0.2, 0.3])]
+    rows = [(1, 0.85, [91.2544, 1.9, 0.02], [0.5, -0.7, 0.0]), (2, 0.1, [20.0, 1.0, 0.0], [-0.1, 0.2, 0.3])]
     df = spark.createDataFrame(rows, "id int, probability double, values array<double>, attributions array<double>")
     return insights.with_explanations(df, FEATURES, {"temperature": {"max": 80.0}}, top_n=2)
 
@@ -45,7 +45,7 @@ def test_explanations(explained):
     assert row["summary"] == (
         "Failure risk is HIGH (probability: 85.0%).\n\n"
         "Failure risk increased due to:\n"
-        "  1. Temperature increased failure risk (value: 82.44 (exceeding safe maximum of 80.0))\n"
+        "  1. Temperature increased failure risk (value: 91.254 (exceeding safe maximum of 80.0))\n"
         "\nFailure risk decreased due to:\n"
         "  1. Pressure from 1 time step(s) ago decreased failure risk (value: 1.90)\n"
     )
@@ -70,13 +70,15 @@ def test_report(spark, explained):
 
 
 RECORDS = {
-    '{"machine_id": "M_204", "temperature": 82.4, "pressure": 1.9, "vibration": 0.02}': None,
+    '{"machine_id": "M_17", "temperature": 91.25, "pressure": 2.2, "vibration": 0.03}': None,
     '{"machine_id": "M_1", "temperature": "70", "pressure": 1, "vibration": 0.01, "more": 1}': None,
     "this is no json": "not a JSON object",
     "[1, 2]": "not a JSON object",
-    '{"machine_id": "M_204", "temperature": 82.4}': "pressure is missing",
+    '{"machine_id": "M_17", "temperature": 91.25}': "pressure is missing",
     '{"temperature": 1, "pressure": 1, "vibration": 1}': "machine_id is missing",
-    '{"machine_id": "M_2", "temperature": "warm", "pressure": 1.9, "vibration": 0.02}': "temperature is not numeric",
+    '{"machine_id": "M_2", "temperature": "warm", "pressure": 2.2, "vibration": 0.03}': "temperature is not numeric",
+    '{"machine_id": "M_2", "temperature": "82.5d", "pressure": 2.2, "vibration": 0.03}': "temperature is not numeric",
+    '{"machine_id": "M_2", "temperature": 1, "pressure": "1f", "vibration": 0.03}': "pressure is not numeric",
     '{"machine_id": "M_2", "temperature": 1, "pressure": -100000.5, "vibration": 0.02}': "pressure is out of range",
     '{"machine_id": "M_2", "temperature": 1, "pressure": 100000, "vibration": 0.02}': None,
 }
@@ -133,7 +135,7 @@ def test_stream_equals_batch(spark, model, tmp_path, explain):
     scored, rejected = score_stream(
         request_stream(spark, str(folder), 1), model, str(tmp_path / "out"), str(tmp_path / "state"), explain=explain
     )
-    assert scored.count() == 33 and rejected.count() == 6
+    assert scored.count() == 33 and rejected.count() == 8
     assert scored.exceptAll(batch.select(*scored.columns)).count() == 0
     assert scored.filter("size(top_risk_factors) > 3 OR failure_probability NOT BETWEEN 0 AND 1").count() == 0
     if explain:

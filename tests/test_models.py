@@ -143,15 +143,17 @@ def brute_force(model, x):
 
 
 @pytest.mark.parametrize("kind", ["boosted", "forest"])
-@pytest.mark.parametrize("way", ["tabled", "direct", "grouped"])
+@pytest.mark.parametrize("way", ["whole", "blocks", "grouped"])
 def test_attributions(kind, way, boosted, forest, table, monkeypatch):
-    if way == "direct":
-        monkeypatch.setattr(attribution, "TABLED_FEATURES", 0)
+    if way == "blocks":
+        monkeypatch.setattr(attribution, "ROWS_AT_ONCE", 7)
+        monkeypatch.setattr(attribution, "CELLS_AT_ONCE", 1)
     if way == "grouped":
         monkeypatch.setattr(attribution, "BROADCAST_BYTES", 1)
     model = {"boosted": boosted, "forest": forest}[kind]
     if way == "grouped":
-        assert len(attribution.leaf_groups(model)) > 1
+        nodes, weights, of_forest = attribution.ensemble_nodes(model)
+        assert len(attribution.leaf_groups(attribution.node_table(nodes), weights, of_forest)) > 1
     explained = attribution.with_attributions(model.predict(table), model)
     check = attribution.additivity(explained, model).first()
     assert check["is_valid"] and check["max_error"] < 1e-9 and check["some_importance"]

@@ -36,6 +36,23 @@ def _raw_csv(spark, d, clock: bool = True) -> str:
     return path
 
 
+@query(
+    "src_csv_quoted",
+    """SELECT event_id AS seq, 'M' || CAST(user_id AS VARCHAR) AS machine_id, 'say "' || event_type || '", ok' AS note, value
+    FROM events""",
+)
+def _(spark, d):
+    """Cells with quotes and commas, in the standard dialect."""
+    note = F.concat(F.lit('say "'), "event_type", F.lit('", ok'))
+    raw = table(spark, d, "events").select(
+        F.col("event_id").alias("seq"), F.col("ts").cast("string").alias("timestamp"),
+        F.concat(F.lit("M"), F.col("user_id").cast("string")).alias("machine_id"), note.alias("note"), "value",
+    )
+    path = fresh_path(spark, "quoted-csv")
+    raw.write.options(header=True, escape='"').csv(path)
+    return read_csv_log(spark, path, EVENTS).select("seq", "machine_id", "note", "value")
+
+
 @query(
     "src_csv_log",
     """SELECT row_number() OVER (ORDER BY event_id) - 1 AS seq, 'U' || CAST(user_id AS VARCHAR) AS machine_id,
@@ -175,7 +192,7 @@ def _(spark, d):
     """CSV to saved train and test sets, then the report on what was saved."""
     out = fresh_path(spark, "data-job")
     log, rejects = ingest_pipeline(spark, _raw_csv(spark, d), EVENTS)
-    run_pipeline(log, EVENTS, out, version="20240101_000000", rejects=rejects, validate=False)
+    run_pipeline(log, EVENTS, out, version="20240101_000000", rejects=rejects)
     sides = [
         artifacts.load_dataset(spark, f"{out}/datasets", side).withColumn("split", F.lit(side))
         for side in ("train", "test")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from gearwatch.functions.columns import add_hours, fixed, instant, named, sanitised_text, version_text
 from gearwatch.operators import clean, features, profile, split, target, validate
 from gearwatch.operators.models import aligned
-from gearwatch.operators.schema import sensor_columns
+from gearwatch.operators.schema import detected_columns, sensor_columns
 from gearwatch.operators.timeline import Timeline
 from gearwatch.sources.sensor_log import sort_by_time
 from workload.registry import query
@@ -29,6 +29,23 @@ CHECKED_SQL = """checked AS (
 # --- range check and gaps ------------------------------------------------------------------
 
 
+@query(
+    "prj_detected_columns",
+    f"""WITH {LOG_SQL}, c AS (SELECT count(value) AS v, count(k) AS k, count(failure) AS f FROM log)
+    SELECT part, column_name, CASE column_name WHEN 'value' THEN v WHEN 'k' THEN k ELSE f END AS known
+    FROM c, (VALUES ('range_check', 'value'), ('range_check', 'k'), ('gap_fill', 'value'), ('gap_fill', 'k'),
+      ('feature', 'value'), ('feature', 'k')) AS p(part, column_name)""",
+)
+def _(spark, d):
+    """The part each column plays, with the readings it holds."""
+    log = events_log(spark, d)
+    parts = detected_columns(log, EVENTS)
+    names = [c for c in log.columns if c != "timestamp"]
+    counts = log.agg(*[F.count(c).alias(c) for c in names])
+    known = counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("known")) for c in names])))
+    return parts.join(known, "column_name").select("part", "column_name", "known")
+
+
 @query("prj_outlier_null", f"WITH {LOG_SQL}, {CHECKED_SQL} SELECT seq, machine_id, value, k FROM checked")
 def _(spark, d):
     return clean.remove_impossible_values(events_log(spark, d), GAPPY).select("seq", "machine_id", "value", "k")
@@ -125,6 +142,45 @@ def _(spark, d):
     )
 
 
+# --- rows without a time --------------------------------------------------------------------
+
+UNTIMED_SQL = f"""{LOG_SQL}, untimed AS (SELECT machine_id, CASE WHEN seq % 9 <> 4 THEN us END AS us, seq, value, k FROM log)"""
+
+
+def untimed_log(spark, d):
+    return events_log(spark, d).withColumn("timestamp", F.when(F.col("seq") % 9 != 4, F.col("timestamp")))
+
+
+def _untimed_query(name, options):
+    @query(
+        name,
+        f"""WITH {UNTIMED_SQL} SELECT seq, machine_id, lag(value) OVER w AS lag_1, lag(k, 2) OVER w AS lag_2
+        FROM untimed WINDOW w AS (PARTITION BY machine_id ORDER BY us NULLS LAST, seq)""",
+    )
+    def _(spark, d):
+        """Rows without a time come last, on cut machines as on others."""
+        made = features.create_lag_features(untimed_log(spark, d), options, SENSORS)
+        return made.select("seq", "machine_id", F.col("value_lag_1").alias("lag_1"), F.col("k_lag_2").alias("lag_2"))
+
+
+_untimed_query("fea_lag_untimed", EVENTS)
+_untimed_query("fea_lag_untimed_cut", CUT)
+
+
+@query(
+    "spl_untimed",
+    f"""WITH {UNTIMED_SQL}, edge AS (SELECT us FROM (SELECT us, row_number() OVER (ORDER BY us NULLS LAST) - 1 AS r,
+      count(*) OVER () AS n FROM untimed) WHERE r = CAST(floor(n * (1 - {EVENTS.test_size})) AS BIGINT))
+    SELECT side, count(*) AS row_count FROM (SELECT CASE WHEN us < (SELECT us FROM edge) THEN 'train'
+      WHEN us >= (SELECT us FROM edge) THEN 'test' END AS side FROM untimed) WHERE side IS NOT NULL GROUP BY 1""",
+)
+def _(spark, d):
+    """Rows without a time belong to neither side."""
+    sides = zip(("train", "test"), split.time_based_split(untimed_log(spark, d), EVENTS))
+    train, test = [df.select(F.lit(side).alias("side")) for side, df in sides]
+    return train.unionByName(test).groupBy("side").agg(F.count("*").alias("row_count"))
+
+
 # --- features -----------------------------------------------------------------------------
 
 LAG_NAMES = [f"{c}_lag_{n}" for c in SENSORS for n in EVENTS.lags]

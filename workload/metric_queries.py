@@ -59,6 +59,33 @@ def _(spark, d):
     return rounded(metrics.roc_auc(scored), [], ["roc_auc"])
 
 
+@query(
+    "agg_auc_missing",
+    f"""WITH {SCORED_SQL} SELECT CASE WHEN count(*) FILTER (probability IS NULL) > 0 THEN 0::DOUBLE END AS roc_auc
+    FROM (SELECT CASE WHEN row_id % 10 <> 3 THEN probability END AS probability FROM scored)""",
+)
+def _(spark, d):
+    """An area cannot be had while scores are missing: 0, as with one class only."""
+    scored = scored_events(spark, d).withColumn("probability", F.when(F.col("row_id") % 10 != 3, F.col("probability")))
+    return rounded(metrics.roc_auc(scored), [], ["roc_auc"])
+
+
+@query(
+    "agg_confusion_missing",
+    f"""WITH {SCORED_SQL}, known AS (SELECT CASE WHEN row_id % 7 <> 2 THEN label END AS label,
+      coalesce(CASE WHEN row_id % 5 <> 1 THEN prediction END, 0) AS prediction FROM scored)
+    SELECT count(*) FILTER (label = 0 AND prediction = 0) AS tn, count(*) FILTER (label = 0 AND prediction = 1) AS fp,
+      count(*) FILTER (label = 1 AND prediction = 0) AS fn, count(*) FILTER (label = 1 AND prediction = 1) AS tp FROM known""",
+)
+def _(spark, d):
+    """Rows without a label are left out; a missing prediction claims no failure."""
+    some = scored_events(spark, d).select(
+        F.when(F.col("row_id") % 7 != 2, F.col("label")).alias("label"),
+        F.when(F.col("row_id") % 5 != 1, F.col("prediction")).alias("prediction"),
+    )
+    return metrics.confusion_matrix(some)
+
+
 @query(
     "agg_auc_labels",
     f"""WITH scored AS (SELECT quality AS label, n_chars / 20000.0::DOUBLE AS probability
@@ -186,6 +213,56 @@ def _(spark, d):
     )
 
 
+@query(
+    "prj_request_numbers",
+    """SELECT event_id AS request_id, CASE WHEN event_id % 4 IN (0, 3) THEN value END AS temperature,
+      CASE event_id % 4 WHEN 1 THEN 'temperature is not numeric' WHEN 2 THEN 'pressure is not numeric' END AS reason
+    FROM events""",
+)
+def _(spark, d):
+    """Numbers in texts count, numbers with a letter behind them do not."""
+    kind = F.col("event_id") % 4
+    body = F.concat(
+        F.lit('{"machine_id": "m", "temperature": "'), F.col("value").cast("string"), F.when(kind == 1, "d").otherwise(""),
+        F.lit('", "pressure": "1'), F.when(kind == 2, "f").when(kind == 3, ".5e0 ").otherwise(""),
+        F.lit('", "vibration": 0}'),
+    )
+    parsed = scoring.parse_requests(table(spark, d, "events").select(F.col("event_id").alias("request_id"), body.alias("body")), "body")
+    good = F.col("reason").isNull()
+    return parsed.select("request_id", F.when(good, F.col("temperature")).alias("temperature"), "reason")
+
+
+class _Proxy:
+    """Stands in for a fitted model: the probability comes from the temperature."""
+
+    kind, features = "boosted", ["temperature"]
+
+    @staticmethod
+    def predict(df):
+        return df.withColumn("probability", F.least(F.col("temperature") / F.lit(100.0), F.lit(1.0)))
+
+
+@query(
+    "sco_no_explainer",
+    f"""WITH {REQUESTS_SQL}, p AS (SELECT *, least(temperature / 100.0::DOUBLE, 1.0::DOUBLE) AS p,
+      [CASE WHEN temperature > 80 THEN 'High temperature' ELSE 'Temperature within range' END,
+        CASE WHEN abs(pressure - 1.0::DOUBLE) > 0.5 THEN 'Pressure instability' ELSE 'Pressure stable' END,
+        CASE WHEN vibration > 0.015 THEN 'Vibration trend' ELSE 'Vibration normal' END] AS states
+      FROM requests WHERE reason IS NULL)
+    SELECT request_id, {r6('p')} AS failure_probability,
+      CASE WHEN p >= 0.7 THEN 'HIGH' WHEN p >= 0.3 THEN 'MEDIUM' ELSE 'LOW' END AS risk_level,
+      array_to_string(CASE WHEN p > 0.5 THEN states ELSE [] END, '; ') AS factors FROM p""",
+)
+def _(spark, d):
+    """Scores without explanations: state labels of likely failures only."""
+    valid = scoring.valid_requests(scoring.parse_requests(requests(spark, d), "body"))
+    scored = scoring.score_requests(valid, _Proxy(), explain=False)
+    return scored.select(
+        "request_id", fixed(F.col("failure_probability")).alias("failure_probability"), "risk_level",
+        F.array_join("top_risk_factors", "; ").alias("factors"),
+    )
+
+
 REQUEST_FEATURES = [
     "temperature", "pressure", "vibration", "temperature_lag_1", "pressure_rolling_mean_1h", "vibration_ema_0.3",
     "rpm_lag_1", "mean_temperature",
@@ -345,6 +422,33 @@ def _(spark, d):
     return rounded(attribution_importance(_attributed(spark, d), PROXY), ["feature"], ["importance"])
 
 
+@query(
+    "exp_summary_proxy",
+    f"""WITH {_ATTRIBUTED_SQL}, top AS (SELECT feature, avg(abs(a)) AS importance FROM items GROUP BY 1 ORDER BY 2 DESC LIMIT 2)
+    SELECT row_id, feature, {r6('v')} AS value, {r6('a')} AS attribution, {r6('importance')} AS importance
+    FROM items JOIN top USING (feature)""",
+)
+def _(spark, d):
+    """Points of the two most important features."""
+    from gearwatch.operators.attribution import summary_points
+
+    points = summary_points(_attributed(spark, d), PROXY, ["row_id"], 2)
+    return rounded(points, ["row_id", "feature"], ["value", "attribution", "importance"])
+
+
+@query(
+    "set_absent_features",
+    f"""WITH {LOG_SQL} SELECT unnest(['k_ema_0.3', 'pressure', 'value_lag_1']) AS feature, count(*) AS rows_filled FROM log""",
+)
+def _(spark, d):
+    """Features a model wants and the log lacks, with the rows that get 0 for them."""
+    from gearwatch.operators.models import missing_features
+
+    log = events_log(spark, d)
+    absent = missing_features(log, ["value", "k", "pressure", "value_lag_1", "k_ema_0.3"])
+    return log.agg(F.count("*").alias("rows_filled")).select(F.explode(F.array(*map(F.lit, absent))).alias("feature"), "rows_filled")
+
+
 @query(
     "exp_long_attributions",
     f"WITH {_ATTRIBUTED_SQL} SELECT row_id, feature, {r6('v')} AS value, {r6('a')} AS attribution FROM items",

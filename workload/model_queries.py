@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gearwatch.functions.columns import fixed
 from gearwatch.operators import attribution, insights, models, scoring
 from gearwatch.operators.features import feature_pipeline
-from gearwatch.operators.metrics import evaluate, per_class_report
+from gearwatch.operators.metrics import compare_models, evaluate, per_class_report
 from gearwatch.operators.models import FailureModel
 from gearwatch.operators.search import search
 from gearwatch.operators.split import time_based_split
@@ -19,6 +19,7 @@ from gearwatch.plans.training_job import prepare_features, train_all_models
 from gearwatch.session import fresh_path, written
 from gearwatch.sources import artifacts
 from gearwatch.streaming.scorer import score_stream
+from gearwatch.options import SEED
 from workload.log_queries import (
     _RANK,
     EMA_COLUMNS,
@@ -32,11 +33,8 @@ from workload.log_queries import (
     WINDOWS,
 )
 from workload.registry import query
-from workload.views import EVENTS, LOG_SQL, REQUESTS_SQL, SENSORS, events_log, requests, rounded, table
+from workload.views import EVENTS, LOG_SQL, REQUESTS_SQL, SENSORS, events_log, r6, requests, rounded, table
 
-# Small ensembles: what is shown is the operator, not the best score.
-FOREST = {"numTrees": 10, "maxDepth": 5}
-BOOSTED = {"maxIter": 10, "maxDepth": 4}
 KEYS = ["machine_id", "timestamp", "seq"]
 
 _sets: dict[tuple[str, str], tuple] = {}
@@ -60,8 +58,8 @@ def fitted(spark, d, kind: str) -> FailureModel:
         data = prepared(spark, d)[2]
         fit = {
             "baseline": lambda: models.train_baseline(data),
-            "random_forest": lambda: models.train_random_forest(data, **FOREST),
-            "boosted": lambda: models.train_boosted(data, **BOOSTED),
+            "random_forest": lambda: models.train_random_forest(data),
+            "boosted": lambda: models.train_boosted(data),
         }
         _fitted[key] = fit[kind]()
     return _fitted[key]
@@ -120,7 +118,11 @@ SEARCHED = {"random_forest": {"numTrees": [5, 10], "maxDepth": [3, 5], "positive
 def _search_query(kind):
     @query(f"mlm_search_{kind}")
     def _(spark, d):
-        """Two settings, two folds: the score of each setting on the whole training set."""
+        """Two settings, two folds: the score of each setting on the whole training set.
+
+        The default grids with 20 and 50 draws and 5 folds fit 100 forests and 250 boosted models,
+        hours in one local session; ``training_job`` runs them.
+        """
         _, scores = search(kind, prepared(spark, d)[2], KEYS, SEARCHED[kind], draws=2, folds=2)
         rows = [(str(sorted(s.items())), f1) for s, f1 in scores]
         return spark.createDataFrame(rows, "setting string, f1 double")
@@ -133,8 +135,16 @@ for _kind in SEARCHED:
 @query("mlm_train_all")
 def _(spark, d):
     train, test = prepared(spark, d)[:2]
-    result = train_all_models(train, test, EVENTS, optimize=False, forest=FOREST, boosted=BOOSTED)
-    return result.comparison
+    """All models, the tree models by search over the settings of ``SEARCHED``, saved and read back."""
+    base = fresh_path(spark, "trained")
+    settings = {kind: {"grid": grid, "draws": 2, "folds": 2} for kind, grid in SEARCHED.items()}
+    result = train_all_models(train, test, EVENTS, base, search_args=settings)
+    found = [
+        models.load_model(spark, kind, base=base)[0].predict(prepared(spark, d)[3]).select("label", "prediction", "probability")
+        for kind in models.KINDS
+    ]
+    again = [evaluate(written(df, "scored"), kind) for df, kind in zip(found, models.KINDS)]
+    return compare_models(again).join(result.comparison, ["model", "recall", "precision", "f1", "roc_auc"])
 
 
 @query("src_model_roundtrip")
@@ -177,9 +187,49 @@ def _(spark, d):
     return attribution.attribution_importance(found, model.features)
 
 
-@query("srt_background_sample")
+@query(
+    "srt_background_sample",
+    f"""WITH {LOG_SQL} SELECT machine_id, us AS timestamp, seq, value, k, failure FROM log
+    ORDER BY md5(concat_ws('|', machine_id, CAST(seq AS VARCHAR), '{SEED}')), machine_id, seq LIMIT 100""",
+)
+def _(spark, d):
+    sample = attribution.background_sample(events_log(spark, d), ["machine_id", "seq"], 100)
+    return sample.withColumn("timestamp", F.unix_micros("timestamp"))
+
+
+# Two small trees by hand: (tree, node, value, rows, left, right, feature, threshold).
+STUMPS = [
+    (0, 0, 0.0, 100, 1, 2, 0, 50.0), (0, 1, -1.0, 30, -1, -1, -1, 0.0), (0, 2, 2.0, 70, -1, -1, -1, 0.0),
+    (1, 0, 0.0, 100, 1, 4, 0, 80.0), (1, 1, 0.0, 50, 2, 3, 1, 40.0), (1, 2, 0.5, 20, -1, -1, -1, 0.0),
+    (1, 3, -0.5, 30, -1, -1, -1, 0.0), (1, 4, 1.5, 50, -1, -1, -1, 0.0),
+]
+
+
+@query(
+    "exp_stump_attributions",
+    f"""WITH {LOG_SQL}, t AS (SELECT seq, CASE WHEN value <= 50 THEN -1.0 ELSE 2.0 END AS tree0,
+      CASE WHEN value > 80 THEN 1.5 WHEN k <= 40 THEN 0.5 ELSE -0.5 END AS f01,
+      CASE WHEN value <= 80 THEN -0.1 ELSE 1.5 END AS f0,
+      0.5 * CASE WHEN k <= 40 THEN 0.5 ELSE -0.5 END + 0.75 AS f1 FROM log)
+    SELECT seq, {r6('1.45::DOUBLE')} AS base,
+      {r6('CAST(tree0 - 1.1 + 0.25 * (f0 - 0.7 + f01 - f1) AS DOUBLE)')} AS value_attribution,
+      {r6('CAST(0.25 * (f1 - 0.7 + f01 - f0) AS DOUBLE)')} AS k_attribution,
+      {r6('CAST(tree0 + 0.5 * f01 AS DOUBLE)')} AS score FROM t""",
+)
 def _(spark, d):
-    return attribution.background_sample(events_log(spark, d), ["machine_id", "seq"], 100)
+    """Hand-made trees through the code that explains fitted ones."""
+    nodes = spark.createDataFrame(
+        [(t, i, v, n, [float(n), 0.0], le, ri, f, at) for t, i, v, n, le, ri, f, at in STUMPS],
+        "treeID int, id int, prediction double, rawCount long, stats array<double>, leftChild int, rightChild int, "
+        "feature int, threshold double",
+    )
+    rows = events_log(spark, d).select("seq", F.array("value", "k").alias("values"))
+    found = attribution.with_leaf_attributions(rows, attribution.leaf_groups(nodes, [1.0, 0.5], forest=False))
+    total = F.aggregate("attributions", F.col("base"), lambda acc, x: acc + x)
+    return found.select(
+        "seq", fixed(F.col("base")).alias("base"), fixed(F.col("attributions")[0]).alias("value_attribution"),
+        fixed(F.col("attributions")[1]).alias("k_attribution"), fixed(total).alias("score"),
+    )
 
 
 @query("exp_instance")
@@ -194,14 +244,16 @@ def _(spark, d):
 
 @query("exp_summary_points")
 def _(spark, d):
-    return attribution.summary_points(attributed(spark, d), fitted(spark, d, "boosted").features, KEYS, 20)
+    rows = written(attributed(spark, d).select(*KEYS, "values", "attributions"), "attributed")
+    return attribution.summary_points(rows, fitted(spark, d, "boosted").features, KEYS, 20)
 
 
 @query("exp_high_risk")
 def _(spark, d):
     model = fitted(spark, d, "boosted")
-    top = insights.high_risk_rows(attributed(spark, d), KEYS, 5)
-    return insights.with_explanations(top, model.features).select(
+    # Ranked first: only the rows shown are explained.
+    top = insights.high_risk_rows(model.predict(prepared(spark, d)[3]), KEYS, 5)
+    return insights.with_explanations(attribution.with_attributions(top, model), model.features).select(
         "place", *KEYS, "probability", "risk_level", "summary", "positive_factors", "negative_factors"
     )
 
@@ -230,7 +282,7 @@ def request_model(spark, d) -> FailureModel:
             (F.col("event_type") == "error").cast("int").alias("label"),
         )
         names = [c for c in rows.columns if c != "label"]
-        _fitted[key] = models.train_boosted(models.prepare_training(rows, names, "label"), maxIter=5, maxDepth=3)
+        _fitted[key] = models.train_boosted(models.prepare_training(rows, names, "label"))
     return _fitted[key]
 
 
