@@ -8,8 +8,9 @@ share. Anchors are counted first (about one per twenty words); suffixes are cut
 that occur in two documents or more. Exact copies are settled before, by a digest of their words.
 
 *Groups.* The anchor is the prefix by which suffixes are dealt out; many prefixes make a group
-that fits in memory. A prefix with more than ``CROWD`` documents is lengthened to the whole window
-(a digest of its words), whose groups need no memory: only their smallest document is kept.
+that fits in memory. Equal stretches of text count once, so a crowd of copies does not fill a group.
+A prefix with more than ``CROWD`` different stretches is lengthened to the whole window (a digest
+of its words), whose groups need no memory: only their smallest document is kept.
 
 *Subtrees.* Within a group, suffixes that share their first 1, 2, 4, ... words hang below one node;
 nodes at depth ``WINDOW`` with two documents are the repeats. Runs of them make maximal repeats.
@@ -34,8 +35,8 @@ from gearwatch.llm.common import as_bytes, stored
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WINDOW, ANCHOR = 50, 10
-#: Documents a prefix may have before it is lengthened; stretches of text in a group, on average.
-CROWD, GROUP = 256, 2000
+#: Different stretches a prefix may have before it is lengthened; stretches in a group, on average.
+CROWD, GROUP = 4000, 2000
 #: Stands for a missing id: larger than any other.
 NO_ID = 2**63 - 1
 #: Base of the polynomial over bytes, odd so that it has an inverse modulo 2**64.
@@ -106,8 +107,8 @@ def nodes_at_depth(symbols: np.ndarray, depth: int) -> np.ndarray:
     return node
 
 
-def repeated_windows(stretches: list[list[bytes]], prefix: np.ndarray, doc: np.ndarray, window: int) -> list[np.ndarray]:
-    """For each stretch, the windows (by place) that also start in a stretch of a smaller document.
+def least_documents(stretches: list[list[bytes]], prefix: np.ndarray, doc: np.ndarray, window: int) -> list[np.ndarray]:
+    """For each window of each stretch, the least document of all stretches with that window.
 
     Stretches with different prefixes are never compared.
     """
@@ -126,18 +127,9 @@ def repeated_windows(stretches: list[list[bytes]], prefix: np.ndarray, doc: np.n
     at = node[starts[owner] + place]
     order = np.lexsort((doc[owner], at, prefix[owner]))
     fresh = np.append(True, (np.diff(at[order]) != 0) | (np.diff(prefix[owner][order]) != 0))
-    least = doc[owner][order][np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))]
-    gone = np.empty(len(order), dtype=bool)
-    gone[order] = doc[owner][order] > least
-    return np.split(place[gone], np.cumsum(np.bincount(owner[gone], minlength=len(stretches)))[:-1])
-
-
-def as_ranges(places: np.ndarray, window: int) -> list[tuple[int, int]]:
-    """Maximal runs of windows as ranges of words."""
-    if not len(places):
-        return []
-    cuts = np.flatnonzero(np.diff(places) > 1)
-    return list(zip(places[np.append(0, cuts + 1)].tolist(), (places[np.append(cuts, len(places) - 1)] + window).tolist()))
+    least = np.empty(len(order), dtype=np.int64)
+    least[order] = doc[owner][order][np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))]
+    return np.split(least, np.cumsum(counts)[:-1])
 
 
 def kept_mask(n: int, ranges) -> np.ndarray:
@@ -181,33 +173,46 @@ def _tokenised(docs: DataFrame, window: int, run: int) -> DataFrame:
 
 
 def _stretches(texts: DataFrame, window: int, run: int) -> DataFrame:
-    """Stretches of text around shared anchors, or digests of their windows where the anchor is crowded."""
+    """Stretches of text around shared anchors, each with a digest of its words."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashed, unpack = Anchors(window, run), zstandard.ZstdDecompressor()
-        columns = ["prefix", "row", "doc", "start", "words", "digests"]
+        columns = ["prefix", "whole", "row", "doc", "start", "words"]
         for batch in batches:
             out = []
-            for row, doc, payload, shared, crowded in zip(*(batch[c] for c in ("row", "doc", "payload", "shared", "crowded"))):
+            for row, doc, payload, shared in zip(*(batch[c] for c in ("row", "doc", "payload", "shared"))):
                 found = unpack.decompress(payload).split()
                 anchors = hashed(found).view(np.int64)
                 first, count = anchor_runs(anchors)
                 wanted = np.isin(anchors[first], shared)
-                full = set(np.asarray(crowded).tolist())
                 for a, n in zip(first[wanted].tolist(), count[wanted].tolist()):
-                    prefix = int(anchors[a])
-                    if prefix in full:
-                        digests = [hashlib.blake2b(b" ".join(found[i : i + window]), digest_size=16).digest() for i in range(a, a + n)]
-                        out.append((prefix, row, doc, a, None, digests))
-                    else:
-                        out.append((prefix, row, doc, a, b" ".join(found[a : a + n + window - 1]), None))
+                    words = b" ".join(found[a : a + n + window - 1])
+                    out.append((int(anchors[a]), digest_of(words), row, doc, a, words))
                 if len(out) > 2000:
                     yield pd.DataFrame(out, columns=columns)
                     out = []
             if out:
                 yield pd.DataFrame(out, columns=columns)
 
-    return texts.mapInPandas(cut, "prefix long, row long, doc long, start int, words binary, digests array<binary>")
+    return texts.mapInPandas(cut, "prefix long, whole binary, row long, doc long, start int, words binary")
+
+
+def _windows(kinds: DataFrame, window: int) -> DataFrame:
+    """Digests of the windows of stretches whose prefix is too common."""
+
+    def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            split = [w.split() for w in batch.pop("words")]
+            yield batch.assign(
+                digests=[[digest_of(b" ".join(w[i : i + window])) for i in range(len(w) - window + 1)] for w in split]
+            )
+
+    named = kinds.select("prefix", "whole", "low", "words")
+    return named.mapInPandas(digest, "prefix long, whole binary, low long, digests array<binary>")
+
+
+def digest_of(words: bytes) -> bytes:
+    return hashlib.blake2b(words, digest_size=16).digest()
 
 
 def repeat_ranges(packed: DataFrame, window: int = WINDOW, run: int = ANCHOR) -> DataFrame:
@@ -219,36 +224,42 @@ def repeat_ranges(packed: DataFrame, window: int = WINDOW, run: int = ANCHOR) ->
     long_ones = packed.where(F.col("n_words") >= window).select("row", "doc", "digest", "n_words")
     copies, _ = stored(long_ones.groupBy("digest").agg(F.min("doc").alias("first_doc")), "copies")
     # Copies with a larger id go whole; the others stand for all.
-    settled = long_ones.join(copies, "digest").where("doc > first_doc").select("row", F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("stop"))).alias("ranges"))
+    whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("stop")))
+    settled = long_ones.join(copies, "digest").where("doc > first_doc").select("row", whole.alias("ranges"))
     active = packed.where(F.col("n_words") >= window).select("row", "doc", "digest", "anchors").join(copies, "digest")
     active = active.where("doc = first_doc").select("row", "doc", F.explode("anchors").alias("prefix"))
-    counted = active.groupBy("prefix").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count("*").alias("n"))
-    shared, _ = stored(counted.where("low < high").select("prefix", "n"), "prefixes")
-    total = shared.where(F.col("n") <= CROWD).agg(F.sum("n")).first()[0] or 0
-    groups = int(max(total // GROUP, spark.sparkContext.defaultParallelism, 1))
-    own = active.join(shared, "prefix").groupBy("row").agg(
-        F.collect_list("prefix").alias("shared"), F.collect_list(F.when(F.col("n") > CROWD, F.col("prefix"))).alias("crowded")
-    )
+    counted = active.groupBy("prefix").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
+    shared, _ = stored(counted.where("low < high").select("prefix"), "prefixes")
+    own = active.join(shared, "prefix").groupBy("row").agg(F.collect_list("prefix").alias("shared"))
     cut, _ = stored(_stretches(packed.select("row", "doc", "payload").join(own, "row"), window, run), "stretches")
 
+    # Equal stretches are looked at once, with their least document: a crowd of copies has few.
+    kinds = cut.groupBy("prefix", "whole").agg(F.min("doc").alias("low"), F.first("words").alias("words"))
+    kinds, _ = stored(kinds, "kinds")
+    sizes = kinds.groupBy("prefix").agg(F.count("*").alias("n"))
+    crowded, _ = stored(sizes.where(F.col("n") > CROWD).select("prefix"), "crowded")
+    groups = int(max(kinds.count() // GROUP, spark.sparkContext.defaultParallelism, 1))
+
     def subtrees(group: pd.DataFrame) -> pd.DataFrame:
         split = [w.split() for w in group["words"]]
-        prefix = group["prefix"].to_numpy()
-        found = repeated_windows(split, prefix, group["doc"].to_numpy(), window)
-        out = [
-            (row, start + a, start + b)
-            for row, start, places in zip(group["row"], group["start"], found)
-            for a, b in as_ranges(places, window)
-        ]
-        return pd.DataFrame(out, columns=["row", "start", "stop"]).astype({"row": "int64", "start": "int32", "stop": "int32"})
-
-    rare = cut.where(F.col("words").isNotNull()).withColumn("group", F.pmod(F.xxhash64("prefix"), F.lit(groups)))
-    ranges = rare.groupBy("group").applyInPandas(subtrees, "row long, start int, stop int")
-    each = cut.where(F.col("words").isNull()).select("prefix", "row", "doc", "start", F.posexplode("digests").alias("k", "digest"))
-    least = each.groupBy("prefix", "digest").agg(F.min("doc").alias("least"))
-    full = each.join(least, ["prefix", "digest"]).where("doc > least")
-    full = full.select("row", (F.col("start") + F.col("k")).alias("start"), (F.col("start") + F.col("k") + window).alias("stop"))
-    merged = ranges.unionByName(full).groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
+        least = least_documents(split, group["prefix"].to_numpy(), group["low"].to_numpy(), window)
+        return pd.DataFrame({"prefix": group["prefix"], "whole": group["whole"], "least": least})
+
+    rare = kinds.join(crowded, "prefix", "left_anti").withColumn("group", F.pmod(F.xxhash64("prefix"), F.lit(groups)))
+    known = rare.groupBy("group").applyInPandas(subtrees, "prefix long, whole binary, least array<long>")
+    each = _windows(kinds.join(crowded, "prefix", "left_semi"), window)
+    each = each.select("prefix", "whole", "low", F.posexplode("digests").alias("k", "digest"))
+    least = each.groupBy("prefix", "digest").agg(F.min("low").alias("least"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("k", "least"))), lambda x: x["least"])
+    long_ways = each.join(least, ["prefix", "digest"]).groupBy("prefix", "whole").agg(listed.alias("least"))
+    # Each member of a kind loses the windows that a document smaller than its own has.
+    members = cut.select("prefix", "whole", "row", "doc", "start").join(known.unionByName(long_ways), ["prefix", "whole"])
+    gone = (
+        "transform(filter(sequence(0, size(least) - 1), k -> least[k] < doc), "
+        f"k -> struct(start + k AS start, start + k + {window} AS stop))"
+    )
+    ranges = members.select("row", F.expr(gone).alias("ranges")).where(F.size("ranges") > 0)
+    merged = ranges.groupBy("row").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
     return merged.unionByName(settled)
 
 
