@@ -33,7 +33,7 @@ FEATURES = ["temperature", "pressure_lag_1", "vibration_rolling_mean_1h"]
 
 @pytest.fixture(scope="module")
 def explained(spark):
-    rows = [(1, 0.85, [91.2544, 1.9, 0.02], [0.5, -0.7, 0.0]), (2, 0.1, [20.0, 1.0, 0.0], [-0.1, 0.2, 0.3])]
+    rows = [(1, 0.85, [91.254, 1.9, 0.02], [0.5, -0.7, 0.0]), (2, 0.1, [20.0, 1.0, 0.0], [-0.1, 0.2, 0.3])]
     df = spark.createDataFrame(rows, "id int, probability double, values array<double>, attributions array<double>")
     return insights.with_explanations(df, FEATURES, {"temperature": {"max": 80.0}}, top_n=2)
 
@@ -45,7 +45,7 @@ def test_explanations(explained):
     assert row["summary"] == (
         "Failure risk is HIGH (probability: 85.0%).\n\n"
         "Failure risk increased due to:\n"
-        "  1. Temperature increased failure risk (value: 91.254 (exceeding safe maximum of 80.0))\n"
+        "  1. Temperature increased failure risk (value: 91.25 (exceeding safe maximum of 80.0))\n"
         "\nFailure risk decreased due to:\n"
         "  1. Pressure from 1 time step(s) ago decreased failure risk (value: 1.90)\n"
     )
