@@ -78,3 +78,29 @@ def test_odd_and_empty_tables(spark, sf_dir, given):
     got = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()
     # One of the repeated rows stays; short and blank texts and the one of symbols go.
     assert sorted(r.doc_id or 0 for r in got) == ([] if given == [] else [0, 1, 5, 6])
+
+
+@pytest.mark.parametrize("step", ["quality", "near_duplicates", "decontamination"])
+def test_other_splits_in_a_later_scan_reject_the_same_rows(spark, sf_dir, tmp_path, monkeypatch, step):
+    stage = dict(corpus_pipeline.STAGES)[step]
+    spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(6, "doc_id").write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    want = rows(stage(spark, docs, sf_dir))
+    without = corpus_pipeline._without
+
+    def later(numbered, rejected):
+        """The verdicts are written before the other scan is planned."""
+        found, _ = corpus_pipeline.stored(rejected, "found")
+        spark.conf.set("spark.sql.files.openCostInBytes", "64m")
+        return without(numbered, found)
+
+    monkeypatch.setattr(corpus_pipeline, "_without", later)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        got = rows(stage(spark, docs, sf_dir))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert 0 < len(got) < docs.count()
+    assert got == want
