@@ -108,7 +108,8 @@ class WordBpe:
     def __init__(self, definition: dict):
         self.end, self.ids, self.added = definition["end"], definition["vocab"], definition["added"]
         self.ranks = {m: i for i, m in enumerate(definition["merges"])}
-        self.names = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.added.items()}
+        names = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.added.items()}
+        self.names = [names.get(i) for i in range(max(names, default=-1) + 1)]
         self.cut = split_added(list(self.added))
         self.shown = dict(enumerate(byte_symbols()))
         self.pieces = piece_finder(definition["patterns"])
@@ -136,33 +137,33 @@ class WordBpe:
                 costs[i - 1] = rank((word[begins[i - 1] : a], word[a:b]), NEVER)
         return [word[a:b] for a, b in zip(begins, begins[1:])]
 
-    def _word(self, piece: str) -> tuple[bytes, str]:
-        """Ids of a word as little-endian unsigned 32-bit integers, and its decoded form.
+    def _word(self, piece: str) -> bytes:
+        """Ids of a word as little-endian unsigned 32-bit integers.
 
         A symbol the vocabulary lacks is left out, as where no unknown token is defined.
         """
-        known = [p for p in self.parts(piece) if p in self.ids]
-        return b"".join(self.ids[p].to_bytes(4, "little") for p in known), " ".join(known)
+        return b"".join(self.ids[p].to_bytes(4, "little") for p in self.parts(piece) if p in self.ids)
 
     def normal(self, text: str) -> str:
         # Character by character: a sigma at the end of a word is no special case.
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
     def encode(self, text: str) -> tuple[bytes, str]:
-        """(ids as bytes, decoded text) of a whole text."""
+        """(ids as bytes, text decoded from them) of a whole text."""
         if len(self.words) > REMEMBERED:
             self.words.clear()
-        found: list[tuple[bytes, str]] = []
+        found: list[bytes] = []
         for i, segment in enumerate(self.cut(text)):
             if i % 2:
-                found.append((self.added[segment].to_bytes(4, "little"), segment))
+                found.append(self.added[segment].to_bytes(4, "little"))
             else:
                 found += map(self.words.__getitem__, self.pieces(self.normal(segment)))
-        return b"".join([ids for ids, _ in found]), " ".join([shown for _, shown in found if shown])
+        ids = b"".join(found)
+        return ids, self.decode(ids)
 
     def decode(self, ids: bytes) -> str:
         """Names of the ids joined by one space, which is what a file without a decoder asks for."""
-        return " ".join(self.names[i] for i in np.frombuffer(ids, dtype="<u4").tolist())
+        return " ".join(map(self.names.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
 def encoded(docs: DataFrame, definition: dict, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), digest: bool = True) -> DataFrame:

@@ -51,6 +51,21 @@ def test_encoding_and_decoding_match_the_library(texts):
         assert shown == bpe.decode(ids) == tokenizer.decode(want, skip_special_tokens=False)
 
 
+def test_decoded_text_shows_a_fault_in_the_ids(spark, monkeypatch):
+    definition = wordpieces.definition_of(public_tokenizers.path("word_bpe_49k.json"))
+    word = wordpieces.WordBpe._word
+
+    def faulty(self, piece):
+        made = word(self, piece)
+        wrong = self.ids["a</w>"].to_bytes(4, "little")
+        return (wrong, *made[1:]) if isinstance(made, tuple) else wrong
+
+    monkeypatch.setattr(wordpieces.WordBpe, "_word", faulty)
+    assert wordpieces.WordBpe(definition).encode("hello <|endoftext|>")[1] == "a</w> <|endoftext|>"
+    docs = spark.createDataFrame([(1, "hello world")], "doc_id long, text string")
+    assert wordpieces.encoded(docs, definition, digest=False).first().decoded == "a</w> a</w>"
+
+
 def test_odd_documents(spark):
     counted = merging.token_counts(odd_documents(spark), merging.definition_of(public_tokenizers.path("byte_bpe_50k.json"))).collect()
     tokenizer = library("byte_bpe_50k.json")
