@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gearwatch.llm import (
+    cells,
     contamination,
     merging,
+    merkle,
     outliers,
     perspectives,
     repeats,
+    retrieval,
     sharding,
     simhash,
     toxicity,
@@ -87,6 +90,24 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", F.col("ids").alias("ids_sha256"), F.col("decoded").alias("decoded_sha256"))
 
 
+def op11_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = cells.clusters(_table(spark, sf_dir, "embeddings"))
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    return found.withColumn("centroid_sha256", digest).drop("centroid")
+
+
+def op12_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retrieval.top_products(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle.manifest(_table(spark, sf_dir, "documents"), extra={"changed": merkle.tampered_leaf()})
+    proof = F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256")
+    folded = merkle.fold(F.col("path"), F.coalesce("changed", "leaf")).alias("folded_root")
+    out = found.select("doc_id", "leaf", "subroot", "root", proof, folded)
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_simhash": op2_simhash,
@@ -98,9 +119,15 @@ QUERIES: dict[str, Query] = {
     "op8_perspectives": op8_perspectives,
     "op9_decontamination": op9_decontamination,
     "op10_bpe": op10_bpe,
+    "op11_cells": op11_cells,
+    "op12_top_products": op12_top_products,
+    "op13_merkle": op13_merkle,
 }
 ORACLES: dict[str, str] = {
     "op3_outliers": outliers.SQL,
     "op8_perspectives": perspectives.SQL,
     "op9_decontamination": contamination.SQL,
+    "op11_cells": cells.SQL,
+    "op12_top_products": retrieval.SQL,
+    "op13_merkle": merkle.SQL,
 }
