@@ -6,10 +6,11 @@ All stages but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gearwatch.llm import contamination, outliers, repeats, similar, wordpieces
+from gearwatch.llm import contamination, outliers, repeats, simhash, wordpieces
 from gearwatch.llm.common import stored
 from gearwatch.llm.queries import vocabulary
 
@@ -17,13 +18,20 @@ ROW = "_row_of_stage"
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """Rows with a number of their own, written once: numbers made by two scans need not agree."""
-    out, _ = stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
-    return out
+    """Rows with the place they are read from, file and row in it, which every scan finds the same.
+
+    A table that is not read from files is written first.
+    """
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    try:
+        return docs.select("*", place.alias(ROW))
+    except AnalysisException:
+        written, _ = stored(docs, "documents")
+        return written.select("*", place.alias(ROW))
 
 
 def _without(numbered: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Rows of a numbered table without the rejected ones, whose numbers are written first so that their size is known."""
+    """Rows of a numbered table without the rejected ones, whose places are written first so that their size is known."""
     out, _ = stored(rejected.select(ROW), "rejected")
     return numbered.join(out, ROW, "left_anti").drop(ROW)
 
@@ -38,13 +46,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id.
 
-    Near duplicates have at least 0.8 of their five-word shingles in common, or are linked by
-    such pairs. Of several rows with the smallest id, or of rows without any, the first stays.
+    Near duplicates have fingerprints of three-word shingles that differ in three bits at most, or
+    are linked by such pairs. Of several rows with the smallest id, or of rows without any, the
+    first stays.
     """
     numbered = _numbered(docs)
-    found, _ = stored(similar.similar_groups(numbered, ROW, keep=("doc_id",)), "groups")
-    first = found.groupBy("group").agg(F.min_by(ROW, F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)), ROW)).alias("_first"))
-    return _without(numbered, found.join(first, "group").where(F.col(ROW) != F.col("_first")))
+    found = simhash.near_duplicates(numbered, keep=(ROW,))
+    group = F.coalesce(F.concat(F.lit("c"), F.col("component_id").cast("string")), F.concat(F.lit("f"), F.col("fingerprint").cast("string")))
+    found, _ = stored(found.select("doc_id", ROW, group.alias("_group")), "groups")
+    first = found.groupBy("_group").agg(F.min_by(ROW, F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)), ROW)).alias("_first"))
+    return _without(numbered, found.join(first, "_group").where(F.col(ROW) != F.col("_first")))
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
