@@ -11,6 +11,7 @@ from gearwatch.functions.columns import named
 from gearwatch.operators.schema import range_checked_columns, sensor_columns
 from gearwatch.operators.timeline import US, Timeline, before_current, up_to_current
 from gearwatch.options import LogOptions
+from gearwatch.session import written
 
 METHODS = ("time", "linear", "forward")
 
@@ -142,7 +143,7 @@ def _carry_readings(df: DataFrame, t: Timeline, chosen: list[str], method: str)
         return F.when(s.isNotNull(), F.struct((s["at"] + F.col("_offset")).alias("at"), s["x"].alias("x")))
 
     # One step for the offsets, one for the readings, both on the per-segment table.
-    per_segment = t.per_segment(df, summary).withColumn("_offset", offset)
+    per_segment = written(t.per_segment(df, summary), "segments").withColumn("_offset", offset)
     passed = [F.col("_offset")]
     for i in range(n):
         passed.append(F.last(shifted(f"_l{i}"), True).over(before_current(t.earlier())).alias(f"_cp{i}"))

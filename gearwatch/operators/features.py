@@ -1,36 +1,43 @@
 """Time-series features: lags, rolling windows, exponential averages, the pipeline.
 
 All features look back only. Every operator takes an optional ``Timeline``; pass
-one measured timeline through a chain so the log is measured once. ``source`` is the
-log a chain began with: tables that segments or panes pass on are made from it, so an
-operator late in a chain does not run the earlier ones a second time.
+one measured timeline through a chain so the log is measured once. Lags, averages and
+the label are steps of one run: where machines are cut, one state per segment holds what
+all of them hand on.
 """
 
 from __future__ import annotations
 
 import math
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from gearwatch.functions import moments as M
 from gearwatch.functions.columns import instant, named
 from gearwatch.operators.schema import sensor_columns
-from gearwatch.operators.target import create_target
+from gearwatch.operators.target import normalise_failure, target_step
 from gearwatch.operators.timeline import (
     HOT_LIMIT,
     KEY,
     NO_MACHINE,
+    ROW,
     TIE_SLOTS,
+    Step,
     Timeline,
     before_current,
     up_to_current,
 )
 from gearwatch.options import LogOptions
+from gearwatch.session import written
 
-# Weights below this share of an average are dropped; far under double precision.
-NEGLIGIBLE = 1e-18
+# exp(-VANISHED) times the largest double is zero in doubles, so a reading that decayed further
+# than this adds nothing to an average, however large it is.
+VANISHED = 1500.0
+# Decay inside one block of a scaled sum; scales run from exp(-RANGE / 2) to exp(RANGE / 2).
+RANGE = 600.0
+# Factors of decay that one block length may serve.
+SHARED = 8
 
 
 def create_lag_features(
@@ -38,43 +45,41 @@ def create_lag_features(
     options: LogOptions,
     sensors: list[str] | None = None,
     timeline: Timeline | None = None,
-    source: DataFrame | None = None,
 ) -> DataFrame:
     """``{sensor}_lag_{k}``: the reading k rows earlier on the same machine."""
     chosen = sensor_columns(df, options) if sensors is None else sensors
     t = timeline or Timeline.measure(df, options)
-    columns = df.columns
+    return t.run(df, [lag_step(options, chosen, t)], [*map(named, df.columns)])
+
+
+def lag_step(options: LogOptions, chosen: list[str], t: Timeline) -> Step:
     w = t.forward()
-    pairs = [(c, k, f"{c}_lag_{k}") for c in chosen for k in options.lags]
-    lags = [F.lag(named(c), k).over(w).alias(name) for c, k, name in pairs]
+    pairs = [(i, c, k, f"{c}_lag_{k}") for i, c in enumerate(chosen) for k in options.lags]
+    lags = [F.lag(named(c), k).over(w).alias(f"_lag{i}_{k}") for i, c, k, _ in pairs]
     if not t.split:
-        return t.attach(df).select(*map(named, columns), *lags)
+        return Step(lambda rows: rows.select("*", *lags), [F.col(f"_lag{i}_{k}").alias(name) for i, _, k, name in pairs])
 
     # Segments hand on their last rows, newest first.
-    depth = max(options.lags)
+    depth = max(options.lags, default=1)
 
     def row(back: int) -> Column:
         return F.struct(
             *[(F.lag(named(c), back).over(w) if back else named(c)).alias(f"x{i}") for i, c in enumerate(chosen)]
         )
 
-    def inside_segments(d: DataFrame) -> DataFrame:
-        tail = F.array(*[row(back) for back in range(depth)]).alias("_tail")
-        return t.attach(d).select("*", F.row_number().over(w).alias("_rn"), tail, *lags)
-
-    tail = F.max_by(F.slice("_tail", F.lit(1), F.least(F.col("_rn"), F.lit(depth))), F.col("_rn"))
-    tails = F.collect_list("_tail").over(before_current(t.earlier(), depth))
-    df = t.carry(
-        inside_segments(df).drop("_tail"),
-        [tail.alias("_tail")],
-        [F.flatten(F.reverse(tails)).alias("_before")],
-        inside_segments(df if source is None else source),
-    )
-    position = {c: i for i, c in enumerate(chosen)}
-    inside = lambda c, k, name: F.when(F.col("_rn") > k, named(name)).otherwise(
-        F.get(F.col("_before"), F.lit(k) - F.col("_rn"))[f"x{position[c]}"]
-    )
-    return df.select(*map(named, columns), *[inside(c, k, name).alias(name) for c, k, name in pairs])
+    def chain(states: DataFrame) -> DataFrame:
+        tails = F.collect_list("_tail").over(before_current(t.earlier(), depth))
+        return states.withColumn("_before", F.flatten(F.reverse(tails)))
+
+    tail = F.max_by(F.slice("_tail", F.lit(1), F.least(F.col(ROW), F.lit(depth)).cast("int")), F.col(ROW)).alias("_tail")
+    out = [
+        F.when(F.col(ROW) > k, F.col(f"_lag{i}_{k}"))
+        .otherwise(F.get(F.col("_before"), (F.lit(k) - F.col(ROW)).cast("int"))[f"x{i}"])
+        .alias(name)
+        for i, _, k, name in pairs
+    ]
+    rows = F.array(*[row(back) for back in range(depth)]).alias("_tail")
+    return Step(lambda d: d.select("*", rows, *lags), out, [tail], chain, ["_before"])
 
 
 def create_rolling_features(
@@ -120,66 +125,67 @@ def _rolling_by_frames(df: DataFrame, options: LogOptions, chosen: list[str], t:
     return df.select(*map(named, columns), *out)
 
 
-def pane_widths(df: DataFrame, options: LogOptions) -> tuple[int, list[tuple]]:
-    """Pane width that divides all windows, and narrower ones for crowded machines."""
-    pane = reduce(math.gcd, [w for _, w in options.windows_us])
-    rows = df.select(named(options.machine).alias("m"), instant(df, options.time).alias("us"))
-    counted = rows.groupBy("m", F.floor(F.col("us") / F.lit(pane)).alias("p")).count()
+def pane_shifts(df: DataFrame, options: LogOptions) -> tuple[int, list[tuple]]:
+    """Panes are 2 ** shift microseconds: the shift for all machines, and smaller ones for crowded machines.
+
+    A machine's panes are halved until none holds more rows than a window group may, or until
+    panes are single microseconds, whose rows cannot be told apart in time.
+    """
+    shift = min(w for _, w in options.windows_us).bit_length() - 1
+    rows = df.select(named(options.machine).alias("m"), instant(df, options.time).alias("us")).filter("us IS NOT NULL")
+    counted = rows.groupBy("m", F.shiftright("us", shift).alias("p")).count()
     limit = max(options.group_rows, rows.count() // HOT_LIMIT)
     crowded = (
         counted.filter(F.col("count") > limit).groupBy("m").agg(F.max("count").alias("n")).collect()
     )  # at most HOT_LIMIT rows
-    # Halved until the fullest pane fits or the common divisor of the windows is odd.
-    halvings = (pane & -pane).bit_length() - 1
     kind = df.schema[options.machine].dataType.simpleString()
-    steps: dict = {}
+    halved: dict = {}
     while crowded:
-        grown = {r["m"]: min(halvings, steps.get(r["m"], 0) + math.ceil(math.log2(r["n"] / limit))) for r in crowded}
-        grown = {m: h for m, h in grown.items() if h > steps.get(m, 0)}
-        steps |= grown
-        if not grown:
-            break
-        listed = df.sparkSession.createDataFrame([(m, pane >> h) for m, h in grown.items()], f"_m {kind}, _w long")
+        narrower = {r["m"]: min(shift, halved.get(r["m"], 0) + math.ceil(math.log2(r["n"] / limit))) for r in crowded}
+        narrower = {m: h for m, h in narrower.items() if h > halved.get(m, 0)}
+        if not narrower:
+            break  # single microseconds
+        halved |= narrower
+        listed = df.sparkSession.createDataFrame([(m, shift - h) for m, h in narrower.items()], f"_m {kind}, _shift int")
         again = rows.join(F.broadcast(listed), rows["m"].eqNullSafe(listed["_m"]))  # at most HOT_LIMIT rows
-        again = again.groupBy("m", F.call_function("div", F.col("us"), F.col("_w")).alias("p")).count()
+        again = again.groupBy("m", F.call_function("shiftright", "us", "_shift").alias("p")).count()
         crowded = again.filter(F.col("count") > limit).groupBy("m").agg(F.max("count").alias("n")).collect()
-    return pane, [(m, pane >> h) for m, h in steps.items()]
+    return shift, [(m, shift - h) for m, h in halved.items()]
 
 
 def _rolling_by_panes(df: DataFrame, options: LogOptions, chosen: list[str]) -> DataFrame:
-    """Window = tail of the pane it starts in + whole panes + head of its own pane.
+    """Window = end of the pane it starts in + whole panes + head of its own pane.
 
-    Panes are time cells whose width divides every window, so readings moved forward
-    by a window land in exactly one later pane. There the tails are running sums from
-    the end and the heads running sums from the start; whole panes come from a small
-    pane table. Parts are merged as (n, mean, m2), so nothing is ever subtracted. The
+    Readings moved forward by a window land in one later pane, where running sums from the end
+    give what is still in the window. A window that is no multiple of the pane starts its whole
+    panes with the rest of one, cut at the same place in all panes. Whole panes come from sums at
+    all powers of two. Parts are merged as (n, mean, m2), so nothing is ever subtracted. The
     window group is (machine, pane), whatever a machine holds in total.
     """
     m = named(options.machine)
     columns = df.columns
-    pane, narrow = pane_widths(df, options)
-    us = F.col("_at")
+    shift, narrow = pane_shifts(df, options)
 
     key = F.coalesce(m.cast("string"), F.lit(NO_MACHINE))
     df = df.withColumns({"_at": instant(df, options.time), "_pm": key})
     if narrow:
         kind = df.schema[options.machine].dataType.simpleString()
-        table = F.broadcast(df.sparkSession.createDataFrame(narrow, f"_hot {kind}, _w long"))
+        table = F.broadcast(df.sparkSession.createDataFrame(narrow, f"_hot {kind}, _shift int"))
         df = df.join(table, m.eqNullSafe(table["_hot"]), "left").drop("_hot")
-        df = df.withColumn("_w", F.coalesce(F.col("_w"), F.lit(pane).cast("long")))
+        df = df.withColumn("_shift", F.coalesce(F.col("_shift"), F.lit(shift)))
     else:
-        df = df.withColumn("_w", F.lit(pane).cast("long"))
-    starts = lambda at: F.floor(at / F.col("_w")) * F.col("_w")
+        df = df.withColumn("_shift", F.lit(shift))
+    pane_of = lambda at: F.call_function("shiftright", at, F.col("_shift"))
 
     copies = F.array(
-        F.struct(F.lit(0).alias("kind"), us.alias("at")),
+        F.struct(F.lit(0).alias("kind"), F.col("_at").alias("at")),
         *[
-            F.struct(F.lit(i + 1).alias("kind"), (us + F.lit(w)).alias("at"))
+            F.struct(F.lit(i + 1).alias("kind"), (F.col("_at") + F.lit(w)).alias("at"))
             for i, (_, w) in enumerate(options.windows_us)
         ],
     )
     carried = set(chosen)
-    events = df.select(*map(named, columns), "_pm", "_w", F.explode(copies).alias("_c")).select(
+    events = df.select(*map(named, columns), "_pm", "_shift", F.explode(copies).alias("_c")).select(
         "_pm",
         *[
             named(c) if c in carried else F.when(F.col("_c.kind") == 0, named(c)).alias(c)
@@ -187,7 +193,7 @@ def _rolling_by_panes(df: DataFrame, options: LogOptions, chosen: list[str]) ->
         ],
         F.col("_c.kind").alias("_kind"),
         F.col("_c.at").alias("_at"),
-        starts(F.col("_c.at")).alias("_pane"),
+        pane_of(F.col("_c.at")).alias("_pane"),
     )
     # Readings still inside the window: they leave it after this row.
     leaving = up_to_current(
@@ -203,50 +209,88 @@ def _rolling_by_panes(df: DataFrame, options: LogOptions, chosen: list[str]) ->
         Window.partitionBy("_pm", "_pane").orderBy("_at", *[named(c) for c in options.order])
     )
     own = own.select("*", *[M.moments(named(c), heads_over).alias(f"_h{j}") for j, c in enumerate(chosen)])
+    between = _between_panes(df.withColumn("_pane", pane_of(F.col("_at"))), options, chosen)
+    joined = own.join(between, (F.col("_pm") == F.col("_m")) & (F.col("_pane") == F.col("_p")), "left")
 
-    panes = df.groupBy(F.col("_pm").alias("_m"), starts(us).alias("_p")).agg(
-        *[M.moments(named(c)).alias(f"_x{j}") for j, c in enumerate(chosen)]
-    )
-    between = []
-    for i, (_, w) in enumerate(options.windows_us):
-        frame = Window.partitionBy("_m").orderBy("_p").rangeBetween(-(w - 1), -1)
-        for j in range(len(chosen)):
-            between.append(M.merge_all(F.collect_list(F.col(f"_x{j}")).over(frame)).alias(f"_b{i}_{j}"))
-    panes = panes.select("_m", "_p", *between)
-    joined = own.join(panes, (F.col("_pm") == F.col("_m")) & (F.col("_pane") == F.col("_p")), "left")
+    def whole(i: int, j: int) -> Column:
+        inner = F.coalesce(F.col(f"_b{i}_{j}"), M.no_moments())
+        return M.merge(M.merge(F.col(f"_t{i}_{j}"), inner), F.col(f"_h{j}"))
 
     wholes = joined.select(
         *map(named, columns),
-        *[
-            M.merge(M.merge(F.col(f"_t{i}_{j}"), F.col(f"_b{i}_{j}")), F.col(f"_h{j}")).alias(f"_r{i}_{j}")
-            for i in range(len(options.windows))
-            for j in range(len(chosen))
-        ],
+        *[whole(i, j).alias(f"_r{i}_{j}") for i in range(len(options.windows)) for j in range(len(chosen))],
     )
     out = []
     for j, c in enumerate(chosen):
         for i, (name, _) in enumerate(options.windows):
             mean, std = _rolling_names(c, name)
-            whole = F.col(f"_r{i}_{j}")
-            out += [M.mean_of(whole).alias(mean), M.sample_std_of(whole).alias(std)]
+            both = F.col(f"_r{i}_{j}")
+            out += [M.mean_of(both).alias(mean), M.sample_std_of(both).alias(std)]
     return wholes.select(*map(named, columns), *out)
 
 
-def _lookback(alpha: float) -> int:
-    """Rows after which a reading weighs less than NEGLIGIBLE."""
-    return max(1, math.ceil(math.log(NEGLIGIBLE) / math.log(1.0 - alpha)))
+def _between_panes(df: DataFrame, options: LogOptions, chosen: list[str]) -> DataFrame:
+    """(_m, _p, _b{window}_{sensor}): readings of a window before pane _p and after the pane it starts in.
 
+    Sums of 2 ** level panes side by side exist once per level; the panes of a window are at most
+    two sums per level. All groups are (machine, level, place), none is as long as a machine.
+    """
+    widths = [w for _, w in options.windows_us]
+    width = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_shift"))
+    # Where in a pane the whole panes of a window start, 0 where they start with one.
+    cut = lambda w: F.pmod(F.lit(-w), width)
+    place = F.pmod(F.col("_at"), width)
+    sums = df.filter(F.col("_at").isNotNull()).groupBy(F.col("_pm").alias("_m"), "_shift", F.col("_pane").alias("_p")).agg(
+        F.struct(*[M.moments(named(c)).alias(f"x{j}") for j, c in enumerate(chosen)]).alias("_x"),
+        *[
+            F.struct(
+                *[M.moments(F.when((cut(w) > 0) & (place >= cut(w)), named(c))).alias(f"x{j}") for j, c in enumerate(chosen)]
+            ).alias(f"_x{i}")
+            for i, w in enumerate(widths)
+        ],
+    )
+    sums = written(sums, "panes")
+    shifted = lambda x, k: F.call_function("shiftright", x, k)
+    most = F.call_function("shiftright", F.lit(max(widths)), F.col("_shift"))
+    levels = F.sequence(F.lit(0), F.length(F.bin(most.cast("long"))) - 1)
+    # Rests of panes are kept at levels below 0, one per window.
+    nodes = F.concat(
+        F.transform(levels, lambda k: F.struct(k.alias("level"), shifted(F.col("_p"), k).alias("place"), F.col("_x").alias("x"))),
+        F.array(*[F.struct(F.lit(-1 - i).alias("level"), F.col("_p").alias("place"), F.col(f"_x{i}").alias("x")) for i in range(len(widths))]),
+    )
+    sensors = range(len(chosen))
+    kept = sums.select("_m", F.explode(nodes).alias("_n")).groupBy("_m", F.col("_n.level").alias("level"), F.col("_n.place").alias("place")).agg(
+        *[M.merge_all(F.collect_list(F.col(f"_n.x.x{j}"))).alias(f"_x{j}") for j in sensors]
+    )
 
-def _alpha_groups(alphas: list[float]) -> list[list[float]]:
-    """Alphas that can share one block length without overflow of (1-a)^-block."""
-    groups: list[list[float]] = []
-    for a in sorted(alphas):
-        block = _lookback(groups[-1][0]) if groups else 0
-        if groups and -block * math.log(1.0 - a) < 600:
-            groups[-1].append(a)
-        else:
-            groups.append([a])
-    return groups
+    def asked(i: int, w: int) -> Column:
+        panes = shifted(F.lit(w), F.col("_shift"))
+        first, last = F.col("_p") - panes + 1, F.col("_p") - 1
+
+        def at(k: Column) -> Column:
+            low, high = -shifted(-first, k), shifted(last + 1, k) - 1
+            one = lambda p: F.struct(F.lit(i).alias("window"), k.alias("level"), p.alias("place"))
+            left = F.when((low <= high) & (F.pmod(low, F.lit(2)) == 1), F.array(one(low)))
+            right = F.when((low <= high) & (F.pmod(high, F.lit(2)) == 0), F.array(one(high)))
+            nothing = F.filter(F.array(one(low)), lambda x: F.lit(False))
+            return F.concat(F.coalesce(left, nothing), F.coalesce(right, nothing))
+
+        rest = F.struct(F.lit(i).alias("window"), F.lit(-1 - i).alias("level"), (F.col("_p") - panes).alias("place"))
+        return F.concat(F.flatten(F.transform(levels, at)), F.array(rest))
+
+    asks = sums.select("_m", "_p", F.explode(F.concat(*[asked(i, w) for i, w in enumerate(widths)])).alias("_a"))
+    asks = asks.select("_m", "_p", F.col("_a.window").alias("window"), F.col("_a.level").alias("level"), F.col("_a.place").alias("place"))
+    return asks.join(kept, ["_m", "level", "place"]).groupBy("_m", "_p").agg(
+        *[
+            M.merge_all(F.collect_list(F.when(F.col("window") == i, F.col(f"_x{j}")))).alias(f"_b{i}_{j}")
+            for i in range(len(widths))
+            for j in sensors
+        ]
+    )
+
+
+def _ema_name(sensor: str, alpha: float) -> str:
+    return f"{sensor}_ema_{alpha}"
 
 
 def create_ema_features(
@@ -255,7 +299,6 @@ def create_ema_features(
     sensors: list[str] | None = None,
     timeline: Timeline | None = None,
     filled: bool = False,
-    source: DataFrame | None = None,
 ) -> DataFrame:
     """``{sensor}_ema_{a}``: y0 = x0, y = a*x + (1-a)*y_prev, per machine.
 
@@ -265,19 +308,27 @@ def create_ema_features(
     """
     chosen = sensor_columns(df, options) if sensors is None else sensors
     t = timeline or Timeline.measure(df, options)
-    columns = df.columns
-    source = df if source is None else source
-    gappy = [] if filled else _gappy_sensors(source, options, chosen)
-    whole = [c for c in chosen if c not in gappy]
-    if whole:
-        df = _ema_of_whole(df, options, whole, t, source)
-    if gappy:
-        df = _ema_over_gaps(df, options, gappy, t, source)
-    return df.select(*map(named, columns), *[named(_ema_name(c, a)) for c in chosen for a in options.alphas])
+    steps = ema_steps(df, options, chosen, t, filled)
+    made = t.run(df, steps, [*map(named, df.columns)])
+    return made.select(*map(named, df.columns), *[named(_ema_name(c, a)) for c in chosen for a in options.alphas])
 
 
-def _ema_name(sensor: str, alpha: float) -> str:
-    return f"{sensor}_ema_{alpha}"
+def ema_steps(df: DataFrame, options: LogOptions, chosen: list[str], t: Timeline, filled: bool) -> list[Step]:
+    """Averages as maps y -> factor * y + offset, one per reading, which compose.
+
+    In a block of rows the composed map is a scaled running sum. Blocks are so long that a map of
+    a few of them forgets all before it, down to the last bit of a double; so few are composed.
+    Segments hand on their map, and maps of all segments before are composed by doubling.
+    """
+    gappy = [] if filled else _gappy_sensors(df, options, chosen)
+    return [
+        make(options, numbered, t)
+        for make, numbered in (
+            (_whole_step, [(i, c) for i, c in enumerate(chosen) if c not in gappy]),
+            (_gappy_step, [(i, c) for i, c in enumerate(chosen) if c in gappy]),
+        )
+        if numbered
+    ]
 
 
 def _gappy_sensors(df: DataFrame, options: LogOptions, chosen: list[str]) -> list[str]:
@@ -290,196 +341,207 @@ def _gappy_sensors(df: DataFrame, options: LogOptions, chosen: list[str]) -> lis
     return [c for i, c in enumerate(chosen) if found[f"g{i}"]]
 
 
-def _ema_over_gaps(
-    df: DataFrame, options: LogOptions, chosen: list[str], t: Timeline, source: DataFrame
-) -> DataFrame:
-    """Fold over the last readings that still weigh something, found by reading number."""
-    columns = df.columns
-    up_to = up_to_current(t.forward())
-    rn = F.col("_rn")
-    depth = max([_lookback(a) for a in options.alphas if a < 1], default=1)
-    recent = []
-    for i, c in enumerate(chosen):
-        frame = Window.partitionBy(*t.keys).orderBy(f"_j{i}").rangeBetween(-(depth - 1), 0)
-        reading = F.struct(rn.alias("at"), named(c).cast("double").alias("x"))
-        recent.append(F.collect_list(F.when(named(c).isNotNull(), reading)).over(frame).alias(f"_r{i}"))
-
-    def inside(d: DataFrame) -> DataFrame:
-        d = t.attach(d).select(
-            "*",
-            F.row_number().over(t.forward()).cast("long").alias("_rn"),
-            *[F.count(named(c)).over(up_to).alias(f"_j{i}") for i, c in enumerate(chosen)],
-        )
-        return d.select("*", *recent)
-
-    df = inside(df)
-    if t.split:
-        df = _carry_recent(df, t, len(chosen), depth, inside(source))
-    out = []
-    for i, c in enumerate(chosen):
-        seen = F.col(f"_r{i}")
-        start = F.get(seen, F.lit(0))
-        for a in options.alphas:
-            y = F.aggregate(seen, start, _next_reading(a))["x"]
-            out.append(y.alias(_ema_name(c, a)))
-    return df.select(*map(named, columns), *out)
-
+def _decay(alpha: float) -> float:
+    return -math.log(1.0 - alpha)
 
-def _next_reading(alpha: float):
-    def step(y: Column, s: Column) -> Column:
-        old = F.pow(F.lit(1.0 - alpha), s["at"] - y["at"])
-        x = F.when(s["at"] == y["at"], s["x"]).otherwise((old * y["x"] + F.lit(alpha) * s["x"]) / (old + F.lit(alpha)))
-        return F.struct(s["at"].alias("at"), x.alias("x"))
 
-    return step
+def _block_groups(alphas: list[float]) -> list[tuple[int, list[float]]]:
+    """Rows of a block, and the averages it serves."""
+    groups: list[list[float]] = []
+    for a in sorted(alphas, reverse=True):
+        if groups and _decay(groups[-1][0]) <= SHARED * _decay(a):
+            groups[-1].append(a)
+        else:
+            groups.append([a])
+    return [(max(1, int(RANGE / _decay(g[0]))), g) for g in groups]
 
 
-def _carry_recent(df: DataFrame, t: Timeline, sensors: int, depth: int, source: DataFrame) -> DataFrame:
-    """Put the last readings of earlier segments before those of the segment."""
-    places = range(sensors)
-    per_segment = t.per_segment(
-        source,
-        [
-            F.max("_rn").alias("_n"),
-            *[F.max(f"_j{i}").alias(f"_n{i}") for i in places],
-            *[F.max_by(f"_r{i}", "_rn").alias(f"_e{i}") for i in places],
-        ],
-    )
-    offset = F.coalesce(F.sum("_n").over(before_current(t.earlier())), F.lit(0))
-    per_segment = per_segment.withColumn("_offset", offset.cast("long"))
-
-    def moved(readings: str) -> Column:
-        by = F.col("_offset")
-        return F.transform(readings, lambda r: F.struct((r["at"] + by).alias("at"), r["x"].alias("x")))
+def _composed(states: DataFrame, t: Timeline, maps: list[tuple[str, str]]) -> DataFrame:
+    """Map (factor, offset) of each segment replaced by that of it and all segments of its machine before it."""
+    for k in range(max(1, t.segments - 1).bit_length()):
+        states = states.withColumns({f"_b{c}": F.lag(c, 1 << k).over(t.earlier()) for pair in maps for c in pair})
+        both = {}
+        for factor, offset in maps:
+            f, o, seen = F.col(factor), F.col(offset), F.col(f"_b{factor}").isNotNull()
+            both[offset] = F.when(seen & (f != 0), f * F.col(f"_b{offset}") + o).otherwise(o)
+            both[factor] = F.when(seen, f * F.col(f"_b{factor}")).otherwise(f)
+        states = states.withColumns(both)
+    return states.drop(*[f"_b{c}" for pair in maps for c in pair])
 
-    per_segment = per_segment.select(
-        "_m", "_s", "_offset", *[f"_n{i}" for i in places], *[moved(f"_e{i}").alias(f"_e{i}") for i in places]
-    )
-    # Each line takes the end of the line before it, and is placed by the readings up to
-    # there; a range over that place then holds the last readings, however they are spread.
-    placed = per_segment.select(
-        "_m", "_s", "_offset",
-        *[F.lag(f"_e{i}").over(t.earlier()).alias(f"_e{i}") for i in places],
-        *[
-            F.coalesce(F.sum(f"_n{i}").over(before_current(t.earlier())), F.lit(0)).cast("long").alias(f"_k{i}")
-            for i in places
-        ],
-    )
-    table = placed.select(
-        "_m", "_s", "_offset",
-        *[
-            _last_of(
-                F.flatten(F.collect_list(f"_e{i}").over(
-                    Window.partitionBy("_m").orderBy(f"_k{i}").rangeBetween(-(depth - 1), 0)
-                )),
-                depth,
-            ).alias(f"_b{i}")
-            for i in places
-        ],
-    )
-    joined = t.join_segments(df, table)
-    replaced = {f"_r{i}": _last_of(F.concat(F.col(f"_b{i}"), moved(f"_r{i}")), depth) for i in places}
-    return joined.select(*[replaced[c].alias(c) if c in replaced else named(c) for c in df.columns])
 
+def _whole_step(options: LogOptions, numbered: list[tuple[int, str]], t: Timeline) -> Step:
+    """Averages of sensors without gaps (a sensor may be empty for a whole machine).
 
-def _last_of(items: Column, n: int) -> Column:
-    return F.slice(items, F.greatest(F.size(items) - n, F.lit(0)) + 1, n)
+    Blocks have a fixed number of rows. Sums of blocks before are added one, two, four, ...
+    blocks at a time, as far as a reading can still be seen.
+    """
+    smooth = [(k, a) for k, a in enumerate(options.alphas) if a < 1]
+    number = {a: k for k, a in smooth}
+    groups = _block_groups([a for _, a in smooth])
+    rn = F.col(ROW)
+    pow_ = lambda a, n: F.pow(F.lit(1.0 - a), n)
+
+    def inside(df: DataFrame) -> DataFrame:
+        first = [F.first(named(c)).over(up_to_current(t.forward())).cast("double").alias(f"_x{i}") for i, c in numbered]
+        df = df.select("*", *first)
+        for block, alphas in groups:
+            cells = [(i, c, a, f"_l{i}_{number[a]}") for i, c in numbered for a in alphas]
+            df = df.withColumns({"_blk": F.floor((rn - 1) / block), "_j": F.pmod(rn - 1, F.lit(block))})
+            j, middle = F.col("_j"), block // 2
+            rows = up_to_current(Window.partitionBy(*t.keys, F.col("_blk")).orderBy(*t.ascending()))
+            df = df.select(
+                "*",
+                *[
+                    (pow_(a, j - middle) * F.sum(F.lit(a) * pow_(a, middle - j) * named(c)).over(rows)).alias(name)
+                    for i, c, a, name in cells
+                ],
+            )
+            blocks = max(1, math.ceil(t.max_rows / block))
+            enough = math.ceil(VANISHED / (block * _decay(alphas[-1]))) + 1
+            for step in range((min(blocks, enough) - 1).bit_length()):
+                span = 1 << step
+                # Ends of the blocks up to ``span`` before this one; the last is the nearest.
+                ended = Window.partitionBy(*t.keys).orderBy("_blk").rangeBetween(Window.unboundedPreceding, -span)
+                end = lambda name: F.last(F.when(j == block - 1, F.col(name)), ignorenulls=True).over(ended)  # noqa: B023, E731
+                df = df.select("*", *[end(name).alias(f"_end{name}") for *_, name in cells])
+                reach = j + (1 + (span - 1) * block)
+                df = df.withColumns({
+                    name: F.when(F.col(f"_end{name}").isNull(), F.col(name)).otherwise(F.col(name) + pow_(a, reach) * F.col(f"_end{name}"))
+                    for _, _, a, name in cells
+                }).drop(*[f"_end{name}" for *_, name in cells])
+            df = df.drop("_blk", "_j")
+        return df
+
+    cells = [(i, k, a) for i, _ in numbered for k, a in smooth]
+
+    def chain(states: DataFrame) -> DataFrame:
+        before = before_current(t.earlier())
+        later = F.count("*").over(before) > 0
+        maps = {}
+        for i, k, a in cells:
+            whole = pow_(a, F.col("_last"))
+            maps[f"_f{i}_{k}"] = F.when(later, whole).otherwise(F.lit(0.0))
+            maps[f"_z{i}_{k}"] = F.when(later, F.col(f"_z{i}_{k}")).otherwise(F.col(f"_z{i}_{k}") + whole * F.col(f"_q{i}"))
+        states = _composed(states.withColumns(maps), t, [(f"_f{i}_{k}", f"_z{i}_{k}") for i, k, _ in cells])
+        return states.withColumns({f"_c{i}_{k}": F.lag(f"_z{i}_{k}").over(t.earlier()) for i, k, _ in cells})
+
+    summary, passed = [], []
+    if t.split:
+        summary = [F.max(rn).alias("_last")]
+        summary += [F.max_by(F.col(f"_l{i}_{k}"), rn).alias(f"_z{i}_{k}") for i, k, _ in cells]
+        summary += [F.first(f"_x{i}").alias(f"_q{i}") for i, _ in numbered]
+        passed = [f"_c{i}_{k}" for i, k, _ in cells]
+    out = []
+    for i, c in numbered:
+        for k, a in enumerate(options.alphas):
+            start = F.coalesce(F.col(f"_c{i}_{k}"), F.col(f"_x{i}")) if t.split and a < 1 else F.col(f"_x{i}")
+            y = named(c).cast("double") if a >= 1 else F.col(f"_l{i}_{k}") + pow_(a, rn) * start
+            out.append(y.alias(_ema_name(c, a)))
+    return Step(inside, out, summary, chain, passed)
 
 
-def _ema_of_whole(
-    df: DataFrame, options: LogOptions, chosen: list[str], t: Timeline, source: DataFrame
-) -> DataFrame:
-    """Averages of sensors without gaps (a sensor may be empty for a whole machine).
+def _gappy_step(options: LogOptions, numbered: list[tuple[int, str]], t: Timeline) -> Step:
+    """Averages over gaps: blocks are cut by decay instead of by rows.
 
-    The recurrence is unrolled into scaled running sums inside row blocks; a block
-    needs only the end of the block before it, since older readings weigh nothing.
-    Linear in the rows and all in SQL expressions.
+    ``_y``: average from the readings of the segment but the first, which is a start like the
+    average handed on; ``_d``: decay of that start.
     """
-    columns = df.columns
-    smooth = [a for a in options.alphas if a < 1]
-    inside = _ema_inside(df, chosen, smooth, t)
-    handing_on = _ema_inside(source, chosen, smooth, t) if t.split else inside
-    df = _ema_start(inside, t, chosen, smooth, handing_on)
+    smooth = [(k, a) for k, a in enumerate(options.alphas) if a < 1]
+    rn = F.col(ROW)
+    up_to, before = up_to_current(t.forward()), before_current(t.forward())
+    seen = lambda i: F.col(f"_at{i}")
+    all_cells = [(i, c, k, a) for i, c in numbered for k, a in smooth]
+
+    def inside(df: DataFrame) -> DataFrame:
+        df = df.select(
+            "*",
+            *[F.last(F.when(named(c).isNotNull(), rn), True).over(before).alias(f"_was{i}") for i, c in numbered],
+            *[F.last(F.when(named(c).isNotNull(), rn), True).over(up_to).alias(f"_at{i}") for i, c in numbered],
+            *[F.first(F.when(named(c).isNotNull(), rn), True).over(up_to).alias(f"_from{i}") for i, c in numbered],
+            *[F.first(named(c), True).over(up_to).cast("double").alias(f"_x{i}") for i, c in numbered],
+            *[F.last(named(c), True).over(up_to).cast("double").alias(f"_v{i}") for i, c in numbered],
+        )
+        def make(name: str, of) -> None:
+            """One column per average, made of those before; all averages at once keep the plan short."""
+            nonlocal df
+            df = df.withColumns({f"_{name}{i}_{k}": of(i, c, a, lambda other, at=f"{i}_{k}": F.col(f"_{other}{at}")) for i, c, k, a in all_cells})
+
+        def block(col) -> WindowSpec:
+            return up_to_current(Window.partitionBy(*t.keys, col("blk")).orderBy(*t.ascending()))
+
+        def order(col) -> WindowSpec:
+            return Window.partitionBy(*t.keys).orderBy(col("blk"), *t.ascending())
+
+        counts = lambda i, c: named(c).isNotNull() & F.col(f"_was{i}").isNotNull()
+        gap = lambda i, a: (rn - F.col(f"_was{i}")) * F.lit(_decay(a))
+        weight = lambda i, a: F.exp(-gap(i, a)) + F.lit(a)
+        make("step", lambda i, c, a, col: F.when(counts(i, c), gap(i, a) + F.log(weight(i, a))).otherwise(F.lit(0.0)))
+        make("new", lambda i, c, a, col: F.when(counts(i, c), F.lit(a) * named(c) / weight(i, a)).otherwise(F.lit(0.0)))
+        make("d", lambda i, c, a, col: F.sum(col("step")).over(up_to))
+        make("blk", lambda i, c, a, col: F.floor(col("d") / RANGE))
+        # Decay since the block before and since the block's first row; from the latter the scaled sum.
+        make("in", lambda i, c, a, col: F.sum(col("step")).over(block(col)))
+        make("since", lambda i, c, a, col: col("in") - F.first(col("step")).over(block(col)))
+        make("sum", lambda i, c, a, col: F.sum(F.exp(col("since") - RANGE / 2) * col("new")).over(block(col)))
+        make("own", lambda i, c, a, col: F.exp(RANGE / 2 - col("since")) * col("sum"))
+        make("ends", lambda i, c, a, col: F.coalesce(F.lead(col("blk")).over(order(col)) != col("blk"), F.lit(False)))
+        make("y", lambda i, c, a, col: col("own"))
+        for _ in range(math.ceil(VANISHED / RANGE)):
+            make("end", lambda i, c, a, col: F.last(F.when(col("ends"), col("y")), True).over(before_current(order(col))))
+            make("y", lambda i, c, a, col: col("own") + F.exp(-col("in")) * F.coalesce(col("end"), F.lit(0.0)))
+        gone = ("step", "new", "blk", "in", "since", "sum", "own", "ends", "end")
+        return df.drop(*[f"_{name}{i}_{k}" for name in gone for i, _, k, _ in all_cells])
+
+    cells = [(i, k, a) for i, _ in numbered for k, a in smooth]
+
+    def chain(states: DataFrame) -> DataFrame:
+        earlier = before_current(t.earlier())
+        states = states.withColumn("_gone", F.coalesce(F.sum("_rows_held").over(earlier), F.lit(0)))
+        for i, _ in numbered:
+            last = F.last(F.col("_gone") + F.col(f"_at{i}"), True).over(earlier)
+            states = states.withColumns({f"_prev{i}": last, f"_seen{i}": F.last(f"_v{i}", True).over(earlier)})
+        def make(of) -> None:
+            nonlocal states
+            states = states.withColumns({name: column for i, k, a in cells for name, column in of(i, k, a).items()})
+
+        old = lambda i, a: F.exp(-F.lit(_decay(a)) * (F.col("_gone") + F.col(f"_from{i}") - F.col(f"_prev{i}")))
+        alone = lambda i: F.col(f"_prev{i}").isNull()
+        none = lambda i: F.col(f"_at{i}").isNull()
+        make(lambda i, k, a: {
+            f"_first{i}_{k}": F.when(alone(i), F.col(f"_x{i}")).otherwise(F.lit(a) * F.col(f"_x{i}") / (old(i, a) + a)),
+            f"_keep{i}_{k}": F.when(alone(i), F.lit(0.0)).otherwise(old(i, a) / (old(i, a) + a)),
+            f"_ends{i}_{k}": F.exp(-F.col(f"_d{i}_{k}")),
+        })
+        make(lambda i, k, a: {
+            f"_g{i}_{k}": F.when(none(i), F.lit(1.0)).otherwise(F.col(f"_ends{i}_{k}") * F.col(f"_keep{i}_{k}")),
+            f"_o{i}_{k}": F.when(none(i), F.lit(0.0)).otherwise(F.col(f"_ends{i}_{k}") * F.col(f"_first{i}_{k}") + F.col(f"_y{i}_{k}")),
+        })
+        states = _composed(states, t, [(f"_g{i}_{k}", f"_o{i}_{k}") for i, k, _ in cells])
+        make(lambda i, k, a: {f"_p{i}_{k}": F.when(~alone(i), F.lag(f"_o{i}_{k}").over(t.earlier()))})
+        make(lambda i, k, a: {f"_s{i}_{k}": F.col(f"_keep{i}_{k}") * F.coalesce(f"_p{i}_{k}", F.lit(0.0)) + F.col(f"_first{i}_{k}")})
+        return states.withColumnsRenamed({f"_seen{i}": f"_w{i}" for i, _ in numbered})
+
+    summary, passed = [], []
+    if t.split:
+        summary = [F.max(rn).alias("_rows_held")]
+        for i, _ in numbered:
+            summary += [F.max(seen(i)).alias(f"_at{i}"), F.min(f"_from{i}").alias(f"_from{i}")]
+            summary += [F.max_by(f"_{n}{i}", rn).alias(f"_{n}{i}") for n in "xv"]
+            passed.append(f"_w{i}")
+        for i, k, _ in cells:
+            summary += [F.max_by(f"_{n}{i}_{k}", rn).alias(f"_{n}{i}_{k}") for n in "dy"]
+            passed += [f"_p{i}_{k}", f"_s{i}_{k}"]
     out = []
-    for i, c in enumerate(chosen):
-        for a in options.alphas:
+    for i, c in numbered:
+        for k, a in enumerate(options.alphas):
             if a >= 1:
-                y = named(c).cast("double")
+                y = F.coalesce(F.col(f"_v{i}"), F.col(f"_w{i}")) if t.split else F.col(f"_v{i}")
             else:
-                y = named(f"_l{i}_{a}") + F.pow(F.lit(1.0 - a), F.col("_rn") + 1) * named(f"_y{i}_{a}")
+                start = F.col(f"_s{i}_{k}") if t.split else F.col(f"_x{i}")
+                y = F.when(seen(i).isNotNull(), F.col(f"_y{i}_{k}") + F.exp(-F.col(f"_d{i}_{k}")) * start)
+                y = F.coalesce(y, F.col(f"_p{i}_{k}")) if t.split else y
             out.append(y.alias(_ema_name(c, a)))
-    return df.select(*map(named, columns), *out)
-
-
-def _ema_inside(df: DataFrame, chosen: list[str], smooth: list[float], t: Timeline) -> DataFrame:
-    """Averages inside the window group as if nothing came before, first reading, row number."""
-    df = t.attach(df)
-    first = [
-        F.first(named(c)).over(up_to_current(t.forward())).cast("double").alias(f"_x{i}")
-        for i, c in enumerate(chosen)
-    ]
-    df = df.select("*", (F.row_number().over(t.forward()) - 1).alias("_rn"), *first)
-    for group in _alpha_groups(smooth):
-        block = _lookback(group[0])
-        blk, j = F.col("_blk"), F.col("_j")
-        df = df.withColumn("_blk", F.floor(F.col("_rn") / block)).withColumn("_j", F.col("_rn") % block)
-        inside = up_to_current(
-            Window.partitionBy(*t.keys, blk).orderBy(*t.ascending())
-        )
-        local = []
-        for i, c in enumerate(chosen):
-            for a in group:
-                b = F.lit(1.0 - a)
-                total = F.sum(F.lit(a) * F.pow(b, -j) * named(c)).over(inside)
-                local.append((F.pow(b, j) * total).alias(f"_e{i}_{a}"))
-        df = df.select("*", *local)
-        # The end of the latest full block before this row.
-        earlier = before_current(Window.partitionBy(*t.keys).orderBy(blk, *t.ascending()))
-        ends = []
-        for i, _ in enumerate(chosen):
-            for a in group:
-                end = F.last(F.when(j == block - 1, named(f"_e{i}_{a}")), ignorenulls=True).over(earlier)
-                ends.append(
-                    (named(f"_e{i}_{a}") + F.pow(F.lit(1.0 - a), j + 1) * F.coalesce(end, F.lit(0.0))).alias(
-                        f"_l{i}_{a}"
-                    )
-                )
-        df = df.select("*", *ends)
-        gone = {"_blk", "_j", *[f"_e{i}_{a}" for i in range(len(chosen)) for a in group]}
-        df = df.select(*[named(c) for c in df.columns if c not in gone])
-    return df
-
-
-def _ema_start(
-    df: DataFrame, t: Timeline, chosen: list[str], smooth: list[float], source: DataFrame
-) -> DataFrame:
-    """Average before the first row of the group: the first reading, or the handed-on average."""
-    if not t.split:
-        return df.select(
-            "*", *[F.col(f"_x{i}").alias(f"_y{i}_{a}") for i in range(len(chosen)) for a in smooth]
-        )
-    cells = [(i, a) for i in range(len(chosen)) for a in smooth]
-    summary = [F.max("_rn").alias("_last")]
-    summary += [F.max_by(named(f"_l{i}_{a}"), F.col("_rn")).alias(f"_z{i}_{a}") for i, a in cells]
-    summary += [F.first(f"_x{i}").alias(f"_x{i}") for i in range(len(chosen))]
-    passed = []
-    for i, a in cells:
-        # Every earlier segment has at least one row, so a look-back in segments suffices.
-        seen = F.collect_list(
-            F.struct((F.col("_last") + 1).alias("n"), named(f"_z{i}_{a}").alias("z"), F.col(f"_x{i}").alias("x"))
-        ).over(before_current(t.earlier(), _lookback(a)))
-        start = F.get(seen, F.lit(0))["x"]
-        passed.append(F.aggregate(seen, start, _over_segment(a)).alias(f"_c{i}_{a}"))
-    # The summary brings its own first readings; the rows keep theirs.
-    df = t.carry(df, summary, passed, source)
-    return df.select(
-        "*", *[F.coalesce(named(f"_c{i}_{a}"), F.col(f"_x{i}")).alias(f"_y{i}_{a}") for i, a in cells]
-    )
-
-
-def _over_segment(alpha: float):
-    """Average after a segment of n rows from the average before it."""
-    return lambda y, s: s["z"] + F.pow(F.lit(1.0 - alpha), s["n"]) * y
+    return Step(inside, out, summary, chain, passed)
 
 
 def feature_pipeline(
@@ -497,20 +559,17 @@ def feature_pipeline(
     if not chosen:
         raise ValueError("no sensor columns found for feature engineering")
     t = timeline or Timeline.measure(df, options)
+    df = normalise_failure(df, options)
+    columns = [c for c in df.columns if c != options.target]
+    steps = [lag_step(options, chosen, t), *ema_steps(df, options, chosen, t, filled), target_step(df, options, t)]
     if t.sparse:
         # One exchange by machine and one sort by the row key serve all steps.
         df, t = t.with_key(df)
-        df = create_lag_features(df, options, chosen, t)
-        df = create_rolling_features(df, options, chosen, t)
-        df = create_ema_features(df, options, chosen, t, filled)
-        return create_target(df, options, t).drop(KEY)
-    # The step on panes has an exchange of its own, the steps on segments share one.
-    source, columns = df, [c for c in df.columns if c != options.target]
-    df = t.attach(create_rolling_features(df, options, chosen, t))
-    df = create_lag_features(df, options, chosen, t, source)
-    df = create_ema_features(df, options, chosen, t, filled, source)
-    df = create_target(df, options, t, source=source)
-    made = [f"{c}_lag_{k}" for c in chosen for k in options.lags]
-    made += [name for c in chosen for w, _ in options.windows for name in _rolling_names(c, w)]
-    made += [_ema_name(c, a) for c in chosen for a in options.alphas]
-    return df.select(*map(named, columns + made), named(options.target))
+        steps = [lag_step(options, chosen, t), *ema_steps(df, options, chosen, t, filled), target_step(df, options, t)]
+    # Windows on panes have an exchange of their own, the steps share one.
+    rolled = create_rolling_features(df, options, chosen, t)
+    windows = [name for c in chosen for w, _ in options.windows for name in _rolling_names(c, w)]
+    made = t.run(rolled, steps, [*map(named, columns + windows)])
+    lags = [f"{c}_lag_{k}" for c in chosen for k in options.lags]
+    averages = [_ema_name(c, a) for c in chosen for a in options.alphas]
+    return made.select(*map(named, columns + lags + windows + averages), named(options.target))

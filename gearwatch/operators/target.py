@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from gearwatch.functions.columns import is_flag_word, is_true_word, named, parse_number
 from gearwatch.operators.schema import failure_column
-from gearwatch.operators.timeline import US, Timeline, before_current
+from gearwatch.operators.timeline import US, Step, Timeline, before_current
 from gearwatch.options import LogOptions
 
 
@@ -47,13 +47,12 @@ def create_target(
     options: LogOptions,
     timeline: Timeline | None = None,
     observed: str | None = None,
-    source: DataFrame | None = None,
 ) -> DataFrame:
     """Label 1 where the machine fails within (t, t + horizon].
 
     A machine with a single row takes its own failure flag. Without any failure column
     all labels are 0. ``observed`` names an extra column that tells whether the log
-    covers the horizon of the row. ``source`` is the log a chain of operators began with.
+    covers the horizon of the row.
     """
     column = failure_column(df, options)
     if column is None:
@@ -61,36 +60,44 @@ def create_target(
     df = normalise_failure(df, options)
     t = timeline or Timeline.measure(df, options)
     columns = [c for c in df.columns if c != options.target]
-    df = t.attach(df)
+    return t.run(df, [target_step(df, options, t, observed)], [*map(named, columns)])
+
+
+def target_step(df: DataFrame, options: LogOptions, t: Timeline, observed: str | None = None) -> Step:
+    """The label of a log whose failure column, if any, is normalised."""
+    column = failure_column(df, options)
+    if column is None:
+        return Step(lambda rows: rows, [F.lit(0).alias(options.target)])
     failed_at = F.when(named(column), F.col(US))
     later = t.by_instant_desc().rangeBetween(Window.unboundedPreceding, -1)
     group = Window.partitionBy(*t.keys)
-    df = df.select(
-        "*",
-        F.min(failed_at).over(later).alias("_next"),
-        F.count("*").over(group).alias("_rows"),
-        F.max(US).over(group).alias("_end"),
-    )
-    next_failure, rows, end = F.col("_next"), F.col("_rows"), F.col("_end")
-    if t.split:
+
+    def inside(rows: DataFrame) -> DataFrame:
+        return rows.select(
+            "*",
+            F.min(failed_at).over(later).alias("_next"),
+            F.count("*").over(group).alias("_rows"),
+            F.max(US).over(group).alias("_end"),
+        )
+
+    def chain(states: DataFrame) -> DataFrame:
         machine = Window.partitionBy("_m")
-        df = t.carry(
-            df,
-            [F.min(failed_at).alias("_fail"), F.count("*").alias("_n"), F.max(US).alias("_hi")],
-            [
-                F.last("_fail", ignorenulls=True).over(before_current(t.later())).alias("_later_fail"),
-                F.sum("_n").over(machine).alias("_all"),
-                F.max("_hi").over(machine).alias("_all_end"),
-            ],
-            None if source is None else t.attach(normalise_failure(source, options)),
+        return states.select(
+            "*",
+            F.last("_fail", ignorenulls=True).over(before_current(t.later())).alias("_later_fail"),
+            F.sum("_held").over(machine).alias("_all"),
+            F.max("_hi").over(machine).alias("_all_end"),
         )
+
+    next_failure, rows, end = F.col("_next"), F.col("_rows"), F.col("_end")
+    if t.split:
         next_failure, rows, end = F.coalesce(next_failure, F.col("_later_fail")), F.col("_all"), F.col("_all_end")
     soon = F.coalesce(next_failure - F.col(US) <= F.lit(options.horizon_us), F.lit(False))
-    label = F.when(rows == 1, named(column)).otherwise(soon).cast("int")
-    out = [*map(named, columns), label.alias(options.target)]
+    out = [F.when(rows == 1, named(column)).otherwise(soon).cast("int").alias(options.target)]
     if observed:
         out.append((soon | (F.col(US) + F.lit(options.horizon_us) <= end)).alias(observed))
-    return df.select(*out)
+    summary = [F.min(failed_at).alias("_fail"), F.count("*").alias("_held"), F.max(US).alias("_hi")]
+    return Step(inside, out, summary, chain, ["_later_fail", "_all", "_all_end"])
 
 
 def target_by_join(df: DataFrame, options: LogOptions) -> DataFrame:

@@ -12,18 +12,21 @@ same as on the uncut machine.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, replace
+from collections.abc import Callable
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from gearwatch.functions.columns import instant, named
 from gearwatch.options import LogOptions
+from gearwatch.session import written
 
 US = "_us"
 SEG = "_seg"
 MACHINE = "_machine"
 KEY = "_key"
+ROW = "_rn"
 # Places for ties of one instant in the row key; sparse logs hold fewer by measurement.
 TIE_SLOTS = 4096
 # Machine key of rows without a machine, so that segment joins are plain equi joins.
@@ -36,6 +39,23 @@ WINDOWS_PER_CELL = 64
 LAST_SEGMENT = 1 << 62
 
 
+@dataclass
+class Step:
+    """What an operator does inside a segment, hands on to later ones, and makes of both.
+
+    ``inside`` adds columns to the rows of a segment, which know their number ``ROW`` in it.
+    ``summary`` are aggregates of these columns, the operator's part of the state of a segment;
+    ``chain`` adds columns to the table of states, of which ``passed`` go to the rows. Where no
+    machine is cut only ``inside`` and ``out`` are used.
+    """
+
+    inside: Callable[[DataFrame], DataFrame]
+    out: list[Column]
+    summary: list[Column] = field(default_factory=list)
+    chain: Callable[[DataFrame], DataFrame] = lambda states: states
+    passed: list[str] = field(default_factory=list)
+
+
 @dataclass(frozen=True)
 class Timeline:
     options: LogOptions
@@ -176,17 +196,37 @@ class Timeline:
     def by_instant_desc(self) -> WindowSpec:
         return Window.partitionBy(*self.keys).orderBy(F.col(US).desc())
 
-    def carry(
-        self, df: DataFrame, summary: list[Column], passed: list[Column], source: DataFrame | None = None
-    ) -> DataFrame:
+    def run(self, df: DataFrame, steps: list[Step], columns: list[Column]) -> DataFrame:
+        """``columns`` of ``df`` and what the steps make of its rows.
+
+        The states of all steps are one aggregate over the rows, written as one line per segment,
+        chained there, and joined to the rows once: rows are dealt out and sorted by segment once
+        for the states and once for the result, however many steps there are.
+        """
+        rows = self.attach(df)
+        rows = rows.withColumn(ROW, F.row_number().over(self.forward()).cast("long"))
+        for step in steps:
+            rows = step.inside(rows)
+        if self.split:
+            states = written(self.per_segment(rows, [a for step in steps for a in step.summary]), "segments")
+            for step in steps:
+                states = step.chain(states)
+            rows = self.join_segments(rows, states.select("_m", "_s", *[c for step in steps for c in step.passed]))
+        return rows.select(*columns, *[c for step in steps for c in step.out])
+
+    @property
+    def segments(self) -> int:
+        """At most so many segments has a machine."""
+        return 2 * self.max_rows // self.options.group_rows + 3 if self.split else 1
+
+    def carry(self, df: DataFrame, summary: list[Column], passed: list[Column]) -> DataFrame:
         """Give each row what the other segments of its machine pass on.
 
         ``summary`` are aggregates per segment; ``passed`` are columns over the
         summary table, built with ``earlier()`` / ``later()`` windows. That table has
-        one row per segment, not per reading. ``source`` has the same rows as ``df`` with
-        a shorter plan, so that chains of operators do not recompute each other.
+        one row per segment, not per reading, and is written.
         """
-        table = self.per_segment(df if source is None else source, summary)
+        table = written(self.per_segment(df, summary), "segments")
         return self.join_segments(df, table.select("_m", "_s", *passed))
 
     def per_segment(self, df: DataFrame, summary: list[Column]) -> DataFrame:

@@ -237,6 +237,48 @@ def _feature_queries(suffix, options):
 _feature_queries("", EVENTS)
 _feature_queries("_cut", CUT)
 
+# Some readings are far larger than the rest, so they show until their weight is below 1e-30; some are missing.
+SPIKE = "CASE WHEN seq % 50 = 7 THEN value * 1e25::DOUBLE ELSE value END"
+SPIKED_SQL = f"""spiked AS (SELECT machine_id, us, seq, {SPIKE} AS value FROM log)"""
+GAPS_SQL = f"""spiked AS (SELECT machine_id, us, seq, {SPIKE} AS value FROM checked)"""
+_AVERAGES = [(a, f"e_{str(a).replace('.', '_')}") for a in EVENTS.alphas]
+
+
+def _over_gap(a, e):
+    old = f"pow({1 - a}::DOUBLE, f.gap + 1)"
+    return f"""CASE WHEN n.value IS NULL THEN f.{e} WHEN f.{e} IS NULL THEN n.value
+      ELSE ({old} * f.{e} + {a}::DOUBLE * n.value) / ({old} + {a}::DOUBLE) END"""
+
+
+FOLD_SQL = f"""numbered AS (SELECT *, row_number() OVER (PARTITION BY machine_id ORDER BY us, seq) AS rn FROM spiked),
+fold AS (
+  SELECT machine_id, seq, rn, CAST(0 AS BIGINT) AS gap, {", ".join(f"value AS {e}" for _, e in _AVERAGES)}
+  FROM numbered WHERE rn = 1
+  UNION ALL
+  SELECT n.machine_id, n.seq, n.rn, CASE WHEN n.value IS NULL THEN f.gap + 1 ELSE 0 END,
+    {", ".join(_over_gap(a, e) for a, e in _AVERAGES)}
+  FROM fold f JOIN numbered n ON n.machine_id = f.machine_id AND n.rn = f.rn + 1)
+SELECT seq, machine_id, {", ".join(f"round(log10({e}), 6) AS value_ema_{str(a).replace('.', '_')}" for a, e in _AVERAGES)} FROM fold"""
+
+
+def _spike_query(name, sql, options, bounds):
+    @query(name, f"WITH RECURSIVE {LOG_SQL}, {sql}, {FOLD_SQL}")
+    def _(spark, d):
+        """The logarithm of averages, which shows all sizes alike."""
+        log = events_log(spark, d)
+        if bounds:
+            log = clean.remove_impossible_values(log, GAPPY)
+        log = log.withColumn("value", F.when(F.col("seq") % 50 == 7, F.col("value") * 1e25).otherwise(F.col("value")))
+        made = features.create_ema_features(log, options, ["value"])
+        logs = [F.round(F.log10(named(f"value_ema_{a}")), 6).alias(f"value_ema_{str(a).replace('.', '_')}") for a in options.alphas]
+        return made.select("seq", "machine_id", *logs)
+
+
+_spike_query("fea_ema_spike", SPIKED_SQL, EVENTS, False)
+_spike_query("fea_ema_spike_cut", SPIKED_SQL, CUT, False)
+_spike_query("fea_ema_gaps", f"{CHECKED_SQL}, {GAPS_SQL}", EVENTS, True)
+_spike_query("fea_ema_gaps_cut", f"{CHECKED_SQL}, {GAPS_SQL}", CUT, True)
+
 
 @query("fea_rolling", ROLL_SQL)
 def _(spark, d):
@@ -248,6 +290,24 @@ def _(spark, d):
     return rounded(features.create_rolling_features(events_log(spark, d), PANES), ["seq", "machine_id"], ROLL_NAMES)
 
 
+# Windows of which one is no multiple of anything: panes are cut where it starts.
+ODD = replace(PANES, windows=(("1h", 3600), ("1h1s", 3601), ("8h", 8 * 3600)))
+
+
+@query(
+    "fea_rolling_odd_panes",
+    f"""WITH {LOG_SQL} SELECT seq, machine_id, {", ".join(
+        f"{r6(f'{fn}({c}) OVER w{w}')} AS {c}_rolling_{f}_{w}"
+        for c in SENSORS for w, _ in ODD.windows for f, fn in (("mean", "avg"), ("std", "stddev_samp")))}
+    FROM log WINDOW {", ".join(
+        f"w{w} AS (PARTITION BY machine_id ORDER BY us RANGE BETWEEN {us - 1} PRECEDING AND CURRENT ROW)"
+        for w, us in ODD.windows_us)}""",
+)
+def _(spark, d):
+    names = [f"{c}_rolling_{f}_{w}" for c in SENSORS for w, _ in ODD.windows for f in ("mean", "std")]
+    return rounded(features.create_rolling_features(events_log(spark, d), ODD), ["seq", "machine_id"], names)
+
+
 _TIED = ", ".join(
     f"""{r6(f"avg(b.quantity) FILTER (b.us > a.us - {us})")} AS quantity_rolling_mean_{w},
     {r6(f"stddev_samp(b.quantity) FILTER (b.us > a.us - {us})")} AS quantity_rolling_std_{w}"""
