@@ -128,7 +128,7 @@ class Bucket:
         flat = np.flatnonzero(open_ones & ~steep)
         if len(flat):
             # Rows are sorted by length: those long enough for some query come first.
-            reach = np.where(bound[flat], asked[flat] / np.maximum(lengths[flat], 1e-300) * (1 - SLACK), 0.0)
+            reach = np.where(bound[flat], asked[flat], 0) / np.maximum(lengths[flat], 1e-300) * (1 - SLACK)
             end = int(np.searchsorted(-self.size, -reach.min(), "right"))
             for i in range(0, len(flat), 512):
                 some = flat[i : i + 512]
