@@ -38,13 +38,17 @@ def test_jobs(spark, tmp_path):
     assert artifacts.load_json(spark, f"{trained.folder}/boosted_report").count() == 5
 
     model, folder = load_model(spark, "boosted", base=str(tmp_path / "models"))
-    explained = explanation_job.explain(test, model, options, f"{folder}/attributions", "v1")
+    explained = explanation_job.explain(test, model, options, f"{folder}/attributions", "v1", key="d1-test")
     explanation_job.save(explained, f"{folder}/explanations")
     assert explained.validation.first()["max_error"] < 1e-9
     assert explained.high_risk.count() == 5
     report = spark.read.text(f"{folder}/explanations/report")
     assert report.filter("value LIKE 'Machine #%'").count() == 5
     assert spark.read.parquet(f"{folder}/explanations/waterfall_points").count() == 5 * 24
+    # Rows under another key have attributions of their own; the first key still has its rows.
+    fewer = explanation_job.explain(test.limit(7), model, options, f"{folder}/attributions", "v1", key="d2-test")
+    again = explanation_job.explain(test.limit(7), model, options, f"{folder}/attributions", "v1", key="d1-test")
+    assert fewer.attributed.count() == 7 and again.attributed.count() == explained.attributed.count() > 7
 
 
 def test_search_in_training(spark):
