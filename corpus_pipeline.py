@@ -20,9 +20,11 @@ ROW = "_row_of_stage"
 def _numbered(docs: DataFrame) -> DataFrame:
     """Rows with the place they are read from, file and row in it, which every scan finds the same.
 
-    A table that is not read from files is written first.
+    A table that is not read from files is written first. Files go by a hash of their path, two
+    numbers a row instead of a long text.
     """
-    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    file = F.xxhash64("_metadata.file_path").alias("file")
+    place = F.struct(file, F.col("_metadata.row_index").alias("row"))
     try:
         return docs.select("*", place.alias(ROW))
     except AnalysisException:
