@@ -1,8 +1,10 @@
 """Quality rules and robust multivariate outliers of text statistics, per language and source.
 
 Base rules look at one statistic. What passes them is transformed to a vector of four numbers; per
-language and source the minimum-covariance-determinant estimate of centre and covariance is found
-by concentration steps, and vectors at too great a Mahalanobis distance are rejected.
+language and source the minimum-covariance-determinant estimate of centre and covariance is found: concentration
+steps from two starts (medians, and the plain mean and covariance), of which the one with the smaller
+determinant is kept. Vectors at too great a Mahalanobis distance are rejected. A group too small for
+an estimate is judged by that of all rows of its language, or else of all rows.
 
 Everything is DataFrame expressions. Vectors are rounded to a grid, so sums are whole numbers and
 do not depend on the order of addition, and medians need only as much memory as the grid has
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 from gearwatch.llm.common import SPACES, stored, words
 
 #: Share of rows a concentration step keeps, number of steps, fewest rows of an estimate of its own.
-SUPPORT, STEPS, LEAST_ROWS = 0.75, 3, 50
+SUPPORT, STEPS, LEAST_ROWS = 0.75, 4, 50
 #: Chance that a row of a normal population is rejected.
 REJECTED = 1e-7
 GRID = 1024
@@ -146,6 +148,8 @@ def factor_columns() -> list[str]:
 
 
 MODEL = [f"m{i}" for i in DIMS] + [f"l{i}{j}" for i, j in PAIRS]
+#: Root of the covariance determinant.
+DETERMINANT = "l11 * l22 * l33 * l44"
 
 
 def start_columns() -> list[str]:
@@ -166,46 +170,57 @@ def _named(column: str) -> str:
 
 
 def fit_keys(rows: DataFrame) -> DataFrame:
-    """(lang, source, key): groups too small for an estimate share that of their language, then one for all."""
+    """(lang, source, key, pools): the estimate a group is judged by, and those its rows are part of."""
     own = rows.groupBy("lang", "source").agg(F.count("*").alias("n"))
-    small = own.where(F.col("n") < LEAST_ROWS).groupBy("lang").agg(F.sum("n").alias("rest"))
-    joined = own.join(small.withColumnRenamed("lang", "_l"), F.col("lang").eqNullSafe(F.col("_l")), "left")
-    key = (
-        F.when(F.col("n") >= LEAST_ROWS, F.expr(f"concat('s', {_named('lang')}, {_named('source')})"))
-        .when(F.col("rest") >= LEAST_ROWS, F.expr(f"concat('l', {_named('lang')})"))
-        .otherwise("a")
+    small = F.col("n") < LEAST_ROWS
+    languages = own.groupBy("lang").agg(F.sum("n").alias("all"), F.bool_or(small).alias("wanting"))
+    languages = languages.select(F.col("lang").alias("_l"), "all", "wanting")
+    few = languages.agg(F.coalesce(F.bool_or(F.col("wanting") & (F.col("all") < LEAST_ROWS)), F.lit(False))).first()[0]
+    joined = own.join(languages, F.col("lang").eqNullSafe(F.col("_l")))
+    group, language = F.expr(f"concat('s', {_named('lang')}, {_named('source')})"), F.expr(f"concat('l', {_named('lang')})")
+    enough = F.col("all") >= LEAST_ROWS
+    key = F.when(~small, group).when(enough, language).otherwise("a")
+    pools = F.array_compact(
+        F.array(F.when(~small, group), F.when(F.col("wanting") & enough, language), F.lit("a" if few else None).cast("string"))
     )
-    return joined.select(F.col("lang").alias("_l"), F.col("source").alias("_s"), key.alias("key"))
+    return joined.select("_l", F.col("source").alias("_s"), key.alias("key"), pools.alias("pools"))
 
 
 def robust_distance(rows: DataFrame, steps: int = STEPS) -> DataFrame:
     """``rows`` (lang, source, four statistics, n_words) with ``d2``, the squared robust distance.
 
-    Null where a language, and all small groups together, have fewer than ``LEAST_ROWS`` rows.
-    Estimates are tiny tables, written after each step, so the planner knows their size when it
-    chooses between a broadcast and a shuffled join.
+    Null where all rows together are fewer than ``LEAST_ROWS``. Estimates are tiny tables, written
+    after each step, so the planner knows their size when it chooses between a broadcast and a
+    shuffled join.
     """
     keys, _ = stored(fit_keys(rows), "keys")
     known = F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s"))
     vectors, _ = stored(rows.join(keys, known).drop("_l", "_s").selectExpr("*", *vector_columns()), "vectors")
+    members = vectors.select(F.explode("pools").alias("key"), *[f"q{i}" for i in DIMS])
     middle, _ = stored(
-        vectors.groupBy("key").agg(F.count("*").alias("n"), *[F.median(f"q{i}").alias(f"m{i}") for i in DIMS])
+        members.groupBy("key").agg(F.count("*").alias("n"), *[F.median(f"q{i}").alias(f"m{i}") for i in DIMS])
         .where(F.col("n") >= LEAST_ROWS).drop("n"),
         "medians",
     )
-    spread = vectors.join(middle, "key").groupBy("key", *[f"m{i}" for i in DIMS])
+    spread = members.join(middle, "key").groupBy("key", *[f"m{i}" for i in DIMS])
     spread = spread.agg(*[F.median(F.abs(F.col(f"q{i}") - F.col(f"m{i}"))).alias(f"a{i}") for i in DIMS])
-    model, _ = stored(spread.selectExpr("key", *start_columns()), "estimate")
+    plain = members.groupBy("key").agg(*[F.expr(c) for c in sum_columns()]).where(F.col("n") >= LEAST_ROWS)
+    starts = spread.selectExpr("1 AS fit", "key", *start_columns()).unionByName(
+        plain.selectExpr("key", *factor_columns()).selectExpr("2 AS fit", "key", *MODEL)
+    )
+    model, _ = stored(starts, "estimate")
     for _ in range(steps):
-        bins = vectors.join(model, "key").selectExpr("*", *distance_columns()).selectExpr("*", f"{BIN} AS bin")
-        bins = bins.groupBy("key", "bin").agg(*[F.expr(c) for c in sum_columns()])
-        nearer = "coalesce(sum(n) OVER (PARTITION BY key ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
-        chosen = bins.selectExpr("*", f"{nearer} AS nearer", "sum(n) OVER (PARTITION BY key) AS every")
+        bins = members.join(model, "key").selectExpr("*", *distance_columns()).selectExpr("*", f"{BIN} AS bin")
+        bins = bins.groupBy("fit", "key", "bin").agg(*[F.expr(c) for c in sum_columns()])
+        nearer = "coalesce(sum(n) OVER (PARTITION BY fit, key ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
+        chosen = bins.selectExpr("*", f"{nearer} AS nearer", "sum(n) OVER (PARTITION BY fit, key) AS every")
         chosen = chosen.where(F.expr(f"nearer < {SUPPORT}e0 * every"))
         sums = ["n", *[f"s{i}" for i in DIMS], *[f"s{i}{j}" for i, j in PAIRS]]
-        added = chosen.groupBy("key").agg(*[F.sum(c).alias(c) for c in sums])
-        model, _ = stored(added.selectExpr("key", *factor_columns()).select("key", *MODEL), "estimate")
-    return vectors.join(model, "key", "left").selectExpr("*", *distance_columns())
+        added = chosen.groupBy("fit", "key").agg(*[F.sum(c).alias(c) for c in sums])
+        model, _ = stored(added.selectExpr("fit", "key", *factor_columns()).select("fit", "key", *MODEL), "estimate")
+    least = model.groupBy("key").agg(F.expr(f"min_by(struct({', '.join(MODEL)}), struct({DETERMINANT} AS d, fit)) AS best"))
+    model, _ = stored(least.select("key", "best.*"), "estimate")
+    return vectors.join(model, "key", "left").drop("pools").selectExpr("*", *distance_columns())
 
 
 def quality_verdicts(
@@ -219,8 +234,8 @@ def quality_verdicts(
     """One row per row of ``docs``: id, statistics, ``base_failed``, ``distance`` and ``kept``.
 
     Null and blank texts have no words and fail the base rules. Null language or source is a
-    value of its own. Estimates rest on all rows that pass the base rules; where there are fewer
-    than ``LEAST_ROWS`` of them in any pool, nothing more is rejected. Repeated rows each get
+    value of its own. Estimates rest on all rows that pass the base rules; if these are fewer
+    than ``LEAST_ROWS``, nothing more is rejected. Repeated rows each get
     a verdict, long texts are read whole, other columns are ignored.
     """
     named = docs.select(
@@ -250,17 +265,17 @@ def _sql() -> str:
     steps, model = "", "est0"
     for k in range(1, STEPS + 1):
         steps += f""",
-bins{k} AS (SELECT key, {BIN} AS bin, {", ".join(sum_columns())}
-  FROM (SELECT *, {distance} FROM vectors JOIN {model} USING (key)) GROUP BY key, bin),
-near{k} AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY key ORDER BY bin
-    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nearer, sum(n) OVER (PARTITION BY key) AS every
+bins{k} AS (SELECT fit, key, {BIN} AS bin, {", ".join(sum_columns())}
+  FROM (SELECT *, {distance} FROM members JOIN {model} USING (key)) GROUP BY fit, key, bin),
+near{k} AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY fit, key ORDER BY bin
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nearer, sum(n) OVER (PARTITION BY fit, key) AS every
   FROM bins{k}),
-est{k} AS (SELECT key, {", ".join(MODEL)} FROM (SELECT *, {factors} FROM (
-  SELECT key, {sums} FROM near{k} WHERE nearer < {SUPPORT}e0 * every GROUP BY key)))"""
+est{k} AS (SELECT fit, key, {", ".join(MODEL)} FROM (SELECT *, {factors} FROM (
+  SELECT fit, key, {sums} FROM near{k} WHERE nearer < {SUPPORT}e0 * every GROUP BY fit, key)))"""
         model = f"est{k}"
     medians = ", ".join(f"quantile_cont(q{i}, 0.5) AS m{i}" for i in DIMS)
     deviations = ", ".join(f"quantile_cont(abs(q{i} - m{i}), 0.5) AS a{i}" for i in DIMS)
-    centre = ", ".join(f"m{i}" for i in DIMS)
+    centre, qs = ", ".join(f"m{i}" for i in DIMS), ", ".join(f"q{i}" for i in DIMS)
     return f"""WITH split AS (
   SELECT doc_id, lang, source, coalesce(text, '') AS text,
          regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
@@ -282,17 +297,25 @@ stats AS (
 judged AS (SELECT *, {BASE_FAILED} AS base_failed FROM stats),
 passed AS (SELECT * FROM judged WHERE NOT base_failed),
 own AS (SELECT lang, source, count(*) AS n FROM passed GROUP BY ALL),
-small AS (SELECT lang, sum(n) AS rest FROM own WHERE n < {LEAST_ROWS} GROUP BY lang),
-keys AS (SELECT own.lang, source, CASE
-    WHEN n >= {LEAST_ROWS} THEN concat('s', {_named("own.lang")}, {_named("source")})
-    WHEN rest >= {LEAST_ROWS} THEN concat('l', {_named("own.lang")}) ELSE 'a' END AS key
-  FROM own LEFT JOIN small ON own.lang IS NOT DISTINCT FROM small.lang),
-vectors AS (SELECT p.*, key, {", ".join(vector_columns())}
+tongues AS (SELECT lang, sum(n) AS whole, bool_or(n < {LEAST_ROWS}) AS wanting FROM own GROUP BY lang),
+few AS (SELECT coalesce(bool_or(wanting AND whole < {LEAST_ROWS}), false) AS f FROM tongues),
+keys AS (SELECT own.lang, source, n, whole, wanting,
+    concat('s', {_named("own.lang")}, {_named("source")}) AS g, concat('l', {_named("own.lang")}) AS t
+  FROM own JOIN tongues ON own.lang IS NOT DISTINCT FROM tongues.lang),
+vectors AS (SELECT p.*, CASE WHEN n >= {LEAST_ROWS} THEN g WHEN whole >= {LEAST_ROWS} THEN t ELSE 'a' END AS key,
+    n, whole, wanting, g, t, {", ".join(vector_columns())}
   FROM passed p JOIN keys k ON p.lang IS NOT DISTINCT FROM k.lang AND p.source IS NOT DISTINCT FROM k.source),
-middle AS (SELECT key, {medians} FROM vectors GROUP BY key HAVING count(*) >= {LEAST_ROWS}),
-spread AS (SELECT key, {centre}, {deviations} FROM vectors JOIN middle USING (key) GROUP BY key, {centre}),
-est0 AS (SELECT key, {", ".join(start_columns())} FROM spread){steps},
-far AS (SELECT r, d2 FROM (SELECT *, {distance} FROM vectors JOIN {model} USING (key)) WHERE d2 > {CUTOFF}e0)
+members AS (
+  SELECT g AS key, {qs} FROM vectors WHERE n >= {LEAST_ROWS}
+  UNION ALL SELECT t, {qs} FROM vectors WHERE wanting AND whole >= {LEAST_ROWS}
+  UNION ALL SELECT 'a', {qs} FROM vectors, few WHERE f),
+middle AS (SELECT key, {medians} FROM members GROUP BY key HAVING count(*) >= {LEAST_ROWS}),
+spread AS (SELECT key, {centre}, {deviations} FROM members JOIN middle USING (key) GROUP BY key, {centre}),
+est0 AS (SELECT 1 AS fit, key, {", ".join(start_columns())} FROM spread
+  UNION ALL SELECT 2, key, {", ".join(MODEL)} FROM (SELECT *, {factors} FROM (
+    SELECT key, {", ".join(sum_columns())} FROM members GROUP BY key HAVING count(*) >= {LEAST_ROWS}))){steps},
+best AS (SELECT * FROM {model} QUALIFY row_number() OVER (PARTITION BY key ORDER BY {DETERMINANT}, fit) = 1),
+far AS (SELECT r, d2 FROM (SELECT *, {distance} FROM vectors JOIN best USING (key)) WHERE d2 > {CUTOFF}e0)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND d2 IS NULL AS kept
 FROM judged LEFT JOIN far USING (r)"""
