@@ -15,15 +15,23 @@ from pyspark.sql import functions as F
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 #: The role that sets the scene and takes no part.
 SCENE = "system"
-NOBODY = "unknown"
+NOBODY = "unknown~"
+#: What would break the format, and the sign before a mark.
+BREAKING, MARK = r"[\x00-\x20<>|=~]+", "~"
 #: Turn numbers that are added up in one window; blocks of a long conversation are added up apart.
 BLOCK = 256
 
 
 def speaker_name(role: Column) -> Column:
-    """A role as a name that cannot break the format; null and blank are one unknown speaker."""
-    cleaned = F.regexp_replace(F.trim(F.coalesce(role, F.lit(""))), r"[\x00-\x20<>|=]+", "_")
-    return F.when(cleaned == "", F.lit(NOBODY)).otherwise(cleaned)
+    """A role as a name that cannot break the format, different for different roles.
+
+    A role that has to be changed gets a mark of the whole role, after a sign no unchanged role has.
+    Null and blank are one unknown speaker.
+    """
+    cleaned = F.regexp_replace(F.trim(role), BREAKING, "_")
+    marked = F.concat(cleaned, F.lit(MARK), F.substring(F.sha2(role, 256), 1, 16))
+    blank = F.coalesce(F.trim(F.regexp_replace(role, BREAKING, " ")) == "", F.lit(True))
+    return F.when(blank, F.lit(NOBODY)).when(F.trim(role) == SCENE, F.lit(SCENE)).when(cleaned == role, role).otherwise(marked)
 
 
 def perspectives(
@@ -45,10 +53,8 @@ def perspectives(
         speaker_name(F.col(role_col)).alias("speaker"),
         F.replace(F.coalesce(F.col(text_col), F.lit("")), F.lit("<|im_"), F.lit("<| im_")).alias("said"),
     ).withColumn("block", F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(2**62)))
-    parties = named.where(F.col("speaker") != SCENE).groupBy("conv").agg(F.collect_set("speaker").alias("parties"))
-    parties = parties.withColumnRenamed("conv", "_conv")
+    parties = named.where(F.col("speaker") != SCENE).select(F.col("conv").alias("_conv"), F.col("speaker").alias("perspective")).distinct()
     seen = named.join(parties, F.col("conv").eqNullSafe(F.col("_conv"))).drop("_conv")
-    seen = seen.withColumn("perspective", F.explode("parties")).drop("parties")
     own = F.col("speaker") == F.col("perspective")
     head = (
         F.when(own, F.lit(f"{OPEN}assistant\n"))
@@ -90,8 +96,10 @@ def perspectives(
 
 SQL = f"""WITH named AS (
   SELECT conv_id, turn, replace(coalesce(text, ''), '<|im_', '<| im_') AS said,
-         CASE WHEN regexp_replace(trim(coalesce(role, '')), '[\\x00-\\x20<>|=]+', '_', 'g') = '' THEN '{NOBODY}'
-              ELSE regexp_replace(trim(coalesce(role, '')), '[\\x00-\\x20<>|=]+', '_', 'g') END AS speaker
+         CASE WHEN coalesce(trim(regexp_replace(role, '{BREAKING}', ' ', 'g')), '') = '' THEN '{NOBODY}'
+              WHEN trim(role) = '{SCENE}' THEN '{SCENE}'
+              WHEN regexp_replace(trim(role), '{BREAKING}', '_', 'g') = role THEN role
+              ELSE regexp_replace(trim(role), '{BREAKING}', '_', 'g') || '{MARK}' || substr(sha256(role), 1, 16) END AS speaker
   FROM conversations),
 parties AS (SELECT DISTINCT conv_id AS c, speaker AS perspective FROM named WHERE speaker <> '{SCENE}'),
 shown AS (
