@@ -66,7 +66,8 @@ def contamination(
     """
     windows, _ = stored(benchmark_windows(benchmark, item_col, item_text_col, window), "windows")
     lengths = sorted(r[0] for r in windows.select("len").distinct().collect())  # at most ``window`` numbers
-    if windows.count() <= BROADCAST_WINDOWS:
+    fits = windows.count() <= BROADCAST_WINDOWS
+    if fits:
         windows = F.broadcast(windows)
     named = [F.col(c).alias(f"_keep_{c}") for c in keep]
     kept = [f"_keep_{c}" for c in keep]
@@ -93,12 +94,16 @@ def contamination(
         starts = starts.withColumn("_try", F.explode(F.array(*tries)))
     else:
         starts = starts.withColumn("_try", F.struct(F.lit(0).alias("len"), F.lit(None).cast("long").alias("key")))
-    met = starts.join(
-        windows,
-        (F.col("_try.key") == F.col("key"))
-        & (F.array_join(F.slice("_w", F.col("_pos"), F.col("len")), " ") == F.col("gram")),
-        "left",
-    ).where((F.col("_pos") == 0) | F.col("gram").isNotNull())
+    # Words are only put together where a key is met: the length is that of the window met.
+    own = F.array_join(F.slice("_w", F.col("_pos"), F.col("len")), " ")
+    if not fits:
+        # The words of a window travel with its key, the array of a whole text does not.
+        said = F.array_join(F.slice("_w", F.col("_pos"), F.col("_try.len")), " ")
+        starts = starts.withColumn("_own", F.when(F.col("_try.key").isNotNull(), said)).drop("_w", "_o")
+        own = F.col("_own")
+    met = starts.join(windows, (F.col("_try.key") == F.col("key")) & (own == F.col("gram")), "left").where(
+        (F.col("_pos") == 0) | F.col("gram").isNotNull()
+    )
     hit = F.when(F.col("gram").isNotNull(), F.struct((F.col("_pos") - 1).alias("start"), F.col("len").alias("n")))
     found = met.select("_row", "_id", *kept, "n_words", hit.alias("hit"), "items").groupBy("_row").agg(
         F.first("_id").alias(id_col),

@@ -1,4 +1,5 @@
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -52,6 +53,18 @@ def test_without_broadcast(spark, monkeypatch):
     assert got(spark, odd_documents(spark), ITEMS) == plain([r[:2] for r in ROWS], ITEMS)
 
 
+def test_a_long_text_without_broadcast(spark, monkeypatch):
+    """Shuffled lines carry the words of one window, so a text of 100,000 words is no trouble."""
+    monkeypatch.setattr(contamination, "BROADCAST_WINDOWS", 0)
+    words = [f"w{i % 9973}x{i % 7}" for i in range(100_000)]
+    items = [(1, " ".join(words[50_000:50_020])), (2, " ".join(words[99_980:])), (3, "not in there at all, not one word of it in any place")]
+    docs = [(1, " ".join(words)), (2, "short"), (3, None)]
+    df = spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, row string")
+    started = time.time()
+    assert got(spark, df, items) == plain(docs, items)
+    assert time.time() - started < 120
+
+
 def test_empty_tables(spark):
     assert got(spark, odd_documents(spark, []), ITEMS) == []
     assert got(spark, odd_documents(spark), []) == plain([r[:2] for r in ROWS], [])
