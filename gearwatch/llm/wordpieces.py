@@ -8,6 +8,7 @@ beside it refreshed. Words are short, so scans are, and words recur, so results
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import re
 import sys
@@ -26,6 +27,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: Words remembered per Python worker (about 400 bytes each).
 REMEMBERED = 300_000
 NEVER = sys.maxsize
+#: Symbols of a word from which ranks wait in a heap instead of being scanned; the result is the same.
+LONG = 256
 
 
 def byte_symbols() -> list[str]:
@@ -119,6 +122,8 @@ class WordBpe:
         """Vocabulary symbols of one word."""
         word = piece.encode().decode("latin-1").translate(self.shown) + self.end
         last = len(word) - len(self.end)
+        if last > LONG:
+            return self._long_parts(word, last)
         begins = [*range(last), len(word)]  # the last symbol carries the word end
         rank = self.ranks.get
         costs = [rank((word[i], word[i + 1 : i + 2]), NEVER) for i in range(last - 2)]
@@ -137,6 +142,42 @@ class WordBpe:
                 costs[i - 1] = rank((word[begins[i - 1] : a], word[a:b]), NEVER)
         return [word[a:b] for a, b in zip(begins, begins[1:])]
 
+    def _long_parts(self, word: str, last: int) -> list[str]:
+        """The same for a long word: ranks wait in a heap and boundaries are linked, so no array is scanned."""
+        rank = self.ranks.get
+        begin = [*range(last), len(word)]
+        after, before = [*range(1, last), last, -1], [-1, *range(last)]
+        cost = [NEVER] * (last + 1)
+        heap: list[tuple[float, int]] = []
+
+        def look(i: int) -> None:
+            """Rank of the symbol at boundary i with the next one."""
+            j = after[i]
+            k = after[j] if j != last else -1
+            found = rank((word[begin[i] : begin[j]], word[begin[j] : begin[k]]), NEVER) if k >= 0 else NEVER
+            cost[i] = found
+            if found != NEVER:
+                heapq.heappush(heap, (found, i))
+
+        for i in range(last):
+            look(i)
+        while heap:
+            least, i = heapq.heappop(heap)
+            if cost[i] != least:
+                continue  # refreshed or gone since
+            j = after[i]
+            cost[j] = NEVER
+            after[i] = after[j]
+            before[after[j]] = i
+            look(i)
+            if before[i] >= 0:
+                look(before[i])
+        out, i = [], 0
+        while i != last:
+            out.append(word[begin[i] : begin[after[i]]])
+            i = after[i]
+        return out
+
     def _word(self, piece: str) -> bytes:
         """Ids of a word as little-endian unsigned 32-bit integers.
 

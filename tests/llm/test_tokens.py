@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -51,6 +52,32 @@ def test_encoding_and_decoding_match_the_library(texts):
         assert shown == bpe.decode(ids) == tokenizer.decode(want, skip_special_tokens=False)
 
 
+def test_long_words_match_the_library_and_end(monkeypatch):
+    definition = wordpieces.definition_of(public_tokenizers.path("word_bpe_49k.json"))
+    chance, tokenizer = random.Random(9), library("word_bpe_49k.json")
+    for size in (255, 256, 257, 300, 3000, 20_000):
+        word = "".join(chance.choices("etaoinshrdlu", k=size))
+        for text in (word, "ab" * (size // 2), "a" * size):
+            want = tokenizer.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(wordpieces.WordBpe(definition).encode(text)[0], "<u4").tolist() == want
+    word = "".join(chance.choices("etaoinshrdlu", k=1_000_000))
+    started = time.time()
+    long = wordpieces.WordBpe(definition).parts(word)
+    assert time.time() - started < 60 and "".join(long) == word + "</w>"
+    # Scanning and the heap agree.
+    monkeypatch.setattr(wordpieces, "LONG", 10**9)
+    assert wordpieces.WordBpe(definition).parts(word[:3000]) == wordpieces.WordBpe(definition)._long_parts(word[:3000] + "</w>", 3000)
+
+
+def test_a_long_word_is_counted_in_time():
+    definition = merging.definition_of(public_tokenizers.path("byte_bpe_50k.json"))
+    word = "".join(random.Random(5).choices("etaoinshrdlu", k=50_000))
+    started = time.time()
+    got = merging.Counter(definition).counts([word])
+    assert time.time() - started < 60
+    assert got == [len(library("byte_bpe_50k.json").encode(word, add_special_tokens=False).ids)]
+
+
 def test_decoded_text_shows_a_fault_in_the_ids(spark, monkeypatch):
     definition = wordpieces.definition_of(public_tokenizers.path("word_bpe_49k.json"))
     word = wordpieces.WordBpe._word
