@@ -1,21 +1,24 @@
 """Exact Shapley attributions of tree ensembles, path-dependent, for every row.
 
-A model is flattened to its leaves. For one leaf, the features on its path either admit the row
-(o = 1) or not (o = 0), and a feature left out of a coalition passes the share z of training
-weight that went down the path. The value a leaf adds to a coalition is then v * prod(o or z).
-The Shapley weights of coalition sizes are beta integrals, so the value of feature f is
+For one leaf, the features on its path either admit the row (o = 1) or not (o = 0), and a feature
+left out of a coalition passes the share z of training weight that went down the path. The value
+a leaf adds to a coalition is then v * prod(o or z). The Shapley weights of coalition sizes are
+beta integrals, so the value of feature f is
 
     v * (o_f - z_f) * integral over t from 0 to 1 of prod over g != f of (z_g (1 - t) + o_g t),
 
-a polynomial that a few Gauss points integrate exactly. For a path of k features that is about
-k * k / 2 multiplications per leaf and row, done as matrix products over blocks of leaves. Rows
-stay in Spark; one Arrow column of feature values goes into the helper and one comes out.
+a polynomial that a few Gauss points integrate exactly. Leaves share the factors of their common
+path: values of the product at the points go down the tree, sums over leaves come up, and what a
+node's feature adds is the sum below it without its factor, less the leaves below where the
+feature is split again. A tree costs its nodes times the points, whatever its depth. Rows stay in
+Spark; one Arrow column of feature values goes into the helper and one comes out.
 """
 
 from __future__ import annotations
 
 import sys
-from dataclasses import dataclass
+from collections.abc import Iterator
+from dataclasses import astuple, dataclass
 
 import numpy as np
 import pandas as pd
@@ -32,23 +35,29 @@ from gearwatch.session import fresh_path
 # Executors get this helper with the task, not from an installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Leaf data shipped to executors at once; larger ensembles go in groups of leaves.
+# Tree data shipped to executors at once; larger ensembles go in groups, larger trees in parts.
 BROADCAST_BYTES = 64 << 20
-# Trees fetched at once; rows, and feature places of rows and leaves, worked on at once.
-TREES_AT_ONCE, ROWS_AT_ONCE, CELLS_AT_ONCE = 8, 512, 1 << 20
-# Stands for a share of 0, which has no logarithm.
+# Trees fetched at once; rows, and products of rows, nodes and points, worked on at once.
+TREES_AT_ONCE, ROWS_AT_ONCE, CELLS_AT_ONCE = 8, 512, 1 << 21
+# Stands for a share of 0, by which nothing can be divided.
 TINY = 1e-300
+# Bytes of a node in the arrays of ``Tree``.
+NODE_BYTES = 48
 
 
 @dataclass
-class Leaves:
-    """Leaves whose paths use the same number of distinct features."""
+class Tree:
+    """Nodes below the root (number 0) of a tree, or of a part of its leaves, level by level."""
 
-    value: np.ndarray  # [leaf]
-    feature: np.ndarray  # [leaf, k]
-    low: np.ndarray  # admitted when low < x <= high
+    parent: np.ndarray  # children of a node are side by side
+    before: np.ndarray  # nearest node above that was reached by the same feature, -1 if none
+    feature: np.ndarray  # by which the node was reached
+    low: np.ndarray  # rows with low < x <= high are admitted, by all splits on the feature so far
     high: np.ndarray
-    share: np.ndarray  # training weight share that follows the path
+    share: np.ndarray  # of training weight that all splits on the feature so far pass
+    value: np.ndarray  # 0 at inner nodes
+    levels: np.ndarray  # number of nodes up to each level
+    depth: int  # most features on one path
 
 
 def ensemble_nodes(model: FailureModel) -> tuple[DataFrame, list[float], bool]:
@@ -78,29 +87,30 @@ def node_table(nodes: DataFrame) -> DataFrame:
     )
 
 
-def leaf_groups(rows: DataFrame, weights: list[float], forest: bool) -> list[tuple[float, list[Leaves]]]:
-    """(base value, leaves) per group of leaves; a group fits one broadcast.
+def tree_groups(rows: DataFrame, weights: list[float], forest: bool) -> list[tuple[float, list[Tree]]]:
+    """(base value, trees) per group of trees; a group fits one broadcast.
 
     Trees grow with the data when their depth is not limited. They come to the driver a few at
-    a time, where Spark keeps a fitted model anyway, and are cut into groups leaf by leaf.
+    a time, where Spark keeps a fitted model anyway; a tree beyond the bound is cut into parts, each
+    with some of its leaves.
     """
-    groups, pending, size = [], [], 0
+    groups, pending, base, size = [], [], 0.0, 0
     for first in range(0, len(weights), TREES_AT_ONCE):
         some = rows.filter(F.col("treeID").between(first, first + TREES_AT_ONCE - 1)).toPandas()
-        for tree, part in some.groupby("treeID", sort=True):
-            for path in _tree_paths(part, weights[tree], forest):
-                own = 8 + sum(a.nbytes for a in path[:4])
-                if pending and size + own > BROADCAST_BYTES:
-                    groups.append(_packed(pending))
-                    pending, size = [], 0
-                pending.append(path)
-                size += own
-    groups.append(_packed(pending))
+        for number, nodes in some.groupby("treeID", sort=True):
+            for own, part in _parts(nodes, weights[number], forest):
+                own_size = NODE_BYTES * len(part.parent)
+                if pending and size + own_size > BROADCAST_BYTES:
+                    groups.append((base, pending))
+                    pending, base, size = [], 0.0, 0
+                pending.append(part)
+                base, size = base + own, size + own_size
+    groups.append((base, pending))
     return groups
 
 
-def _tree_paths(nodes: pd.DataFrame, weight: float, forest: bool) -> list[tuple]:
-    """(features, low, high, share, value) per leaf of one tree."""
+def _parts(nodes: pd.DataFrame, weight: float, forest: bool) -> Iterator[tuple[float, Tree]]:
+    """(base value, tree) for all leaves of a tree, in parts that fit one broadcast."""
     by_id = {n.id: n for n in nodes.itertuples(index=False)}
 
     def cover(n) -> float:
@@ -109,103 +119,144 @@ def _tree_paths(nodes: pd.DataFrame, weight: float, forest: bool) -> list[tuple]
     def value(n) -> float:
         return weight * (n.stats[1] / sum(n.stats) if forest else n.prediction)
 
-    found = []
-    stack = [(by_id[0], {})]
+    part, places, path, leaves = [], [], [], 0
+    stack = [(by_id[0], 0, (-1, -np.inf, np.inf, 1.0))]
     while stack:
-        node, path = stack.pop()
+        node, depth, reached = stack.pop()
+        del path[depth:], places[depth:]
+        if leaves and node.leftChild < 0 and NODE_BYTES * len(part) > BROADCAST_BYTES:
+            yield _tree(part)
+            # The next part begins with the nodes above this one.
+            part, places, leaves = [], [], 0
+        path.append((reached, value(node) if node.leftChild < 0 else 0.0))
+        for at in range(len(places), len(path)):
+            (feature, low, high, share), own = path[at]
+            above = next((places[i] for i in range(at - 1, 0, -1) if path[i][0][0] == feature), -1)
+            places.append(len(part))
+            part.append((places[at - 1] if at else -1, above, feature, low, high, share, own, at))
         if node.leftChild < 0:
-            f = np.array(sorted(path), dtype=np.int32)
-            low, high, share = (np.array([path[i][j] for i in f], dtype=float) for j in range(3))
-            found.append((f, low, high, share, value(node)))
+            leaves += 1
             continue
-        low, high, share = path.get(node.feature, (-np.inf, np.inf, 1.0))
+        feature = node.feature
+        low, high, share = next((r[1:] for r, _ in reversed(path) if r[0] == feature), (-np.inf, np.inf, 1.0))
         left, right = by_id[node.leftChild], by_id[node.rightChild]
         total = cover(left) + cover(right)
-        for child, bounds in (
-            (left, (low, min(high, node.threshold))),
-            (right, (max(low, node.threshold), high)),
-        ):
-            part = cover(child) / total if total else 0.5
-            stack.append((child, {**path, node.feature: (*bounds, share * part)}))
-    return found
-
-
-def _packed(paths: list[tuple]) -> tuple[float, list[Leaves]]:
-    base = float(sum(v * np.prod(share) for _, _, _, share, v in paths))
-    leaves = []
-    for k in sorted({len(p[0]) for p in paths} - {0}):
-        chosen = [p for p in paths if len(p[0]) == k]
-        feature, low, high, share = (np.stack([p[i] for p in chosen]) for i in range(4))
-        leaves.append(Leaves(np.array([p[4] for p in chosen]), feature, low, high, share))
-    return base, leaves
-
-
-def explain_batch(x: np.ndarray, leaves: list[Leaves]) -> np.ndarray:
-    """Attributions of a batch: array operations over blocks of leaves and rows."""
-    phi = np.zeros(x.shape)
-    for start in range(0, len(x), ROWS_AT_ONCE):
-        rows = np.ascontiguousarray(x[start : start + ROWS_AT_ONCE].T)
-        for group in leaves:
-            k = group.feature.shape[1]
-            # (k + 1) // 2 points integrate polynomials of degree k - 1 exactly.
-            points, weights = np.polynomial.legendre.leggauss((k + 1) // 2)
-            t, weights = (points + 1) / 2, weights / 2
-            step = max(1, CELLS_AT_ONCE // (k * rows.shape[1]))
-            for at in range(0, len(group.value), step):
-                some = slice(at, at + step)
-                feature, share = group.feature[some], np.maximum(group.share[some], TINY)
-                o = (rows[feature] > group.low[some, :, None]) & (rows[feature] <= group.high[some, :, None])
-                absent = share[:, :, None] * (1 - t)  # factor of a feature the row is not admitted by
-                present = absent + t
-                logs = np.log(present) - np.log(absent)
-                product = np.matmul(logs.transpose(0, 2, 1), o.astype(float)) + np.log(absent).sum(axis=1)[:, :, None]
-                product = np.exp(product) * weights[:, None]
-                # The product without one factor, integrated: once for each way that factor can be.
-                gain = np.where(
-                    o,
-                    (1 - share)[:, :, None] * np.matmul(1 / present, product),
-                    -share[:, :, None] * np.matmul(1 / absent, product),
-                )
-                gain *= group.value[some, None, None]
-                flat = feature.ravel()
-                order = np.argsort(flat, kind="stable")
-                firsts = np.flatnonzero(np.append(True, np.diff(flat[order]) != 0))
-                added = np.add.reduceat(gain.reshape(len(flat), -1)[order], firsts, axis=0)
-                phi[start : start + ROWS_AT_ONCE, flat[order][firsts]] += added.T
-    return phi
-
-
-def attribution_column(spark: SparkSession, values: Column, leaves: list[Leaves]) -> Column:
+        for child, bounds in ((right, (max(low, node.threshold), high)), (left, (low, min(high, node.threshold)))):
+            passed = cover(child) / total if total else 0.5
+            stack.append((child, depth + 1, (feature, *bounds, share * passed)))
+    yield _tree(part)
+
+
+def _tree(part: list[tuple]) -> tuple[float, Tree]:
+    """Nodes as they were met, by level; base value: leaves by the share that reaches them."""
+    parent, above, feature, low, high, share, value, level = (np.array(c) for c in zip(*part))
+    order = np.argsort(level, kind="stable")
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.arange(len(order))
+    moved = lambda links: np.where(links >= 0, place[links], -1)[order]
+    parent, above = moved(parent), moved(above)
+    levels = np.cumsum(np.bincount(level))
+    feature, share, value = feature[order], np.maximum(share[order], TINY), value[order]
+    reach, met = np.ones(len(order)), np.zeros(len(order), dtype=np.int64)
+    for i in range(1, len(order)):
+        again = above[i] >= 0
+        reach[i] = reach[parent[i]] * share[i] / (share[above[i]] if again else 1.0)
+        met[i] = met[parent[i]] + (not again)
+    base = float((value * reach).sum())
+    return base, Tree(parent, above, feature, low[order], high[order], share, value, levels, int(met.max()))
+
+
+def explain_batch(x: np.ndarray, trees: list[Tree]) -> np.ndarray:
+    """Attributions of a batch: array operations over the nodes of a level, the points and rows."""
+    phi = np.zeros((x.shape[1], len(x)))
+    for tree in trees:
+        if not tree.depth:
+            continue
+        points, weights = np.polynomial.legendre.leggauss((tree.depth + 1) // 2)
+        t, weights = (points + 1) / 2, weights / 2
+        step = max(1, min(ROWS_AT_ONCE, CELLS_AT_ONCE // (len(tree.parent) * len(t))))
+        for start in range(0, len(x), step):
+            _add_tree(np.ascontiguousarray(x[start : start + step].T), tree, t, weights, phi[:, start : start + step])
+    return phi.T
+
+
+def _add_tree(rows: np.ndarray, tree: Tree, t: np.ndarray, weights: np.ndarray, phi: np.ndarray) -> None:
+    admitted = (rows[tree.feature] > tree.low[:, None]) & (rows[tree.feature] <= tree.high[:, None])
+    absent = tree.share[:, None] * (1 - t)
+    present = absent + t
+
+    def factor(some) -> np.ndarray:
+        return np.where(admitted[some][:, None, :], present[some][:, :, None], absent[some][:, :, None])
+
+    sums = np.empty((len(tree.parent), len(t), rows.shape[1]))
+    sums[0] = 1.0
+    spans = [slice(a, b) for a, b in zip(tree.levels, tree.levels[1:])]
+    for span in spans:
+        np.take(sums, tree.parent[span], axis=0, out=sums[span])
+        sums[span] *= factor(span)
+        again = np.flatnonzero(tree.before[span] >= 0)
+        if len(again):
+            sums[span.start + again] /= factor(tree.before[span][again])
+    inner = np.zeros(len(tree.parent), dtype=bool)
+    inner[tree.parent[1:]] = True
+    for span in reversed(spans):
+        ends = span.start + np.flatnonzero(~inner[span])
+        sums[ends] *= tree.value[ends, None, None]
+        parents = tree.parent[span]
+        firsts = np.flatnonzero(np.append(True, np.diff(parents) != 0))
+        sums[parents[firsts]] = np.add.reduceat(sums[span], firsts, axis=0)
+    # What the feature of each node adds, and what the one it replaces no longer does.
+    below = slice(1, len(tree.parent))
+    again = np.flatnonzero(tree.before >= 0)
+    for some, nodes, sign in ((below, np.arange(1, len(tree.parent)), 1.0), (again, tree.before[again], -1.0)):
+        if not len(nodes):
+            continue
+        # Integrals without the factor of a node, once for each way that factor can be.
+        with_it = np.matmul((weights / present[nodes])[:, None, :], sums[some])[:, 0]
+        without = np.matmul((weights / absent[nodes])[:, None, :], sums[some])[:, 0]
+        share = tree.share[nodes, None]
+        gain = sign * np.where(admitted[nodes], (1 - share) * with_it, -share * without)
+        features = tree.feature[nodes]
+        order = np.argsort(features, kind="stable")
+        firsts = np.flatnonzero(np.append(True, np.diff(features[order]) != 0))
+        phi[features[order][firsts]] += np.add.reduceat(gain[order], firsts, axis=0)
+
+
+def attribution_column(spark: SparkSession, values: Column, trees: list[Tree]) -> Column:
     # Arrays only: executors need no class of this package to read a broadcast.
-    shipped = spark.sparkContext.broadcast([(g.value, g.feature, g.low, g.high, g.share) for g in leaves])
+    shipped = spark.sparkContext.broadcast([astuple(t) for t in trees])
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def attributions(batch: pd.Series) -> pd.Series:
         if len(batch) == 0:
             return pd.Series([], dtype=object)
-        groups = [Leaves(*arrays) for arrays in shipped.value]
-        return pd.Series(list(explain_batch(np.stack(batch.to_numpy()), groups)))
+        return pd.Series(list(explain_batch(np.stack(batch.to_numpy()), [Tree(*arrays) for arrays in shipped.value])))
 
     return attributions(values)
 
 
-def with_attributions(df: DataFrame, model: FailureModel) -> DataFrame:
+def model_trees(model: FailureModel) -> list[tuple[float, list[Tree]]]:
+    """Trees of a fitted model, for callers that explain batch after batch."""
+    if model.kind == "baseline":
+        raise ValueError("attributions need a tree model")
+    nodes, weights, forest = ensemble_nodes(model)
+    return tree_groups(node_table(nodes), weights, forest)
+
+
+def with_attributions(df: DataFrame, model: FailureModel, trees: list[tuple[float, list[Tree]]] | None = None) -> DataFrame:
     """Adds ``values``, ``attributions`` (both in model feature order) and ``base``.
 
     Attributions are in the space of the raw score: log-odds margin of boosted trees
     (half of it, as Spark's probability is sigmoid(2 margin)), class-1 share of a forest.
     """
-    if model.kind == "baseline":
-        raise ValueError("attributions need a tree model")
-    nodes, weights, forest = ensemble_nodes(model)
-    return with_leaf_attributions(with_values(df, model.features), leaf_groups(node_table(nodes), weights, forest))
+    return with_tree_attributions(with_values(df, model.features), trees or model_trees(model))
 
 
-def with_leaf_attributions(df: DataFrame, groups: list[tuple[float, list[Leaves]]]) -> DataFrame:
+def with_tree_attributions(df: DataFrame, groups: list[tuple[float, list[Tree]]]) -> DataFrame:
     """Adds ``attributions`` and ``base`` to rows with ``values``."""
     parts = []
-    for i, (_, leaves) in enumerate(groups):
-        df = df.withColumn(f"_a{i}", attribution_column(df.sparkSession, F.col("values"), leaves))
+    for i, (_, trees) in enumerate(groups):
+        df = df.withColumn(f"_a{i}", attribution_column(df.sparkSession, F.col("values"), trees))
         parts.append(f"_a{i}")
     total = F.col(parts[0])
     for p in parts[1:]:

@@ -109,20 +109,21 @@ def likely_states(probability: Column) -> Column:
 
 
 def score_requests(
-    valid: DataFrame, model: FailureModel, explain: bool = True, top_n: int = 5
+    valid: DataFrame, model: FailureModel, explain: bool = True, top_n: int = 5, trees: list | None = None
 ) -> DataFrame:
     """Adds failure_probability, risk_level, top_risk_factors and shap_explanations.
 
     Model features the frame lacks are made from the current readings; a frame that brings
     features from its history is scored on those. Without explanations, asked not to make them or
-    unable to, the reasons are the state labels of a likely failure and nothing else.
+    unable to, the reasons are the state labels of a likely failure and nothing else. ``trees`` are
+    those of ``model_trees``, where a model scores batch after batch.
     """
     kept = valid.columns
     scored = model.predict(request_features(valid, model.features))
     scored = scored.withColumn("failure_probability", F.col("probability"))
     if explain and model.kind != "baseline":
         explained = with_explanations(
-            with_attributions(scored, model), model.features, top_n=top_n, inclusive_bands=True
+            with_attributions(scored, model, trees), model.features, top_n=top_n, inclusive_bands=True
         )
         reasons = F.slice(F.transform("positive_factors", lambda f: f["explanation"]), 1, 3)
         if set(READINGS) <= set(kept):

@@ -6,56 +6,69 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gearwatch.functions.columns import instant, named
-from gearwatch.options import MICROS_PER_DAY, LogOptions
+from gearwatch.options import LogOptions
 from gearwatch.sources.artifacts import save_datasets
 
-# Cell widths in microseconds; each cell has at most 1440 cells of the next width.
-CELLS = (MICROS_PER_DAY, 60_000_000, 60_000, 60, 1)
-# A cell with at most this many rows is listed instant by instant.
+# Quantiles of the sketch are at most one row in so many off their rank.
+ACCURACY = 20_000
+# Rows that are listed instant by instant.
 LISTED_ROWS = 100_000
 
 
 def time_threshold(df: DataFrame, options: LogOptions) -> int | None:
     """Instant at rank int(n * (1 - test_size)) of all rows in time order, in microseconds.
 
-    Exact selection by narrowing: count rows per day, go into the day that holds the
-    rank, then into its minute, and so on. Only cell counts reach the driver; no sort.
-    Rows without a time rank last. None when the rank lies beyond the timed rows.
+    Exact selection from a mergeable sketch: two quantiles that are further from the rank than
+    the sketch can err hold it between them. One more scan counts the rows before and lists the
+    instants between; only where these are too many does a sketch of the rows between come first.
+    No sort. Rows without a time rank last; None when the rank lies beyond the timed rows.
     """
     us = instant(df, options.time)
     rows = df.select(us.alias("us"), named(options.time).alias("t"))
-    rank = None
-    for width in CELLS:
-        cells = rows.groupBy(F.floor(F.col("us") / F.lit(width)).alias("cell")).count().collect()
-        if rank is None:
-            total = sum(r["count"] for r in cells)
-            rank = int(total * (1 - options.test_size))
-        chosen, size, rank = _descend(cells, rank)
-        if chosen is None:
+    whole = df.schema[options.time].dataType.typeName() == "long"
+    rank, low, high, share = None, None, None, 1 - options.test_size
+    while True:
+        # The filter is on the raw column, so that parquet can skip row groups.
+        upto = rows if high is None else rows.where(F.col("t") <= (F.lit(high) if whole else F.timestamp_micros(F.lit(high))))
+        early = F.lit(False) if low is None else F.col("us") < low
+        held = F.when(~early, F.col("us"))
+        points = _points(share)
+        found = upto.agg(
+            F.count("*").alias("n"), F.count_if(early).alias("before"), F.count(held).alias("held"),
+            F.percentile_approx(held, F.array(*map(F.lit, points)), F.lit(ACCURACY)).alias("q"),
+        ).first()
+        rank = int(found["n"] * (1 - options.test_size)) if rank is None else rank
+        place, n = rank - found["before"], found["held"]
+        if place >= n:
             return None
-        if width == 1:
-            return chosen
-        lo, hi = chosen * width, (chosen + 1) * width
-        if df.schema[options.time].dataType.typeName() == "long":
-            inside = (F.col("t") >= lo) & (F.col("t") < hi)
-        else:
-            # On the raw column, so that parquet can skip row groups.
-            stamp = lambda v: F.timestamp_micros(F.lit(v))
-            inside = (F.col("t") >= stamp(lo)) & (F.col("t") < stamp(hi))
-        rows = rows.filter(inside)
-        if size <= LISTED_ROWS:
-            cells = rows.groupBy(F.col("us").alias("cell")).count().collect()
-            return _descend(cells, rank)[0]
+        off = n / ACCURACY + 1
+        under = [i for i, p in enumerate(points) if p * n + off < place]
+        over = [i for i, p in enumerate(points) if p * n - off > place]
+        first, last = (under[-1] if under else None), (over[0] if over else None)
+        low = low if first is None else found["q"][first]
+        high = high if last is None else found["q"][last]
+        if low is not None and low == high:
+            return low
+        between = n * ((1.0 if last is None else points[last]) - (0.0 if first is None else points[first])) + 2 * off
+        if between <= LISTED_ROWS or between >= n:
+            break
+        begin = 0.0 if first is None else points[first] * n
+        share = min(1.0, max(0.0, (place - begin) / between))
+    upto = rows.where("us IS NOT NULL") if high is None else rows.where(F.col("us") <= high)
+    # Rows before the bracket are one group.
+    cell = F.col("us") if low is None else F.when(F.col("us") >= low, F.col("us"))
+    counts = upto.groupBy(cell.alias("cell")).count().collect()
+    for at, held in sorted(((r["cell"], r["count"]) for r in counts), key=lambda c: (c[0] is not None, c[0])):
+        if rank < held:
+            return at
+        rank -= held
     return None
 
 
-def _descend(cells, rank: int):
-    """Cell that holds ``rank``, its size, and the rank inside it."""
-    for cell, n in sorted((r["cell"], r["count"]) for r in cells if r["cell"] is not None):
-        if rank < n:
-            return cell, n, rank
-        rank -= n
-    return None, 0, rank
+def _points(share: float) -> list[float]:
+    """Shares to ask a sketch for: tenths, and ever closer ones around a share."""
+    near = [share + sign * k / ACCURACY for k in (3, 10, 100, 1000) for sign in (-1, 1)]
+    return sorted({round(p, 9) for p in (*near, *(i / 10 for i in range(11))) if 0.0 <= p <= 1.0})
 
 
 def _in_train(df: DataFrame, options: LogOptions, threshold: int | None) -> Column:

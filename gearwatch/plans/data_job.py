@@ -18,7 +18,7 @@ from gearwatch.operators.split import split_pipeline
 from gearwatch.operators.timeline import Timeline
 from gearwatch.operators.validate import validate_pipeline
 from gearwatch.options import LogOptions
-from gearwatch.session import written
+from gearwatch.session import run_folder, written
 from gearwatch.sources.artifacts import new_version, save_csv
 from gearwatch.sources.sensor_log import read_csv_log, timed_rows, untimed_rows
 
@@ -84,9 +84,10 @@ def main() -> None:
     args = parser.parse_args()
     spark = SparkSession.builder.appName("sensor data").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     options = replace(LogOptions(), failure=args.failure_col, test_size=args.test_size)
-    log, rejects = ingest_pipeline(spark, args.input, options)
-    result = run_pipeline(log, options, args.output, version=args.version, format=args.format, rejects=rejects)
-    result.findings.show(50, truncate=False)
+    with run_folder(spark):
+        log, rejects = ingest_pipeline(spark, args.input, options)
+        result = run_pipeline(log, options, args.output, version=args.version, format=args.format, rejects=rejects)
+        result.findings.show(50, truncate=False)
 
 
 if __name__ == "__main__":

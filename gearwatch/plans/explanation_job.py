@@ -22,7 +22,7 @@ from gearwatch.operators.attribution import (
 from gearwatch.operators.insights import explanation_checks, high_risk_rows, report_lines, with_explanations
 from gearwatch.operators.models import FailureModel, load_model
 from gearwatch.options import LogOptions
-from gearwatch.session import written
+from gearwatch.session import run_folder, written
 from gearwatch.sources.artifacts import cached, latest_version, load_dataset, save_json, save_ranking, save_text
 
 TOP_ROWS = 5
@@ -97,14 +97,15 @@ def main() -> None:
     parser.add_argument("--model", default="boosted")
     args = parser.parse_args()
     spark = SparkSession.builder.appName("sensor explanations").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    model, folder = load_model(spark, args.model, base=args.models)
-    dataset = latest_version(spark, args.datasets)
-    test = load_dataset(spark, args.datasets, "test", version=dataset)
-    version = folder.rsplit("models_", 1)[1]
-    result = explain(test, model, LogOptions(), f"{folder}/attributions", version, key=f"{dataset}-test")
-    save(result, f"{folder}/explanations")
-    explanation_checks(result.high_risk, TOP_ROWS).show()
-    result.report.orderBy("line_no").select(F.col("line")).show(200, truncate=False)
+    with run_folder(spark):
+        model, folder = load_model(spark, args.model, base=args.models)
+        dataset = latest_version(spark, args.datasets)
+        test = load_dataset(spark, args.datasets, "test", version=dataset)
+        version = folder.rsplit("models_", 1)[1]
+        result = explain(test, model, LogOptions(), f"{folder}/attributions", version, key=f"{dataset}-test")
+        save(result, f"{folder}/explanations")
+        explanation_checks(result.high_risk, TOP_ROWS).show()
+        result.report.orderBy("line_no").select(F.col("line")).show(200, truncate=False)
 
 
 if __name__ == "__main__":

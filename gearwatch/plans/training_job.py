@@ -28,8 +28,8 @@ from gearwatch.operators.profile import class_distribution
 from gearwatch.operators.schema import model_columns
 from gearwatch.operators.search import search
 from gearwatch.options import LogOptions
-from gearwatch.session import written
-from gearwatch.sources.artifacts import load_dataset, new_version, save_json, save_ranking
+from gearwatch.session import run_folder, written
+from gearwatch.sources.artifacts import latest_version, load_dataset, new_version, save_json, save_ranking
 
 
 @dataclass(frozen=True)
@@ -129,10 +129,13 @@ def main() -> None:
     parser.add_argument("--no-optimize", action="store_true")
     args = parser.parse_args()
     spark = SparkSession.builder.appName("sensor training").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    train, test = (load_dataset(spark, args.datasets, side) for side in ("train", "test"))
-    result = train_all_models(train, test, LogOptions(), args.models, optimize=not args.no_optimize)
-    result.comparison.show(truncate=False)
-    print(f"best model: {result.comparison.first()['model']}")
+    with run_folder(spark):
+        # One version for both sets, whatever is committed meanwhile.
+        version = latest_version(spark, args.datasets)
+        train, test = (load_dataset(spark, args.datasets, side, version=version) for side in ("train", "test"))
+        result = train_all_models(train, test, LogOptions(), args.models, optimize=not args.no_optimize)
+        result.comparison.show(truncate=False)
+        print(f"best model: {result.comparison.first()['model']}")
 
 
 if __name__ == "__main__":

@@ -5,11 +5,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 _local_folders: dict[str, str] = {}
+_runs: list[str] = []
 
 
 def local_session(
@@ -47,8 +50,24 @@ def work_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """New path below the working folder."""
-    return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """New path below the folder of the run, or the working folder."""
+    return f"{_runs[-1] if _runs else work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder for the tables of one run, removed with all of them at its end.
+
+    Frames made inside read these tables, so what they give must be saved before.
+    """
+    path = f"{work_dir(spark)}/run-{uuid.uuid4().hex}"
+    _runs.append(path)
+    try:
+        yield path
+    finally:
+        _runs.remove(path)
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from gearwatch.functions.columns import named, parse_number, without_nan
 from gearwatch.options import MACHINE_ALIASES, MICROS_PER_HOUR, LogOptions
 from gearwatch.session import written
+from gearwatch.sources.csv_records import csv_records, spans_lines
 from gearwatch.sources.files import exists
 
 # Texts that stand for a missing cell.
@@ -29,11 +30,14 @@ def read_csv_log(
     options: LogOptions,
     schema: T.StructType | None = None,
     time_formats: tuple[str, ...] = (),
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """CSV with a header to a log with machine, time and row-order columns.
 
     Cells are read as text, missing texts become null, then each column takes the
     narrowest type all its cells fit (one aggregate over the file), or that of ``schema``.
+    Quoted cells may span lines; ``multi_line`` says whether some do, which a scan finds out if it
+    is not given. Either way files are read in splits.
     """
     if not exists(spark, path):
         raise FileNotFoundError(f"data file not found: {path}")
@@ -42,7 +46,11 @@ def read_csv_log(
     names = raw.columns
     # A log that brings its own order columns needs no row index.
     own_order = set(options.order) <= set(names)
-    df = raw if own_order else with_row_index(raw, options.order[0])
+    if spans_lines(spark, path) if multi_line is None else multi_line:
+        records = csv_records(spark, path, names)
+        df = records if own_order else with_contiguous(records, "_record", options.order[0])
+    else:
+        df = raw if own_order else with_row_index(raw, options.order[0])
     index = [] if own_order else [options.order[0]]
     df = df.select(
         *index,
@@ -110,6 +118,18 @@ def with_row_index(df: DataFrame, name: str) -> DataFrame:
     )
 
 
+def with_contiguous(df: DataFrame, number: str, name: str) -> DataFrame:
+    """Row index 0, 1, 2, ... in the order of a number that has gaps: counts per range of numbers first."""
+    df = written(df, "records")
+    width = 1 << 20
+    ranges = df.groupBy(F.call_function("div", named(number), F.lit(width)).alias("_range")).agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    placed = df.withColumn("_range", F.call_function("div", named(number), F.lit(width))).join(ranges, "_range")
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(number)) - 1
+    return placed.withColumn(name, (F.col("_before") + inside).cast("long")).drop("_range", "_before", number)
+
+
 def complete_log(df: DataFrame, options: LogOptions, time_formats: tuple[str, ...] = ()) -> DataFrame:
     """Time and machine columns in their final form, made up where the log has none."""
     return with_machine(with_time(df, options, time_formats), options)

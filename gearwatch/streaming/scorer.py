@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from gearwatch.operators.attribution import model_trees
 from gearwatch.operators.models import FailureModel
 from gearwatch.operators.scoring import parse_requests, rejected_requests, score_requests, valid_requests
 
@@ -16,31 +17,35 @@ def request_stream(spark: SparkSession, folder: str, files_per_trigger: int = 10
 
 def start_scoring(
     stream: DataFrame, model: FailureModel, out: str, checkpoint: str, body: str = "value", explain: bool = True
-) -> tuple[StreamingQuery, StreamingQuery]:
+) -> StreamingQuery:
     """Score what is there and stop; restart with the same checkpoint to go on.
 
-    Two queries write two tables with exactly-once file sinks: ``out/scored`` and
-    ``out/rejected``.
+    Each micro-batch is parsed once and written to ``out/scored`` and ``out/rejected``, each under
+    its batch number. A batch that is repeated after a stop replaces what it wrote before, so every
+    record is once in one of the tables.
     """
-    parsed = parse_requests(stream, body)
-    sinks = {
-        "scored": score_requests(valid_requests(parsed), model, explain=explain),
-        "rejected": rejected_requests(parsed, body),
-    }
-    return tuple(
-        df.writeStream.format("parquet")
-        .option("checkpointLocation", f"{checkpoint}/{name}")
-        .trigger(availableNow=True)
-        .start(f"{out}/{name}")
-        for name, df in sinks.items()
-    )
+    trees = model_trees(model) if explain and model.kind != "baseline" else None
+
+    def write(batch: DataFrame, number: int) -> None:
+        # A micro-batch is bounded by the trigger; lost parts are parsed again.
+        parsed = parse_requests(batch, body).persist()
+        try:
+            sinks = {
+                "scored": score_requests(valid_requests(parsed), model, explain=explain, trees=trees),
+                "rejected": rejected_requests(parsed, body),
+            }
+            for name, df in sinks.items():
+                df.write.mode("overwrite").parquet(f"{out}/{name}/batch={number}")
+        finally:
+            parsed.unpersist()
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def score_stream(
     stream: DataFrame, model: FailureModel, out: str, checkpoint: str, body: str = "value", explain: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """Run both queries to the end of the input and return the two tables."""
-    for query in start_scoring(stream, model, out, checkpoint, body, explain):
-        query.awaitTermination()
+    """Run to the end of the input and return the two tables."""
+    start_scoring(stream, model, out, checkpoint, body, explain).awaitTermination()
     spark = stream.sparkSession
-    return spark.read.parquet(f"{out}/scored"), spark.read.parquet(f"{out}/rejected")
+    return tuple(spark.read.parquet(f"{out}/{name}").drop("batch") for name in ("scored", "rejected"))

@@ -1,8 +1,11 @@
 """Inputs the given tables do not hold: missing times, bursts, huge counts, other data under one address."""
 
+import itertools
+import math
 from dataclasses import replace
 
 import numpy as np
+import pandas as pd
 import pytest
 from gearwatch.operators import attribution, features, metrics, scoring, split, target, validate
 from gearwatch.operators.timeline import SEG, Timeline
@@ -144,8 +147,54 @@ def test_deep_paths_add_up():
     rng = np.random.default_rng(0)
     k = 30
     share = rng.uniform(0.2, 0.9, (1, k))
-    leaf = attribution.Leaves(np.array([2.0]), np.arange(k)[None], np.full((1, k), -np.inf), np.zeros((1, k)), share)
+    steps = [(i, -1, i, -np.inf, 0.0, share[0, i], 2.0 * (i == k - 1), i + 1) for i in range(k)]
+    base, leaf = attribution._tree([(-1, -1, -1, -np.inf, np.inf, 1.0, 0.0, 0), *steps])
     x = rng.normal(size=(5, k))
     phi = attribution.explain_batch(x, [leaf])
+    assert base == pytest.approx(2.0 * share.prod())
     admitted = (x <= 0).all(axis=1)
     assert phi.sum(axis=1) == pytest.approx(2.0 * admitted - 2.0 * share.prod(), abs=1e-12)
+
+
+def test_features_split_again_and_again(monkeypatch):
+    """A tree of depth nine over four features, leaf by leaf and coalition by coalition."""
+    rng = np.random.default_rng(2)
+    rows, paths = [], []
+
+    def grow(path, weight):
+        at, depth = len(rows), sum(len(p[3]) for p in path.values())
+        rows.append(None)
+        if depth == 9 or (depth > 2 and rng.random() < 0.1):
+            value = float(rng.normal())
+            rows[at] = (0, at, value, weight, [0.0, 0.0], -1, -1, -1, 0.0)
+            paths.append((value, path))
+            return at
+        f, t = int(rng.integers(4)), float(rng.normal())
+        low, high, share, cuts = path.get(f, (-np.inf, np.inf, 1.0, ()))
+        left = int(rng.integers(1, 1000))
+        right = int(rng.integers(1, 1000))
+        a = grow({**path, f: (low, min(high, t), share * left / (left + right), (*cuts, t))}, left)
+        b = grow({**path, f: (max(low, t), high, share * right / (left + right), (*cuts, t))}, right)
+        rows[at] = (0, at, 0.0, weight, [0.0, 0.0], a, b, f, t)
+        return at
+
+    grow({}, 1000)
+    nodes = pd.DataFrame(rows, columns=["treeID", "id", "prediction", "rawCount", "stats", "leftChild", "rightChild", "feature", "threshold"])
+    x = rng.normal(size=(6, 4))
+
+    def worth(row, known):
+        return sum(v * np.prod([(low < row[f] <= high) if f in known else share for f, (low, high, share, _) in p.items()]) for v, p in paths)
+
+    want = np.zeros((6, 4))
+    for r, f in itertools.product(range(6), range(4)):
+        others = [g for g in range(4) if g != f]
+        for size in range(4):
+            for some in itertools.combinations(others, size):
+                share = math.factorial(size) * math.factorial(3 - size) / 24
+                want[r, f] += share * (worth(x[r], {*some, f}) - worth(x[r], set(some)))
+    for bound in (64 << 20, 2000, 1):
+        monkeypatch.setattr(attribution, "BROADCAST_BYTES", bound)
+        parts = list(attribution._parts(nodes, 1.0, forest=False))
+        assert len(parts) == (1 if bound > 2000 else len(paths) if bound == 1 else len(parts))
+        assert sum(b for b, _ in parts) == pytest.approx(worth(None, set()), abs=1e-12)
+        assert attribution.explain_batch(x, [t for _, t in parts]) == pytest.approx(want, abs=1e-12)

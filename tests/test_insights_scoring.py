@@ -142,3 +142,19 @@ def test_stream_equals_batch(spark, model, tmp_path, explain):
         hot = scored.filter("failure_probability > 0.7").first()
         assert hot["risk_level"] == "HIGH" and "increased failure risk" in hot["top_risk_factors"][0]
         assert set(hot["shap_explanations"][0].asDict()) == {"feature", "value", "shap_value", "explanation"}
+
+
+def test_a_repeated_batch_gives_each_record_once(spark, model, tmp_path):
+    """Stops after the tables are written and before the batch is committed; starts again."""
+    folder, out, state = tmp_path / "in", str(tmp_path / "out"), tmp_path / "state"
+    folder.mkdir()
+    record = lambda i: json.dumps({"machine_id": f"M{i}", "temperature": 60 + i, "pressure": 1.0, "vibration": 0.01})
+    for part in range(3):
+        (folder / f"part-{part}.json").write_text("\n".join([*(record(10 * part + i) for i in range(5)), "no json"]) + "\n")
+        scored, rejected = score_stream(request_stream(spark, str(folder), 1), model, out, str(state), explain=False)
+        last = max((state / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+        last.unlink()
+        (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+    scored, rejected = score_stream(request_stream(spark, str(folder), 1), model, out, str(state), explain=False)
+    assert sorted(r["machine_id"] for r in scored.collect()) == sorted(f"M{10 * p + i}" for p in range(3) for i in range(5))
+    assert rejected.count() == 3

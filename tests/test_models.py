@@ -153,7 +153,7 @@ def test_attributions(kind, way, boosted, forest, table, monkeypatch):
     model = {"boosted": boosted, "forest": forest}[kind]
     if way == "grouped":
         nodes, weights, of_forest = attribution.ensemble_nodes(model)
-        assert len(attribution.leaf_groups(attribution.node_table(nodes), weights, of_forest)) > 1
+        assert len(attribution.tree_groups(attribution.node_table(nodes), weights, of_forest)) > 1
     explained = attribution.with_attributions(model.predict(table), model)
     check = attribution.additivity(explained, model).first()
     assert check["is_valid"] and check["max_error"] < 1e-9 and check["some_importance"]

@@ -53,6 +53,25 @@ def _(spark, d):
     return read_csv_log(spark, path, EVENTS).select("seq", "machine_id", "note", "value")
 
 
+@query(
+    "src_csv_multiline",
+    """SELECT row_number() OVER (ORDER BY event_id) - 1 AS seq, event_id, 'M' || CAST(user_id AS VARCHAR) AS machine_id,
+      CASE WHEN event_type IN ('click', 'error') THEN event_type || chr(10) || 'said "so", ' || chr(10) || chr(10) || 'twice'
+        ELSE event_type END AS note, value FROM events""",
+)
+def _(spark, d):
+    """Cells that span several lines, with blank lines, quotes and commas inside."""
+    kind = F.col("event_type")
+    note = F.when(kind.isin("click", "error"), F.concat(kind, F.lit('\nsaid "so", \n\ntwice'))).otherwise(kind)
+    raw = table(spark, d, "events").orderBy("event_id").select(
+        "event_id", F.col("ts").cast("string").alias("timestamp"),
+        F.concat(F.lit("M"), F.col("user_id").cast("string")).alias("machine_id"), note.alias("note"), "value",
+    )
+    path = fresh_path(spark, "multiline-csv")
+    raw.write.options(header=True, escape='"').csv(path)
+    return read_csv_log(spark, path, EVENTS).select("seq", "event_id", "machine_id", "note", "value")
+
+
 @query(
     "src_csv_log",
     """SELECT row_number() OVER (ORDER BY event_id) - 1 AS seq, 'U' || CAST(user_id AS VARCHAR) AS machine_id,

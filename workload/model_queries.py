@@ -5,10 +5,11 @@ SQL cannot fit these models, so most queries have no SQL twin; the tests prove t
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from gearwatch.functions.columns import fixed
-from gearwatch.operators import attribution, insights, models, scoring
+from gearwatch.operators import attribution, insights, model_tables, models, scoring
 from gearwatch.operators.features import feature_pipeline
 from gearwatch.operators.metrics import compare_models, evaluate, per_class_report
 from gearwatch.operators.models import FailureModel
@@ -32,6 +33,7 @@ from workload.log_queries import (
     TARGET_SQL,
     WINDOWS,
 )
+from workload.metric_queries import CELLS_SQL, F1, RATES_SQL, _auc_sql
 from workload.registry import query
 from workload.views import EVENTS, LOG_SQL, REQUESTS_SQL, SENSORS, events_log, r6, requests, rounded, table
 
@@ -201,34 +203,126 @@ def _(spark, d):
     return sample.withColumn("timestamp", F.unix_micros("timestamp"))
 
 
-# Two small trees by hand: (tree, node, value, rows, left, right, feature, threshold).
+# Two small trees by hand, as a boosted model and as a forest:
+# (tree, node, prediction, gain, rows, rows per class, left, right, feature, threshold).
 STUMPS = [
-    (0, 0, 0.0, 100, 1, 2, 0, 50.0), (0, 1, -1.0, 30, -1, -1, -1, 0.0), (0, 2, 2.0, 70, -1, -1, -1, 0.0),
-    (1, 0, 0.0, 100, 1, 4, 0, 80.0), (1, 1, 0.0, 50, 2, 3, 1, 40.0), (1, 2, 0.5, 20, -1, -1, -1, 0.0),
-    (1, 3, -0.5, 30, -1, -1, -1, 0.0), (1, 4, 1.5, 50, -1, -1, -1, 0.0),
+    (0, 0, 0.0, 3.0, 100, [38.0, 62.0], 1, 2, 0, 50.0), (0, 1, -1.0, 0.0, 30, [24.0, 6.0], -1, -1, -1, 0.0),
+    (0, 2, 2.0, 0.0, 70, [14.0, 56.0], -1, -1, -1, 0.0), (1, 0, 0.0, 2.0, 100, [41.0, 59.0], 1, 4, 0, 80.0),
+    (1, 1, 0.0, 1.0, 50, [36.0, 14.0], 2, 3, 1, 40.0), (1, 2, 0.5, 0.0, 20, [15.0, 5.0], -1, -1, -1, 0.0),
+    (1, 3, -0.5, 0.0, 30, [21.0, 9.0], -1, -1, -1, 0.0), (1, 4, 1.5, 0.0, 50, [5.0, 45.0], -1, -1, -1, 0.0),
 ]
+STEP = 0.5
+GIVEN_FEATURES = ["value", "k"]
+
+
+def given(spark, kind: str) -> FailureModel:
+    """The trees above as a model, saved and found again as the newest."""
+    rows = [r[:5] + ([float(r[4]), 0.0, 0.0] if kind == "boosted" else r[5],) + r[6:] for r in STUMPS]
+    model = model_tables.model_from_nodes(spark, spark.createDataFrame(rows, model_tables.NODES), kind, GIVEN_FEATURES, STEP)
+    base = fresh_path(spark, "models")
+    for version in ("20240101_000000", "20250101_000000"):
+        model.save(f"{base}/models_{version}/{kind}")
+    return models.load_model(spark, kind, base=base)[0]
+
+
+_BOOSTED_MARGIN = f"""(CASE WHEN value <= 50 THEN -1.0 ELSE 2.0 END + {STEP} * CASE WHEN value > 80 THEN 1.5
+  WHEN k <= 40 THEN 0.5 ELSE -0.5 END)"""
+_FOREST_SHARE = """((CASE WHEN value <= 50 THEN 0.2 ELSE 0.8 END + CASE WHEN value > 80 THEN 0.9
+  WHEN k <= 40 THEN 0.25 ELSE 0.3 END) / 2)"""
+_PROBABILITY = {
+    "boosted": f"(1 / (1 + exp(-2 * CAST({_BOOSTED_MARGIN} AS DOUBLE))))", "random_forest": f"CAST({_FOREST_SHARE} AS DOUBLE)",
+}
+
+
+def _given_sql(kind: str) -> str:
+    """Scored rows of the log under a model by hand."""
+    return f"""{LOG_SQL}, scored AS (SELECT seq, machine_id, value, k, CAST(failure AS INT) AS label,
+      {_PROBABILITY[kind]} AS probability, CASE WHEN {_PROBABILITY[kind]} > 0.5 THEN 1 ELSE 0 END AS prediction FROM log)"""
+
+
+def given_scores(spark, d, kind):
+    log = events_log(spark, d).withColumn("label", F.col("failure").cast("int"))
+    return given(spark, kind).predict(log)
+
+
+def _given_queries(kind, short):
+    @query(f"mlm_given_{short}", f"WITH {_given_sql(kind)} SELECT seq, label, prediction, {r6('probability')} AS probability FROM scored")
+    def _(spark, d):
+        return rounded(given_scores(spark, d, kind), ["seq", "label", "prediction"], ["probability"])
+
+    @query(
+        f"mlm_given_{short}_evaluate",
+        f"""WITH {_given_sql(kind)}, {CELLS_SQL}, {RATES_SQL} SELECT '{kind}' AS model, tn, fp, fn, tp, {r6('recall')} AS recall,
+          {r6('prec')} AS precision, {r6(F1)} AS f1, {r6(_auc_sql('scored'))} AS roc_auc FROM rates""",
+    )
+    def _(spark, d):
+        found = evaluate(given_scores(spark, d, kind).select("label", "prediction", "probability"), kind)
+        return rounded(found, ["model", "tn", "fp", "fn", "tp"], ["recall", "precision", "f1", "roc_auc"])
+
+    @query(
+        f"exp_given_{short}_high_risk",
+        f"""WITH {_given_sql(kind)} SELECT row_number() OVER (ORDER BY probability DESC, seq) AS place, seq,
+          {r6('probability')} AS probability FROM scored ORDER BY probability DESC, seq LIMIT 5""",
+    )
+    def _(spark, d):
+        top = insights.high_risk_rows(given_scores(spark, d, kind), ["seq"], 5)
+        return rounded(top.withColumn("place", F.col("place").cast("long")), ["place", "seq"], ["probability"])
+
+    @query(
+        f"exp_given_{short}_additivity",
+        f"""WITH {_given_sql(kind)} SELECT 0::DOUBLE AS max_error, 0::DOUBLE AS mean_error, {r6(_BASES[kind])} AS expected_value,
+          count(*) > 0 AS is_valid, count(*) > 0 AS some_importance FROM scored""",
+    )
+    def _(spark, d):
+        """Base and attributions sum up to the score of every row of the log."""
+        model = given(spark, kind)
+        log = events_log(spark, d)
+        checked = attribution.additivity(attribution.with_attributions(model.predict(log), model), model)
+        errors = [F.round(c, 6).alias(c) for c in ("max_error", "mean_error")]
+        return checked.select(*errors, fixed(F.col("expected_value")).alias("expected_value"), "is_valid", "some_importance")
+
+
+_BASES = {"boosted": "1.45::DOUBLE", "random_forest": "((0.3 * 0.2 + 0.7 * 0.8 + 0.2 * 0.25 + 0.3 * 0.3 + 0.5 * 0.9) / 2)::DOUBLE"}
+for _kind, _short in (("boosted", "boosted"), ("random_forest", "forest")):
+    _given_queries(_kind, _short)
 
 
 @query(
-    "exp_stump_attributions",
-    f"""WITH {LOG_SQL}, t AS (SELECT seq, CASE WHEN value <= 50 THEN -1.0 ELSE 2.0 END AS tree0,
+    "mlm_given_gain",
+    f"""WITH {LOG_SQL}, n(feature, gain, held) AS (VALUES ('value', 3.0, 100), ('value', 2.0, 100), ('k', 1.0, 50))
+    SELECT feature, {r6('CAST(sum(gain * held) / (SELECT sum(gain * held) FROM n) AS DOUBLE)')} AS importance,
+      (SELECT count(*) FROM log WHERE CASE feature WHEN 'value' THEN value ELSE k END IS NOT NULL) AS known
+    FROM n GROUP BY feature""",
+)
+def _(spark, d):
+    """Gain importance of the boosted model by hand, with the readings each feature has."""
+    counts = events_log(spark, d).agg(*[F.count(c).alias(c) for c in GIVEN_FEATURES])
+    known = counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("known")) for c in GIVEN_FEATURES])))
+    ranked = models.feature_importance(spark, given(spark, "boosted")).join(known, "feature")
+    return rounded(ranked, ["feature", "known"], ["importance"])
+
+
+_STUMP_SQL = f"""{LOG_SQL}, t AS (SELECT seq, machine_id, CASE WHEN value <= 50 THEN -1.0 ELSE 2.0 END AS tree0,
       CASE WHEN value > 80 THEN 1.5 WHEN k <= 40 THEN 0.5 ELSE -0.5 END AS f01,
       CASE WHEN value <= 80 THEN -0.1 ELSE 1.5 END AS f0,
-      0.5 * CASE WHEN k <= 40 THEN 0.5 ELSE -0.5 END + 0.75 AS f1 FROM log)
-    SELECT seq, {r6('1.45::DOUBLE')} AS base,
-      {r6('CAST(tree0 - 1.1 + 0.25 * (f0 - 0.7 + f01 - f1) AS DOUBLE)')} AS value_attribution,
-      {r6('CAST(0.25 * (f1 - 0.7 + f01 - f0) AS DOUBLE)')} AS k_attribution,
-      {r6('CAST(tree0 + 0.5 * f01 AS DOUBLE)')} AS score FROM t""",
+      0.5 * CASE WHEN k <= 40 THEN 0.5 ELSE -0.5 END + 0.75 AS f1 FROM log),
+    phi AS (SELECT seq, machine_id, CAST(tree0 - 1.1 + 0.25 * (f0 - 0.7 + f01 - f1) AS DOUBLE) AS value_part,
+      CAST(0.25 * (f1 - 0.7 + f01 - f0) AS DOUBLE) AS k_part, CAST(tree0 + 0.5 * f01 AS DOUBLE) AS score FROM t)"""
+
+
+def given_attributions(spark, rows):
+    model = given(spark, "boosted")
+    return attribution.with_attributions(model.predict(rows), model)
+
+
+@query(
+    "exp_stump_attributions",
+    f"""WITH {_STUMP_SQL} SELECT seq, {r6('1.45::DOUBLE')} AS base, {r6('value_part')} AS value_attribution,
+      {r6('k_part')} AS k_attribution, {r6('score')} AS score FROM phi""",
 )
 def _(spark, d):
     """Hand-made trees through the code that explains fitted ones."""
-    nodes = spark.createDataFrame(
-        [(t, i, v, n, [float(n), 0.0], le, ri, f, at) for t, i, v, n, le, ri, f, at in STUMPS],
-        "treeID int, id int, prediction double, rawCount long, stats array<double>, leftChild int, rightChild int, "
-        "feature int, threshold double",
-    )
-    rows = events_log(spark, d).select("seq", F.array("value", "k").alias("values"))
-    found = attribution.with_leaf_attributions(rows, attribution.leaf_groups(nodes, [1.0, 0.5], forest=False))
+    found = given_attributions(spark, events_log(spark, d))
     total = F.aggregate("attributions", F.col("base"), lambda acc, x: acc + x)
     return found.select(
         "seq", fixed(F.col("base")).alias("base"), fixed(F.col("attributions")[0]).alias("value_attribution"),
@@ -236,6 +330,73 @@ def _(spark, d):
     )
 
 
+@query(
+    "exp_given_instance",
+    f"""WITH {_STUMP_SQL}, last AS (SELECT machine_id, max(seq) AS seq FROM log GROUP BY 1)
+    SELECT machine_id, seq, unnest(['value', 'k']) AS feature, unnest([{r6('value_part')}, {r6('k_part')}]) AS attribution
+    FROM phi JOIN last USING (machine_id, seq)""",
+)
+def _(spark, d):
+    """Attributions of the last row of every machine, one line per feature."""
+    rows = events_log(spark, d)
+    last = rows.groupBy("machine_id").agg(F.max("seq").alias("seq"))
+    chosen = given_attributions(spark, rows.join(last, ["machine_id", "seq"], "left_semi"))
+    long = attribution.long_attributions(chosen, GIVEN_FEATURES, ["machine_id", "seq"])
+    return rounded(long, ["machine_id", "seq", "feature"], ["attribution"])
+
+
+@query(
+    "exp_given_importance",
+    f"""WITH {_STUMP_SQL} SELECT unnest(['value', 'k']) AS feature,
+      unnest([{r6('avg(abs(value_part))')}, {r6('avg(abs(k_part))')}]) AS importance FROM phi""",
+)
+def _(spark, d):
+    found = given_attributions(spark, events_log(spark, d))
+    return rounded(attribution.attribution_importance(found, GIVEN_FEATURES), ["feature"], ["importance"])
+
+
+HELD_OUT_SQL = f"WITH {LOG_SQL}, edge AS ({_RANK}) SELECT seq, machine_id, true AS agrees FROM log WHERE us >= (SELECT us FROM edge)"
+
+
+def _join_query(kind, short):
+    @query(f"mlm_{short}_by_join", HELD_OUT_SQL)
+    def _(spark, d):
+        """Every held-out prediction of the fitted model is what its table of leaf intervals says."""
+        model, rows = fitted(spark, d, kind), prepared(spark, d)[3]
+        intervals = written(model_tables.leaf_intervals(model), "intervals")
+        again = model_tables.scores_by_join(rows, model, intervals, ["seq", "machine_id"])
+        scored = model.predict(rows).select("seq", "machine_id", "margin", "probability")
+        raw = F.col("margin") if kind == "boosted" else F.col("probability")
+        agrees = F.coalesce(F.abs(raw - F.col("score")) < 1e-9, F.lit(False))
+        return scored.join(again, ["seq", "machine_id"], "left").select("seq", "machine_id", agrees.alias("agrees"))
+
+
+for _kind, _short in (("boosted", "boosted"), ("random_forest", "forest")):
+    _join_query(_kind, _short)
+
+
+@query(
+    "mlm_baseline_optimum",
+    f"WITH {LOG_SQL} SELECT unnest({[n.replace('.', '_') for n in MODEL_NAMES]}) AS feature, true AS flat WHERE (SELECT count(*) FROM log) > 0",
+)
+def _(spark, d):
+    """Slope of the weighted, penalised log loss along each coefficient of the fitted baseline: none."""
+    model, data = fitted(spark, d, "baseline"), prepared(spark, d)[2]
+    negative, positive = data.balanced
+    lr = model.classifier
+    scored = model.pipeline.transform(models.with_vector(data.df, data.features))
+    p, x = vector_to_array("probability")[1], vector_to_array("scaled")
+    wrong = models.weight_column(negative, positive) * (p - F.col("label"))
+    rows = scored.select(wrong.alias("wrong"), x.alias("x"))
+    sums = rows.agg(*[F.sum(F.col("wrong") * F.col("x")[i]).alias(f"s{i}") for i in range(len(data.features))])
+    each = [
+        F.struct(F.lit(name.replace(".", "_")).alias("feature"), F.abs(F.col(f"s{i}") + float(c)).alias("slope"))
+        for i, (name, c) in enumerate(zip(data.features, lr.coefficients))
+    ]
+    # The penalty is |c|^2 / 2 beside a sum over rows, so a slope is in rows.
+    return sums.select(F.inline(F.array(*each))).select("feature", (F.col("slope") < 1e-3 * data.rows).alias("flat"))
+
+
 @query("exp_instance")
 def _(spark, d):
     """Attributions of the last row of every machine."""
