@@ -388,7 +388,10 @@ def _whole_step(options: LogOptions, numbered: list[tuple[int, str]], t: Timelin
             cells = [(i, c, a, f"_l{i}_{number[a]}") for i, c in numbered for a in alphas]
             df = df.withColumns({"_blk": F.floor((rn - 1) / block), "_j": F.pmod(rn - 1, F.lit(block))})
             j, middle = F.col("_j"), block // 2
-            rows = up_to_current(Window.partitionBy(*t.keys, F.col("_blk")).orderBy(*t.ascending()))
+            blocks = max(1, math.ceil(t.max_rows / block))
+            # Where every machine fits one block, the sort of the other steps serves.
+            one = t.forward() if blocks == 1 else Window.partitionBy(*t.keys, F.col("_blk")).orderBy(*t.ascending())
+            rows = up_to_current(one)
             df = df.select(
                 "*",
                 *[
@@ -396,7 +399,6 @@ def _whole_step(options: LogOptions, numbered: list[tuple[int, str]], t: Timelin
                     for i, c, a, name in cells
                 ],
             )
-            blocks = max(1, math.ceil(t.max_rows / block))
             enough = math.ceil(VANISHED / (block * _decay(alphas[-1]))) + 1
             for step in range((min(blocks, enough) - 1).bit_length()):
                 span = 1 << step
