@@ -1,5 +1,6 @@
 """Cleaning, features and target against plain loops, on whole and on cut machines."""
 
+import re
 from dataclasses import replace
 
 import brute
@@ -9,6 +10,7 @@ from gearwatch.functions.columns import without_nan
 from gearwatch.operators import clean, features, target
 from gearwatch.operators.timeline import Timeline
 from gearwatch.options import LogOptions
+from pyspark.sql import functions as F
 
 BASE = LogOptions(alphas=(0.05, 0.3, 0.7, 1.0), lags=(1, 2, 3))
 SHAPES = {
@@ -124,3 +126,56 @@ def test_window_and_horizon_edges(spark):
         assert got["a_rolling_mean_8h"].tolist() == [0.0, 0.5, 1.0, 2.0, 9.0]
         # Exactly 24 h ahead counts, the same instant does not.
         assert got[o.target].tolist() == [1, 1, 1, 1, 0]
+
+
+def test_few_scans_and_exchanges_however_machines_are_cut(spark, tmp_path):
+    """Cleaning and all features: the log is read once by crowded and once by calm machines, beside small tables of states."""
+    frame = brute.random_log(0, hot=0.6)
+    to_spark(spark, frame).write.parquet(str(tmp_path / "log"))
+    log, o = spark.read.parquet(str(tmp_path / "log")), SHAPES["dense_cut"]
+    t = Timeline.measure(log, o)
+    assert t.split and not t.sparse
+    made = features.feature_pipeline(clean.clean_pipeline(log, o, timeline=t), o, timeline=t, filled=True)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    plan = plan.split("Final Plan")[-1]
+    assert plan.count(f"{tmp_path}/log") <= 2
+    assert len(re.findall(r"(?<!Broadcast)Exchange (?:hash|range|round|Single)", plan)) <= 10
+
+
+def test_panes_narrow_down_to_one_instant(spark):
+    """Bursts of unlike density: no pane holds more rows than a group may, except those of one microsecond."""
+    rng = np.random.default_rng(3)
+    start = 1_700_000_000_000_000
+    us = [*rng.integers(0, 3 * brute.HOUR, 40), *(brute.HOUR + rng.integers(0, 90, 150)), *[2 * brute.HOUR] * 30, *(-rng.integers(1, 50, 20))]
+    rows = [("M", int(start + u), i, float(rng.normal()), None, False) for i, u in enumerate(us)]
+    df = spark.createDataFrame(rows, "machine_id string, us long, seq long, a double, b double, failure boolean")
+    df = df.withColumn("timestamp", F.timestamp_micros("us")).drop("us")
+    o = replace(BASE, dense_rows=1, group_rows=10, windows=(("1h", 3600), ("1h1s", 3601)))
+    shift, narrow = features.pane_shifts(df, o)
+    own = dict(narrow)["M"]
+    panes = df.groupBy(F.shiftright(F.unix_micros("timestamp"), own)).agg(F.count("*").alias("n"), F.countDistinct("timestamp").alias("k"))
+    assert own < shift and panes.where("n > 10 AND k > 1").count() == 0
+    got = back(features.create_rolling_features(df, o, ["a"]))
+    want = brute.ordered(got[["machine_id", "timestamp", "seq", "a", "failure"]])
+    for name, width in o.windows_us:
+        for what in ("mean", "std"):
+            same(got[f"a_rolling_{what}_{name}"], brute.per_machine(want, lambda g: brute.rolling(g, "a", width, what)), 1e-8)
+
+
+@pytest.mark.parametrize("shape", ["whole", "cut"])
+@pytest.mark.parametrize("gaps", [False, True])
+def test_averages_forget_nothing(spark, shape, gaps):
+    """Blocks of a few rows, and readings so large that they show through many of them."""
+    rng = np.random.default_rng(4)
+    rows = [("M", i * 60_000_000, i, 1e200 if i == 3 else 1e-150 if i == 200 else float(rng.normal(5, 1)), False) for i in range(400)]
+    if gaps:
+        rows = [(m, u, i, None if rng.random() < 0.3 and i != 3 else x, f) for m, u, i, x, f in rows]
+    df = spark.createDataFrame(rows, "machine_id string, us long, seq long, a double, failure boolean")
+    df = df.withColumn("timestamp", F.timestamp_micros("us")).drop("us")
+    o = replace(SHAPES[shape], alphas=(0.01, 0.5, 0.97), group_rows=40 if shape == "cut" else 1_000_000)
+    # Blocks of few rows, several of which a reading must show through.
+    got = back(features.create_ema_features(df, o, ["a"]))
+    want = brute.ordered(got[["machine_id", "timestamp", "seq", "a", "failure"]])
+    for a in o.alphas:
+        fold = brute.per_machine(want, lambda g: (brute.ema_with_gaps if gaps else brute.ema)(g, "a", a))
+        np.testing.assert_allclose(got[f"a_ema_{a}"].astype(float), fold, rtol=1e-9)
