@@ -35,6 +35,9 @@ NO_MACHINE = "\u0000"
 HOT_LIMIT = 50_000
 # Windows per cell of the first count.
 WINDOWS_PER_CELL = 64
+# Rows of one task that sorts machines or segments, on average. A step may hold some kilobytes a row in
+# its sorts, far more than the few bytes of shuffle by which Spark joins up tasks.
+TASK_ROWS = 100_000
 # Rows without an instant sort after all segments of their machine.
 LAST_SEGMENT = 1 << 62
 
@@ -71,6 +74,8 @@ class Timeline:
     cuts: tuple[DataFrame, ...] = ()
     # Small cells that belong to the segment of an earlier one.
     joined: DataFrame | None = None
+    # All rows of the log; 0 where they were not counted.
+    rows: int = 0
 
     @classmethod
     def measure(cls, df: DataFrame, options: LogOptions, axis: str | None = None) -> "Timeline":
@@ -106,7 +111,7 @@ class Timeline:
             crowded |= {r["_hot"] for r in hot.collect()}
         listed = len(crowded) <= HOT_LIMIT and len(crowded) < top["machines"]
         span = (top["lo"] or 0, top["hi"] or 0)
-        return cls(options, axis, top["n"], dense, span, hot, list(crowded) if listed else None, cuts=cuts, joined=joined)
+        return cls(options, axis, top["n"], dense, span, hot, list(crowded) if listed else None, cuts=cuts, joined=joined, rows=top["total"])
 
     @property
     def split(self) -> bool:
@@ -159,13 +164,23 @@ class Timeline:
             joined = joined.withColumn(SEG, F.coalesce(F.col("_start"), F.col(SEG))).drop("_cut", "_cell", "_start")
         return joined.withColumn(MACHINE, F.coalesce(machine.cast("string"), F.lit(NO_MACHINE)))
 
+    def dealt(self, df: DataFrame) -> DataFrame:
+        """Rows by machine, or segment, in as many tasks as their number asks for.
+
+        Below that Spark's own number is enough: it has a task for every core.
+        """
+        tasks = math.ceil(self.rows / TASK_ROWS)
+        if self.keyed or tasks <= df.sparkSession.sparkContext.defaultParallelism:
+            return df
+        return df.repartition(tasks, *self.keys)
+
     def with_key(self, df: DataFrame) -> tuple[DataFrame, "Timeline"]:
         """Adds one LONG that orders the rows of a machine by instant, then among ties.
 
         A chain of operators on a keyed log shares one sort by this key. For sparse logs.
         """
         columns = df.columns
-        df = self.attach(df)
+        df = self.dealt(self.attach(df))
         by_instant = Window.partitionBy(*self.keys).orderBy(F.col(US).asc_nulls_last())
         tie = F.row_number().over(self.forward()) - F.rank().over(by_instant)
         # Rows without an instant come after all others.
@@ -203,7 +218,7 @@ class Timeline:
         chained there, and joined to the rows once: rows are dealt out and sorted by segment once
         for the states and once for the result, however many steps there are.
         """
-        rows = self.attach(df)
+        rows = self.dealt(self.attach(df))
         rows = rows.withColumn(ROW, F.row_number().over(self.forward()).cast("long"))
         for step in steps:
             rows = step.inside(rows)

@@ -7,7 +7,7 @@ import brute
 import numpy as np
 import pytest
 from gearwatch.functions.columns import without_nan
-from gearwatch.operators import clean, features, target
+from gearwatch.operators import clean, features, target, timeline
 from gearwatch.operators.timeline import Timeline
 from gearwatch.options import LogOptions
 from pyspark.sql import functions as F
@@ -173,6 +173,19 @@ def test_sums_of_many_panes_are_not_broadcast(spark):
     assert made.where("seq = 1999").first()["a_rolling_mean_4h"] == pytest.approx(0.5 * (1999 - 1.5))
 
 
+@pytest.mark.parametrize("shape", ["whole", "cut"])
+def test_tasks_grow_in_number_with_the_rows(spark, monkeypatch, shape):
+    """Rows are dealt out by their number, not by the bytes of a shuffle."""
+    log, o = to_spark(spark, brute.random_log(0, hot=0.6)), SHAPES[shape]
+    want = back(features.create_ema_features(log, o, ["a"]))
+    rows, cores = log.count(), spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(timeline, "TASK_ROWS", rows // (2 * cores))
+    made = features.create_ema_features(log, o, ["a"])
+    assert "REPARTITION_BY_NUM" in made._jdf.queryExecution().executedPlan().toString()
+    for a in o.alphas:
+        same(back(made)[f"a_ema_{a}"], want[f"a_ema_{a}"])
+
+
 @pytest.mark.parametrize("shape", ["whole", "cut"])
 @pytest.mark.parametrize("gaps", [False, True])
 def test_averages_forget_nothing(spark, shape, gaps):
