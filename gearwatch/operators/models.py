@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -21,6 +22,8 @@ KINDS = ("baseline", "random_forest", "boosted")
 # Names callers may use for the boosted kind.
 KIND_ALIASES = {"xgboost": "boosted", "gbt": "boosted"}
 MAX_FOREST_DEPTH = 30  # limit of Spark's tree nodes
+# Training rows of one task. Learners keep the rows of a task as objects, many times their size in a file.
+TASK_ROWS = 200_000
 
 FOREST_DEFAULTS = {"numTrees": 100, "maxDepth": MAX_FOREST_DEPTH, "minInstancesPerNode": 1}
 BOOSTED_DEFAULTS = {
@@ -159,6 +162,11 @@ def _fit(kind: str, stages: list, data: TrainingSet, weights: tuple[float, float
     weighted = with_vector(data.df, data.features).select(
         "features", "label", weight_column(*weights).alias("weight")
     )
+    if data.rows > TASK_ROWS:
+        # Files are cut at their row groups, which says nothing about the rows of a task.
+        tasks = max(math.ceil(data.rows / TASK_ROWS), weighted.sparkSession.sparkContext.defaultParallelism)
+        numbered = weighted.withColumn("_row", F.monotonically_increasing_id())
+        weighted = numbered.repartition(tasks, "_row").drop("_row")
     model = Pipeline(stages=stages).fit(weighted)
     return FailureModel(kind, data.features, model, params)
 

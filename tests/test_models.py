@@ -177,3 +177,16 @@ def test_points(boosted, table):
 def test_sample_ignores_partitioning(table):
     pick = lambda df: {r["seq"] for r in attribution.background_sample(df, ["seq"], 20).collect()}
     assert pick(table) == pick(table.repartition(7)) and len(pick(table)) == 20
+
+
+def test_many_training_rows_are_dealt_out(data, monkeypatch):
+    """However few files hold them, no task learns from more than its rows."""
+    seen = []
+    monkeypatch.setattr(models, "TASK_ROWS", 20)
+    fit = models.Pipeline.fit
+    monkeypatch.setattr(models.Pipeline, "fit", lambda self, df: seen.append(df) or fit(self, df))
+    one_task = models.TrainingSet(data.df.coalesce(1), data.features, data.negatives, data.positives)
+    model = models.train_boosted(one_task, maxIter=2, maxDepth=2)
+    sizes = [r["count"] for r in seen[0].groupBy(F.spark_partition_id()).count().collect()]
+    assert seen[0].rdd.getNumPartitions() >= 25 and sum(sizes) == 500 and max(sizes) <= 50
+    assert model.predict(data.df).where("prediction = 1").count() > 0
