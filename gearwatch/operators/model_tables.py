@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gearwatch.operators.attribution import ensemble_nodes
@@ -106,17 +106,17 @@ def leaf_intervals(model: FailureModel) -> DataFrame:
 def scores_by_join(df: DataFrame, model: FailureModel, intervals: DataFrame, keys: list[str]) -> DataFrame:
     """(*keys, score): the raw score of each row from the table of leaf intervals.
 
-    A second way to predictions, for checks: rows become one line per feature, lines meet the
-    intervals they lie in, and a leaf all of whose conditions are met adds its worth. ``keys`` tell
-    rows apart. The lines of a row number its features times the leaves, so this is no way to score
-    a log with a large model.
+    A second way to predictions, for checks: rows meet the leaves all of whose intervals they lie
+    in, and a leaf that is met adds its worth. ``keys`` tell rows apart; rows that share them have
+    no score. Intervals are gathered to one line per leaf, which every task gets; a row leaves its
+    task with the few leaves it meets, one per tree. Each row is held against each leaf, so this is
+    no way to score a log with a large model.
     """
     rows = with_values(df, model.features).select(*keys, "values")
-    pairs = F.arrays_zip(F.array(*map(F.lit, model.features)).alias("feature"), F.col("values").alias("x"))
-    lines = rows.select(*keys, F.inline(pairs))
-    inside: Column = (F.col("x") > F.col("low")) & (F.col("x") <= F.col("high"))
-    met = lines.join(intervals, "feature").where(inside)
-    leaves = met.groupBy(*keys, "tree", "leaf").agg(
-        F.count("*").alias("met"), F.first("conditions").alias("conditions"), F.first("worth").alias("worth")
-    )
-    return leaves.where("met = conditions").groupBy(*keys).agg(F.sum("worth").alias("score"))
+    place = F.array_position(F.array(*map(F.lit, model.features)), F.col("feature")).cast("int") - 1
+    condition = F.struct(place.alias("place"), "low", "high")
+    leaves = intervals.groupBy("tree", "leaf", "worth").agg(F.collect_list(condition).alias("path"))
+    x = lambda c: F.get("values", c["place"])
+    met = F.forall("path", lambda c: (x(c) > c["low"]) & (x(c) <= c["high"]))
+    scored = rows.join(F.broadcast(leaves), met).groupBy(*keys).agg(F.sum("worth").alias("score"), F.count("*").alias("met"))
+    return scored.where(F.col("met") <= model.classifier.getNumTrees).drop("met")

@@ -5,7 +5,7 @@ import math
 
 import numpy as np
 import pytest
-from gearwatch.operators import attribution, models, search
+from gearwatch.operators import attribution, model_tables, models, search
 from pyspark.sql import functions as F
 
 NAMES = ["temperature", "pressure[bar]", "vibration_ema_0.3"]
@@ -190,3 +190,18 @@ def test_many_training_rows_are_dealt_out(data, monkeypatch):
     sizes = [r["count"] for r in seen[0].groupBy(F.spark_partition_id()).count().collect()]
     assert seen[0].rdd.getNumPartitions() >= 25 and sum(sizes) == 500 and max(sizes) <= 50
     assert model.predict(data.df).where("prediction = 1").count() > 0
+
+
+@pytest.mark.parametrize("kind", ["boosted", "forest"])
+def test_scores_by_join_keep_rows_whole(request, table, kind):
+    """Scores from leaf intervals, without a line per row, feature and leaf on the way."""
+    model = request.getfixturevalue(kind)
+    intervals = model_tables.leaf_intervals(model)
+    again = model_tables.scores_by_join(table, model, intervals, ["seq"])
+    plan = again._jdf.queryExecution().toString()
+    assert "inline" not in plan
+    score = "margin" if kind == "boosted" else "probability"
+    both = model.predict(table).select("seq", score).join(again, "seq").collect()
+    assert len(both) == 500 and all(r["score"] == pytest.approx(r[score], abs=1e-9) for r in both)
+    twice = table.unionByName(table.where("seq < 10"))
+    assert model_tables.scores_by_join(twice, model, intervals, ["seq"]).count() == 490
