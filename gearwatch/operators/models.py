@@ -158,16 +158,23 @@ def weight_column(negative: float, positive: float) -> Column:
     return F.when(F.col("label") == 1, F.lit(float(positive))).otherwise(F.lit(float(negative)))
 
 
+def dealt(df: DataFrame, rows: int) -> DataFrame:
+    """Training rows in tasks of at most ``TASK_ROWS`` on average; few rows stay where they are.
+
+    Files are cut at their row groups, which says nothing about the rows of a task.
+    """
+    if rows <= TASK_ROWS:
+        return df
+    tasks = max(math.ceil(rows / TASK_ROWS), df.sparkSession.sparkContext.defaultParallelism)
+    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    return numbered.repartition(tasks, "_row").drop("_row")
+
+
 def _fit(kind: str, stages: list, data: TrainingSet, weights: tuple[float, float], params: dict) -> FailureModel:
     weighted = with_vector(data.df, data.features).select(
         "features", "label", weight_column(*weights).alias("weight")
     )
-    if data.rows > TASK_ROWS:
-        # Files are cut at their row groups, which says nothing about the rows of a task.
-        tasks = max(math.ceil(data.rows / TASK_ROWS), weighted.sparkSession.sparkContext.defaultParallelism)
-        numbered = weighted.withColumn("_row", F.monotonically_increasing_id())
-        weighted = numbered.repartition(tasks, "_row").drop("_row")
-    model = Pipeline(stages=stages).fit(weighted)
+    model = Pipeline(stages=stages).fit(dealt(weighted, data.rows))
     return FailureModel(kind, data.features, model, params)
 
 
