@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 import random
 
-from pyspark import StorageLevel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.pipeline import PipelineModel
 from pyspark.ml.tuning import CrossValidator
@@ -16,7 +15,6 @@ from gearwatch.operators.models import (
     FailureModel,
     TrainingSet,
     boosted_estimator,
-    dealt,
     forest_estimator,
     weight_column,
     with_vector,
@@ -101,20 +99,14 @@ def search(
         params[estimator.weightCol] = f"weight{used.index(s['positive_weight'])}"
         maps.append(params)
     evaluator = MulticlassClassificationEvaluator(metricName="fMeasureByLabel", metricLabel=1.0)
-    validator = CrossValidator(
+    fitted = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=maps,
         evaluator=evaluator,
         numFolds=folds,
         foldCol="fold",
         parallelism=parallelism,
-    )
-    # Both sides of every fold and the last fit read the rows, which are dealt out once.
-    table = dealt(table, data.rows).persist(StorageLevel.DISK_ONLY)
-    try:
-        fitted = validator.fit(table)
-    finally:
-        table.unpersist()
+    ).fit(table)
     scores = list(zip(settings, map(float, fitted.avgMetrics)))
     best = max(scores, key=lambda pair: pair[1])[0]
     pipeline = PipelineModel([fitted.bestModel])
