@@ -40,6 +40,8 @@ RANGE = 600.0
 SHARED = 8
 # Rows of pane sums, about 140 bytes each, that may go to every executor.
 BROADCAST_ROWS = 50_000
+# Rows of a log whose pane sums may be dealt out by themselves; they take several times the bytes of the rows.
+FEW_ROWS = 50_000
 
 
 def create_lag_features(
@@ -94,16 +96,23 @@ def create_rolling_features(
 
     Rows of the same instant that come later in row order are not in the window.
     Sparse machines use range frames. A range frame costs its row count for each row, so
-    machines with many rows per window go through panes, whose cost per row is fixed.
+    machines with many rows per window go through panes, whose cost per row is fixed. Machines
+    that are cut go by themselves, as only their panes must be spread over tasks.
     """
     chosen = sensor_columns(df, options) if sensors is None else sensors
     t = timeline or Timeline.measure(df, options)
+    if t.split and len(t.cut) < t.machines:
+        cut, others, timeline_of_others = t.apart(df, t.cut)
+        return _rolling_by_panes(cut, options, chosen, t).unionByName(
+            create_rolling_features(others, options, chosen, timeline_of_others)
+        )
     if t.sparse:
         return _rolling_by_frames(df, options, chosen, t)
+    by_panes = _rolling_by_panes if t.split or t.rows <= FEW_ROWS else _rolling_by_wide_panes
     if t.crowded is None or not t.fits or options.dense_rows > TIE_SLOTS // 2:
-        return _rolling_by_panes(df, options, chosen)
-    crowded, calm, timeline_of_calm = t.apart(df)
-    return _rolling_by_panes(crowded, options, chosen).unionByName(
+        return by_panes(df, options, chosen, t)
+    crowded, calm, timeline_of_calm = t.apart(df, t.crowded)
+    return by_panes(crowded, options, chosen, t).unionByName(
         _rolling_by_frames(calm, options, chosen, timeline_of_calm)
     )
 
@@ -155,7 +164,57 @@ def pane_shifts(df: DataFrame, options: LogOptions) -> tuple[int, list[tuple]]:
     return shift, [(m, shift - h) for m, h in halved.items()]
 
 
-def _rolling_by_panes(df: DataFrame, options: LogOptions, chosen: list[str]) -> DataFrame:
+def _rolling_by_wide_panes(df: DataFrame, options: LogOptions, chosen: list[str], t: Timeline) -> DataFrame:
+    """Panes as wide as the window: window = end of the pane it starts in + head of its own pane.
+
+    No whole pane lies between, and parts are merged as they are among smaller panes. For machines
+    that are not cut: none of their panes holds too many rows, and all steps are done where the rows
+    of a machine lie, so rows move once and nothing made of them does.
+    """
+    m = named(options.machine)
+    columns = df.columns
+    rows = t.together(df).withColumn("_at", instant(df, options.time))
+    place = lambda w: F.pmod(F.col("_at"), F.lit(w))
+    start = lambda w: F.col("_at") - place(w)
+
+    def heads_over(w: int) -> WindowSpec:
+        return up_to_current(Window.partitionBy(m, start(w)).orderBy("_at", *[named(c) for c in options.order]))
+
+    sensors = list(enumerate(chosen))
+    heads = [M.moments(named(c), heads_over(w)).alias(f"_r{i}_{j}") for i, (_, w) in enumerate(options.windows_us) for j, c in sensors]
+    rows = rows.select("*", *heads)
+    carried = {options.machine, "_at", *chosen}
+    for i, (_, w) in enumerate(options.windows_us):
+        kept = rows.columns
+        # Each reading once more in the next pane, where readings leave the window in the order in which they came.
+        events = rows.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("_kind"))
+        events = events.select(
+            *[named(c) if c in carried else F.when(F.col("_kind") == 0, named(c)).alias(c) for c in kept],
+            "_kind",
+            (start(w) + F.col("_kind") * F.lit(w)).alias("_pane"),
+            place(w).alias("_place"),
+        )
+        # Readings still inside the window: they leave it after this row.
+        leaving = up_to_current(Window.partitionBy(m, "_pane").orderBy(F.col("_place").desc(), F.col("_kind").asc()))
+        tails = [M.moments(F.when(F.col("_kind") == 1, named(c)), leaving).alias(f"_t{j}") for j, c in sensors]
+        own = events.select("*", *tails).filter(F.col("_kind") == 0)
+        wholes = {f"_r{i}_{j}": M.merge(F.col(f"_t{j}"), F.col(f"_r{i}_{j}")) for j, _ in sensors}
+        rows = own.select(*[wholes[c].alias(c) if c in wholes else named(c) for c in kept])
+    return rows.select(*map(named, columns), *_rolling_columns(options, chosen))
+
+
+def _rolling_columns(options: LogOptions, chosen: list[str]) -> list[Column]:
+    """Means and deviations of the moments ``_r{window}_{sensor}``."""
+    out = []
+    for j, c in enumerate(chosen):
+        for i, (name, _) in enumerate(options.windows):
+            mean, std = _rolling_names(c, name)
+            both = F.col(f"_r{i}_{j}")
+            out += [M.mean_of(both).alias(mean), M.sample_std_of(both).alias(std)]
+    return out
+
+
+def _rolling_by_panes(df: DataFrame, options: LogOptions, chosen: list[str], t: Timeline) -> DataFrame:
     """Window = end of the pane it starts in + whole panes + head of its own pane.
 
     Readings moved forward by a window land in one later pane, where running sums from the end
@@ -222,13 +281,7 @@ def _rolling_by_panes(df: DataFrame, options: LogOptions, chosen: list[str]) ->
         *map(named, columns),
         *[whole(i, j).alias(f"_r{i}_{j}") for i in range(len(options.windows)) for j in range(len(chosen))],
     )
-    out = []
-    for j, c in enumerate(chosen):
-        for i, (name, _) in enumerate(options.windows):
-            mean, std = _rolling_names(c, name)
-            both = F.col(f"_r{i}_{j}")
-            out += [M.mean_of(both).alias(mean), M.sample_std_of(both).alias(std)]
-    return wholes.select(*map(named, columns), *out)
+    return wholes.select(*map(named, columns), *_rolling_columns(options, chosen))
 
 
 def _between_panes(df: DataFrame, options: LogOptions, chosen: list[str]) -> DataFrame:

@@ -74,8 +74,11 @@ class Timeline:
     cuts: tuple[DataFrame, ...] = ()
     # Small cells that belong to the segment of an earlier one.
     joined: DataFrame | None = None
-    # All rows of the log; 0 where they were not counted.
+    # All rows of the log, and its machines; 0 where they were not counted.
     rows: int = 0
+    machines: int = 0
+    # Names of the machines that are cut.
+    cut: tuple = ()
 
     @classmethod
     def measure(cls, df: DataFrame, options: LogOptions, axis: str | None = None) -> "Timeline":
@@ -99,19 +102,22 @@ class Timeline:
         if top["total"] is None:
             return cls(options, axis, 0, 0, (0, 0), None)
         limit = max(options.group_rows, top["total"] // HOT_LIMIT)
-        dense, crowded = top["dense"], set()
+        dense, crowded, few = top["dense"], set(), True
         if axis is None and dense > options.dense_rows:
             cells = _by_cell(rows, widest).groupBy("m").agg(F.max("n").alias("n"))
-            dense = cells.agg(F.max("n")).first()[0]
-            full = cells.filter(F.col("n") > options.dense_rows).select("m").limit(HOT_LIMIT + 1).collect()
-            crowded = {r["m"] for r in full}
-        hot, cuts, joined = None, (), None
+            full = F.col("n") > options.dense_rows
+            found = cells.agg(F.max("n").alias("dense"), F.count_if(full).alias("full")).first()
+            dense, few = found["dense"], found["full"] <= HOT_LIMIT and found["full"] < top["machines"]
+            if few:
+                crowded = {r["m"] for r in cells.filter(full).select("m").collect()}  # at most HOT_LIMIT rows
+        hot, cuts, joined, cut = None, (), None, ()
         if top["n"] > limit:
             hot, cuts, joined = _cut(rows, machines.filter(F.col("n") > limit), limit)
-            crowded |= {r["_hot"] for r in hot.collect()}
-        listed = len(crowded) <= HOT_LIMIT and len(crowded) < top["machines"]
+            cut = tuple(r["_hot"] for r in hot.collect())
+            crowded |= set(cut)
+        listed = few and len(crowded) <= HOT_LIMIT and len(crowded) < top["machines"]
         span = (top["lo"] or 0, top["hi"] or 0)
-        return cls(options, axis, top["n"], dense, span, hot, list(crowded) if listed else None, cuts=cuts, joined=joined, rows=top["total"])
+        return cls(options, axis, top["n"], dense, span, hot, list(crowded) if listed else None, cuts=cuts, joined=joined, rows=top["total"], machines=top["machines"], cut=cut)
 
     @property
     def split(self) -> bool:
@@ -130,14 +136,17 @@ class Timeline:
     def fits(self) -> bool:
         return self.span[1] - self.span[0] < (1 << 62) // TIE_SLOTS
 
-    def apart(self, df: DataFrame) -> tuple[DataFrame, DataFrame, "Timeline"]:
-        """Rows of crowded machines, rows of the others, and the timeline of the others."""
+    def apart(self, df: DataFrame, machines: list) -> tuple[DataFrame, DataFrame, "Timeline"]:
+        """Rows of some machines, which are crowded or cut, rows of the others, and the timeline of the others."""
         kind = df.schema[self.options.machine].dataType.simpleString()
-        listed = df.sparkSession.createDataFrame([(m,) for m in self.crowded], f"_crowded {kind}")
+        listed = df.sparkSession.createDataFrame([(m,) for m in machines], f"_crowded {kind}")
         listed = F.broadcast(listed)  # at most HOT_LIMIT rows
         same = named(self.options.machine).eqNullSafe(listed["_crowded"])
-        calm = replace(self, hot=None, cuts=(), joined=None, max_dense=min(self.max_dense, self.options.dense_rows), crowded=None)
-        return df.join(listed, same, "left_semi"), df.join(listed, same, "left_anti"), calm
+        gone = set(machines)
+        crowded = None if self.crowded is None else [m for m in self.crowded if m not in gone]
+        dense = min(self.max_dense, self.options.dense_rows) if crowded == [] else self.max_dense
+        others = replace(self, hot=None, cuts=(), joined=None, cut=(), max_dense=dense, crowded=crowded)
+        return df.join(listed, same, "left_semi"), df.join(listed, same, "left_anti"), others
 
     def attach(self, df: DataFrame) -> DataFrame:
         """Add the instant and, where machines are cut, the segment; once is enough for a chain."""
@@ -169,10 +178,18 @@ class Timeline:
 
         Below that Spark's own number is enough: it has a task for every core.
         """
+        tasks = self._tasks(df)
+        return df if self.keyed or not tasks else df.repartition(tasks, *self.keys)
+
+    def together(self, df: DataFrame) -> DataFrame:
+        """Rows by machine, in as many tasks as ``dealt`` makes; steps by machine and more do not move them again."""
+        tasks, m = self._tasks(df), named(self.options.machine)
+        return df.repartition(tasks, m) if tasks else df.repartition(m)
+
+    def _tasks(self, df: DataFrame) -> int:
+        """Tasks that the number of rows asks for; 0 where Spark's own number is enough."""
         tasks = math.ceil(self.rows / TASK_ROWS)
-        if self.keyed or tasks <= df.sparkSession.sparkContext.defaultParallelism:
-            return df
-        return df.repartition(tasks, *self.keys)
+        return 0 if tasks <= df.sparkSession.sparkContext.defaultParallelism else tasks
 
     def with_key(self, df: DataFrame) -> tuple[DataFrame, "Timeline"]:
         """Adds one LONG that orders the rows of a machine by instant, then among ties.

@@ -173,6 +173,47 @@ def test_sums_of_many_panes_are_not_broadcast(spark):
     assert made.where("seq = 1999").first()["a_rolling_mean_4h"] == pytest.approx(0.5 * (1999 - 1.5))
 
 
+def test_rows_of_crowded_machines_move_once(spark):
+    """Beyond a few rows no sums of panes are dealt out beside the rows, and no table of them is written."""
+    log = spark.range(0, 60_000, 1, 4).selectExpr(
+        "concat('M', id % 20) AS machine_id", "timestamp_micros(id div 20 * 3600000000) AS timestamp", "id AS seq", "id * 0.5D AS a", "false AS failure"
+    )
+    made = features.create_rolling_features(log, replace(BASE, dense_rows=0), ["a"])
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall("Exchange ", plan)) == 1 and "Join" not in plan and "/panes-" not in plan
+    last = made.where("seq = 59999").first()
+    assert last["a_rolling_mean_4h"] == pytest.approx(0.5 * (59999 - 30)) and made.count() == 60_000
+
+
+# Wide panes, and beside cut machines those that are not cut; windows that are multiples of nothing.
+WIDE = {
+    "wide": replace(BASE, dense_rows=0, windows=(("1h", 3600), ("1h1s", 3601), ("8h", 28800))),
+    "some_crowded": replace(BASE, dense_rows=12),
+    "some_cut": replace(BASE, dense_rows=0, group_rows=100),
+    "some_cut_some_crowded": replace(BASE, dense_rows=6, group_rows=100),
+}
+
+
+@pytest.mark.parametrize("shape", WIDE)
+def test_wide_panes(spark, frame, monkeypatch, shape):
+    """Rows before 1970, gaps, ties, a machine without a name: as plain loops say."""
+    monkeypatch.setattr(features, "FEW_ROWS", 0)
+    o = WIDE[shape]
+    frame["timestamp"] -= frame["timestamp"].min() + np.timedelta64(36, "h") - np.datetime64("1970-01-01")
+    df = to_spark(spark, frame).withColumn("machine_id", F.nullif("machine_id", F.lit("M2")))
+    t = Timeline.measure(df, o)
+    assert t.split == ("cut" in shape) and not t.sparse and len(t.cut) == t.split
+    got = features.create_rolling_features(df, o, ["a", "b"], t)
+    assert "explode([0,1])" in got._jdf.queryExecution().executedPlan().toString()
+    got = back(got.fillna("M2", ["machine_id"]))
+    want = brute.ordered(frame)
+    assert len(got) == len(want)
+    for c in ("a", "b"):
+        for name, width in o.windows_us:
+            for what in ("mean", "std"):
+                same(got[f"{c}_rolling_{what}_{name}"], brute.per_machine(want, lambda g: brute.rolling(g, c, width, what)), 1e-8)
+
+
 @pytest.mark.parametrize("shape", ["whole", "cut"])
 def test_tasks_grow_in_number_with_the_rows(spark, monkeypatch, shape):
     """Rows are dealt out by their number, not by the bytes of a shuffle."""
